@@ -1,0 +1,29 @@
+"""Small file-system steps through Hadoop's API, so any store Spark reads works."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+
+def _path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _path(spark, path)
+    return fs.exists(target)
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    fs, target = _path(spark, path)
+    return fs.delete(target, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path``."""
+    fs, target = _path(spark, path)
+    if not fs.exists(target):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory()]
