@@ -16,6 +16,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path or glob names anything at all."""
+    fs, target = _path(spark, pattern)
+    found = fs.globStatus(target)
+    return found is not None and len(found) > 0
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, target = _path(spark, path)
     return fs.delete(target, True)

@@ -15,8 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from millrace import files
 from millrace.functions.times import parse_date
-from millrace.sinks import files
 from millrace.sources.lake import read_or_empty
 
 # Partitions named one by one for pruning; beyond that a join selects them.

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace import files
 from millrace.functions.times import between_dates, parse_date
 from millrace.schemas import EVENT_SCHEMAS
 
@@ -23,6 +24,8 @@ def read_or_empty(
 
     Any other failure (access, corrupt files) is raised.
     """
+    if not files.matches(spark, path):
+        return spark.createDataFrame([], schema)
     try:
         reader = spark.read if infer else spark.read.schema(schema)
         return reader.parquet(path)
