@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions.joins import null_safe_join
+
 
 def previous_value(
     df: DataFrame, by: Sequence[str], order: str, value: str, name: str, bucket: Column
@@ -31,7 +33,7 @@ def previous_value(
         "_before", F.lag(value).over(inside)
     )
     return (
-        rows.join(ends, keys, "left")
+        null_safe_join(rows, ends, keys, "left")
         .withColumn(
             name, F.when(F.col("_place") == 1, F.col("_carried")).otherwise(F.col("_before"))
         )

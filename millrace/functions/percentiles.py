@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions.joins import null_safe_join
+
 CELLS_PER_DOUBLING = 64
 
 
@@ -74,18 +76,13 @@ def exact_percentiles(
         )
     )
 
-    # Order only the values of the cells in question, once per cell.
-    needed = targets.select(*keys, "cell", "before").distinct()
-    within = Window.partitionBy(*keys, "cell").orderBy("value")
-    ordered = (
-        _null_safe_join(counted, needed, [*keys, "cell"])
+    # Order only the values of the cells in question.
+    within = Window.partitionBy(*keys, "cell", "probability").orderBy("value")
+    placed = (
+        null_safe_join(counted, targets.drop("upto"), [*keys, "cell"])
         .withColumn("last", F.col("before") + F.sum("n").over(within))
         .withColumn("first", F.col("last") - F.col("n"))
-        .select(*keys, "cell", "value", "first", "last")
     )
-    placed = _null_safe_join(
-        ordered, targets.drop("before", "upto"), [*keys, "cell"]
-    ).filter((F.col("lower") < F.col("last")) & (F.col("upper") >= F.col("first")))
     holds_lower = (F.col("lower") >= F.col("first")) & (F.col("lower") < F.col("last"))
     holds_upper = (F.col("upper") >= F.col("first")) & (F.col("upper") < F.col("last"))
     return (
@@ -105,14 +102,3 @@ def exact_percentiles(
         )
     )
 
-
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join that also matches null group keys; keeps the left key columns."""
-    renamed = right.select(
-        *[F.col(k).alias(f"_{k}") for k in keys],
-        *[c for c in right.columns if c not in keys],
-    )
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return left.join(renamed, condition).drop(*[f"_{k}" for k in keys])

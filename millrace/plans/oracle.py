@@ -458,13 +458,13 @@ known AS (
   SELECT sha256(concat_ws('|', severity, topic, offsets)) AS alert_hash, snapshot_ts AS time_bucket
   FROM (SELECT *, CASE WHEN growth >= 60 THEN 'CRITICAL' WHEN growth >= 3 THEN 'WARNING'
                        ELSE 'NONE' END AS severity FROM dlq)
-  WHERE severity <> 'NONE' AND day(snapshot_ts) % 5 = 0)
+  WHERE severity <> 'NONE' AND snapshot_ts < TIMESTAMP '2024-01-11')
 SELECT a.* FROM alerts a WHERE NOT EXISTS (
   SELECT 1 FROM known k WHERE k.alert_hash = a.alert_hash AND k.time_bucket = a.time_bucket)"""
 
 RUNS = """, days AS (
   SELECT metric_date AS d, count(*) AS n, CAST(metric_date AS TIMESTAMP) + INTERVAL 18 HOUR AS t,
-         day(metric_date) % 5 <> 0 AS closed, day(metric_date) % 7 = 0 AS failed
+         metric_date < DATE '2024-01-28' AS closed, day(metric_date) % 7 = 0 AS failed
   FROM ev GROUP BY 1)
 SELECT strftime(d, '%Y%m%d') AS run_id, 'daily' AS pipeline_name, d AS run_date, t AS start_time,
   CASE WHEN closed THEN t + INTERVAL 10 MINUTE END AS end_time,
@@ -633,7 +633,7 @@ FROM daily WHERE metric_date <> DATE '2024-01-20'""",
     ),
     "upsert_roundtrip": _sql(
         """SELECT session_id, window_start, anomaly_type,
-  CASE WHEN anomaly_type = 'HIGH_FREQUENCY' AND session_id % 3 = 0 THEN click_count * 10
+  CASE WHEN anomaly_type = 'HIGH_FREQUENCY' AND click_count > 4 THEN click_count * 10
        ELSE click_count END AS click_count, CAST(window_start AS DATE) AS window_date
 FROM anomalies""",
         "anomalies",

@@ -541,7 +541,7 @@ def upsert_roundtrip(spark, d):
     kept = ["session_id", "window_start", "anomaly_type", "click_count", by]
     first = jobs.with_window_date(_high_frequency(spark, d)).select(*kept)
     tables.upsert(first, path, keys, by, batch="0")
-    again = first.filter(F.col("session_id") % 3 == 0).withColumn(
+    again = first.filter(F.col("click_count") > 4).withColumn(
         "click_count", F.col("click_count") * 10
     )
     changes = again.unionByName(jobs.with_window_date(_bot_like(spark, d)).select(*kept))
@@ -703,7 +703,7 @@ def dlq_growth(spark, d):
 def alert_history(spark, d):
     growth = _dlq_growth(spark, d)
     known = ops.alert_rows(
-        growth.filter(F.dayofmonth("snapshot_ts") % 5 == 0), warning=3, critical=60
+        growth.filter(F.col("snapshot_ts") < "2024-01-11"), warning=3, critical=60
     )
     fresh = ops.alert_rows(growth, known, warning=3, critical=60)
     return fresh.withColumn("partition_offsets", ids.offsets_text(F.col("partition_offsets")))
@@ -725,7 +725,7 @@ def expired_partitions(spark, d):
 
 @query
 def run_history(spark, d):
-    """One batch run per day of events; every fifth is still running."""
+    """One batch run per day of events; those of the last days are still running."""
     days = et.read_events(spark, d).groupBy("metric_date").agg(F.count("*").alias("n"))
     runs = days.select(
         F.date_format("metric_date", "yyyyMMdd").alias("run_id"),
@@ -735,7 +735,7 @@ def run_history(spark, d):
     begun = F.col("run_date").cast("timestamp") + F.expr("interval 18 hours")
     started = ops.run_started(runs, "daily", begun)
     finished = started.join(runs.select("run_id", "n"), "run_id").filter(
-        F.dayofmonth("run_date") % 5 != 0
+        F.col("run_date") < "2024-01-28"
     )
     failed = F.dayofmonth("run_date") % 7 == 0
     ended = ops.run_ended(

@@ -276,14 +276,22 @@ def view_top_items(items: DataFrame, as_of: object) -> DataFrame:
 
 
 def system_stats(anomalies: DataFrame, daily: DataFrame, items: DataFrame) -> DataFrame:
-    """One row of three counts and two last dates, each a scalar subquery."""
-    one = anomalies.sparkSession.range(1)
-    return one.select(
-        anomalies.agg(F.count("*")).scalar().alias("total_anomalies"),
-        daily.agg(F.count("*")).scalar().alias("days_processed"),
-        items.agg(F.count("*")).scalar().alias("total_popular_items"),
-        anomalies.agg(F.max("detected_at")).scalar().alias("last_anomaly_detected"),
-        daily.agg(F.max("metric_date")).scalar().alias("last_metrics_date"),
+    """One row of three counts and two last dates; one scalar subquery per table."""
+
+    def figures(df: DataFrame, last: str) -> Column:
+        return df.agg(F.struct(F.count("*").alias("rows"), F.max(last).alias("last"))).scalar()
+
+    found = anomalies.sparkSession.range(1).select(
+        figures(anomalies, "detected_at").alias("anomalies"),
+        figures(daily, "metric_date").alias("daily"),
+        items.agg(F.count("*")).scalar().alias("items"),
+    )
+    return found.select(
+        F.col("anomalies.rows").alias("total_anomalies"),
+        F.col("daily.rows").alias("days_processed"),
+        F.col("items").alias("total_popular_items"),
+        F.col("anomalies.last").alias("last_anomaly_detected"),
+        F.col("daily.last").alias("last_metrics_date"),
     )
 
 

@@ -95,19 +95,25 @@ def session_conf(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
+# Stand-in folders by application, used only where the cluster names none.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, named by the cluster.
+    """Folder every executor can reach, as the cluster names it in
+    ``spark.checkpoint.dir``.
 
-    Only when ``spark.checkpoint.dir`` is unset (tests on one machine) is a
-    fresh local folder made, and the setting then points at it.
+    Only where that is unset (tests on one machine) is a local folder made.
     """
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    configured = configured or spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
+        "spark.checkpoint.dir", None
+    )
     if configured:
         return configured.rstrip("/")
-    local = tempfile.mkdtemp(prefix="millrace-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="millrace-")
+    return _LOCAL_FOLDERS[context.applicationId]
 
 
 def work_path(spark: SparkSession, name: str) -> str:

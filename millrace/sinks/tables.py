@@ -79,13 +79,10 @@ def _touched(existing: DataFrame, changes: DataFrame, partition: str) -> DataFra
     return existing.filter(F.col(partition).isin([row[0] for row in listed]))
 
 
-def merge(
-    existing: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
-) -> DataFrame:
-    """``changes`` win over ``existing`` rows of the same key."""
-    newest = one_per_key(changes, keys, order)
-    kept = existing.join(newest.select(*keys), list(keys), "left_anti")
-    return kept.select(*newest.columns).unionByName(newest)
+def merge(existing: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``changes`` (one row per key) win over ``existing`` rows of the same key."""
+    kept = existing.join(changes.select(*keys), list(keys), "left_anti")
+    return kept.select(*changes.columns).unionByName(changes)
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
@@ -108,20 +105,23 @@ def upsert(
     """Merge ``changes`` into the table at ``path`` by key.
 
     ``partition`` must be a function of the key, so a key never moves between
-    partitions. The merged partitions are written in full to a side folder
-    named after ``batch`` before the table is touched. A run that died while
-    publishing is repeated under the same ``batch`` name and publishes that
-    finished copy instead of merging again.
+    partitions. The changes are computed once, into a side folder named after
+    ``batch``; the merged partitions are written in full next to them before
+    the table is touched. A run that died while publishing is repeated under
+    the same ``batch`` name and publishes that finished copy instead of
+    merging again.
     """
     spark = changes.sparkSession
-    staged = f"{path.rstrip('/')}_staging/{batch}"
-    if not files.exists(spark, f"{staged}/_SUCCESS"):
+    side = f"{path.rstrip('/')}_staging/{batch}"
+    if not files.exists(spark, f"{side}/merged/_SUCCESS"):
+        one_per_key(changes, keys, order).write.mode("overwrite").parquet(f"{side}/changes")
+        newest = spark.read.schema(changes.schema).parquet(f"{side}/changes")
         existing = read_or_empty(spark, path, changes.schema)
-        merged = merge(_touched(existing, changes, partition), changes, keys, order)
-        merged.write.mode("overwrite").parquet(staged)
-    publish = spark.read.schema(changes.schema).parquet(staged)
+        merged = merge(_touched(existing, newest, partition), newest, keys)
+        merged.write.mode("overwrite").parquet(f"{side}/merged")
+    publish = spark.read.schema(changes.schema).parquet(f"{side}/merged")
     _write_partitions(publish.hint("rebalance", partition), path, partition)
-    files.delete(spark, staged)
+    files.delete(spark, side)
 
 
 def append_version(batch: DataFrame, path: str, batch_id: int, partition: str) -> None:
