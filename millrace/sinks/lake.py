@@ -31,6 +31,24 @@ def write_lake(df: DataFrame, root: str, kind: str, mode: str = "append") -> Non
     )
 
 
+def write_batch(df: DataFrame, root: str, kind: str, batch_id: int) -> None:
+    """One micro-batch; its rows live in folders of their own (``batch=N``).
+
+    The dynamic overwrite of (dt, hour, batch) replaces only what an earlier
+    attempt of the same micro-batch wrote.
+    """
+    (
+        with_partitions(df)
+        .withColumn("batch", F.lit(batch_id))
+        .hint("rebalance", "dt", "hour")
+        .write.partitionBy("dt", "hour", "batch")
+        .option("compression", "snappy")
+        .option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite")
+        .parquet(f"{root.rstrip('/')}/{kind}")
+    )
+
+
 def stream_to_lake(
     df: DataFrame, root: str, kind: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators import detect, ingest
 from millrace.schemas import ANOMALY
-from millrace.sinks import tables
+from millrace.sinks import lake, tables
 from millrace.streaming.listener import JsonLines
 
 WINDOW_DATE = "window_date"
@@ -98,18 +98,21 @@ def read_anomalies(spark: SparkSession, path: str) -> DataFrame:
     return tables.latest_version(spark, path, ANOMALY_KEYS, stored_schema(), WINDOW_DATE)
 
 
-def write_late_events(
+def write_keyed(
     payload: DataFrame,
+    name: str,
     checkpoint: str,
     path: str | None = None,
     kafka: tuple[str, str] | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Late records to Kafka (servers, topic) or to JSON-carrying Parquet files."""
+    """Key and value rows to Kafka (servers, topic) or to Parquet files."""
+    if not kafka and not path:
+        raise ValueError("a path or a Kafka topic is needed")
     writer = (
-        payload.writeStream.queryName("late_events")
+        payload.writeStream.queryName(name)
         .outputMode("append")
-        .option("checkpointLocation", f"{checkpoint}/late_events")
+        .option("checkpointLocation", f"{checkpoint}/{name}")
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
     )
     if kafka:
@@ -120,11 +123,56 @@ def write_late_events(
             .option("topic", topic)
             .start()
         )
-    if path is None:
-        raise ValueError("a path or a Kafka topic is needed")
     return writer.format("parquet").option("path", path).start()
 
 
+def write_late_events(
+    payload: DataFrame,
+    checkpoint: str,
+    path: str | None = None,
+    kafka: tuple[str, str] | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """The late side output (:func:`millrace.operators.ingest.late_payload`)."""
+    return write_keyed(payload, "late_events", checkpoint, path, kafka, trigger)
+
+
+def start_ingest(
+    raw: DataFrame,
+    kind: str,
+    lake_root: str,
+    dead_letter_path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Raw text rows to the event lake, rejects to the dead letters.
+
+    Each micro-batch is parsed once and kept while both parts are written.
+    Both outputs are folders named after the batch, so a replay overwrites its
+    own rows.
+    """
+    parse = {"click": ingest.parse_clicks, "purchase": ingest.parse_purchases}[kind]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        parsed = parse(batch).persist()
+        try:
+            valid, rejects = ingest.split_valid(parsed)
+            lake.write_batch(valid, lake_root, kind, batch_id)
+            letters = ingest.dead_letters(rejects, f"{kind}-loader", kind)
+            letters.write.mode("overwrite").parquet(f"{dead_letter_path}/batch_id={batch_id}")
+        finally:
+            parsed.unpersist()
+
+    return (
+        raw.writeStream.queryName(f"ingest_{kind}")
+        .outputMode("append")
+        .foreachBatch(write)
+        .option("checkpointLocation", f"{checkpoint}/ingest_{kind}")
+        .trigger(**(trigger or {"processingTime": "10 seconds"}))
+        .start()
+    )
+
+
 def write_console(
     df: DataFrame, name: str, mode: str = "append", rows: int = 50, trigger: dict | None = None
 ) -> StreamingQuery:
