@@ -160,8 +160,9 @@ ALERT_HISTORY = _struct(
     notified_at=_TIME,
 )
 
-# One line of the progress log. Offsets are topic -> partition -> offset.
-_OFFSETS = T.MapType(_TEXT, T.MapType(_TEXT, _LONG))
+# One line of the progress log. Offsets stay JSON text: their form depends on
+# the source; Kafka's is topic -> partition -> offset.
+TOPIC_OFFSETS = T.MapType(_TEXT, T.MapType(_TEXT, _LONG))
 PROGRESS = _struct(
     event=_TEXT,
     id=_TEXT,
@@ -176,8 +177,8 @@ PROGRESS = _struct(
     sources=T.ArrayType(
         _struct(
             description=_TEXT,
-            startOffset=_OFFSETS,
-            endOffset=_OFFSETS,
+            startOffset=_TEXT,
+            endOffset=_TEXT,
             metrics=T.MapType(_TEXT, _TEXT),
         )
     ),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.schemas import PROGRESS
+from millrace.schemas import PROGRESS, TOPIC_OFFSETS
 
 
 def read_progress_log(spark: SparkSession, path: str) -> DataFrame:
@@ -34,7 +34,7 @@ def progress_rows(log: DataFrame, topic: str | None = None) -> DataFrame:
     source = F.get("sources", F.lit(0))
 
     def offsets(field: str) -> Column:
-        by_topic = source[field]
+        by_topic = F.from_json(source[field], TOPIC_OFFSETS)
         if topic is not None:
             return F.try_element_at(by_topic, F.lit(topic))
         return F.get(F.map_values(by_topic), F.lit(0))
