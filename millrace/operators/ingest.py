@@ -253,15 +253,26 @@ def stamp(df: DataFrame, *names: str) -> DataFrame:
 
 
 def drop_duplicate_events(
-    df: DataFrame, watermark: str | None = "10 minutes", key: str = "event_id"
+    df: DataFrame,
+    watermark: str | None = "10 minutes",
+    key: str = "event_id",
+    spread: int = 0,
 ) -> DataFrame:
     """One row per event id.
 
     On a stream the state is bounded by the watermark: copies that arrive
-    later than the watermark delay are not recognised.
-    """
-    if df.isStreaming:
-        return df.withWatermark("event_ts", watermark).dropDuplicatesWithinWatermark([key])
-    return df.dropDuplicates([key])
-
+    later than the watermark delay are not recognised. ``spread`` is for
+    streams where one id may have very many copies: rows are first thinned in
+    that many slices per id, so the task that owns the id sees at most
+    ``spread`` copies of it. It costs a second state store.
 
+    On a static frame copies collapse inside each task before the shuffle.
+    """
+    if not df.isStreaming:
+        return df.dropDuplicates([key])
+    timed = df.withWatermark("event_ts", watermark)
+    if spread > 1:
+        piece = F.floor(F.rand(seed=17) * spread)
+        thinned = timed.withColumn("_piece", piece).dropDuplicatesWithinWatermark([key, "_piece"])
+        timed = thinned.drop("_piece")
+    return timed.dropDuplicatesWithinWatermark([key])

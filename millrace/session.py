@@ -23,25 +23,34 @@ BASE_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
-STATE_CONF = {
-    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
-    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "512",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-}
+
+def state_conf(memory_mb: int = 512) -> dict[str, str]:
+    """RocksDB state store with bounded memory per executor; it spills to disk.
+
+    ``memory_mb`` is shared by all stores of an executor and should grow with
+    the executor. Changelog checkpoints upload only what a batch changed.
+    """
+    store = "spark.sql.streaming.stateStore"
+    return {
+        f"{store}.providerClass": ROCKSDB_PROVIDER,
+        f"{store}.rocksdb.boundedMemoryUsage": "true",
+        f"{store}.rocksdb.maxMemoryUsageMB": str(memory_mb),
+        f"{store}.rocksdb.changelogCheckpointing.enabled": "true",
+    }
 
 
 def build_session(
     app_name: str,
     master: str | None = None,
     shuffle_partitions: int | None = None,
+    state_memory_mb: int = 512,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
     """Session with UTC, AQE and the bounded RocksDB state store."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = {**BASE_CONF, **STATE_CONF, **(extra or {})}
+    conf = {**BASE_CONF, **state_conf(state_memory_mb), **(extra or {})}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for key, value in conf.items():

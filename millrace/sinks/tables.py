@@ -2,7 +2,7 @@
 
 * ``replace_date`` / ``replace_dates`` swap whole dates.
 * ``upsert`` merges rows by key into the touched partitions.
-* ``append_version`` / ``latest_version`` keep one folder per micro-batch and
+* ``append_version`` / ``current_rows`` keep one folder per micro-batch and
   pick the newest row of a key when reading; a replayed batch overwrites its
   own folder only. ``compact`` folds the versions into a plain table.
 """
@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace import files
 from millrace.functions.times import parse_date
@@ -127,30 +128,65 @@ def upsert(
 def append_version(batch: DataFrame, path: str, batch_id: int, partition: str) -> None:
     """Write one micro-batch to its own folder; a replay overwrites it."""
     (
-        batch.write.mode("overwrite")
+        batch.hint("rebalance", partition)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy(partition)
         .parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
     )
 
 
+def _versions(spark: SparkSession, path: str, schema: T.StructType, partition: str) -> DataFrame:
+    fields = sorted(schema.fields, key=lambda f: f.name == partition)
+    layout = T.StructType([*fields, T.StructField("batch_id", T.LongType())])
+    return read_or_empty(spark, path, layout)
+
+
 def latest_version(
-    spark: SparkSession, path: str, keys: Sequence[str], schema, partition: str
+    spark: SparkSession, path: str, keys: Sequence[str], schema: T.StructType, partition: str
 ) -> DataFrame:
     """Newest row per key over all micro-batches."""
-    columns = [f for f in schema.fields if f.name != partition]
-    layout = type(schema)(
-        [*columns, *[f for f in schema.fields if f.name == partition]]
-    ).add("batch_id", "long")
-    return one_per_key(read_or_empty(spark, path, layout), keys, ["batch_id"]).drop("batch_id")
+    versions = _versions(spark, path, schema, partition)
+    return one_per_key(versions, keys, ["batch_id"]).drop("batch_id")
+
+
+def current_rows(
+    spark: SparkSession,
+    path: str,
+    target: str,
+    keys: Sequence[str],
+    schema: T.StructType,
+    partition: str,
+) -> DataFrame:
+    """Rows of the compacted table, with micro-batches since then on top."""
+    newest = latest_version(spark, path, keys, schema, partition)
+    return merge(read_or_empty(spark, target, newest.schema), newest, keys)
 
 
 def compact(
-    spark: SparkSession, path: str, target: str, keys: Sequence[str], schema, partition: str,
-    run: str,
+    spark: SparkSession,
+    path: str,
+    target: str,
+    keys: Sequence[str],
+    schema: T.StructType,
+    partition: str,
+    upto: int,
 ) -> None:
-    """Fold the micro-batch versions at ``path`` into the plain table ``target``."""
-    upsert(latest_version(spark, path, keys, schema, partition), target, keys, partition, run)
+    """Fold micro-batches up to ``upto`` into ``target`` and delete their folders.
+
+    The oldest folders go first: if a run dies half way, what is left is newer
+    than, or equal to, what the target holds, and the next run repeats it.
+    """
+    versions = _versions(spark, path, schema, partition).filter(F.col("batch_id") <= upto)
+    newest = one_per_key(versions, keys, ["batch_id"]).drop("batch_id")
+    upsert(newest, target, keys, partition, f"compact-{upto}")
+    numbers = [
+        int(name.split("=", 1)[1])
+        for name in files.folders(spark, path)
+        if name.startswith("batch_id=")
+    ]
+    for number in sorted(n for n in numbers if n <= upto):
+        files.delete(spark, f"{path.rstrip('/')}/batch_id={number}")
 
 
 def drop_expired_partitions(

@@ -21,7 +21,9 @@ def kafka_options(
     starting_offsets: str = "earliest",
     max_offsets: int | None = 10_000,
     group_id: str | None = None,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
+    """``min_partitions`` reads one topic partition in several tasks."""
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
@@ -32,6 +34,8 @@ def kafka_options(
         options["maxOffsetsPerTrigger"] = str(max_offsets)
     if group_id:
         options["kafka.group.id"] = group_id
+    if min_partitions:
+        options["minPartitions"] = str(min_partitions)
     return options
 
 
@@ -41,8 +45,11 @@ def read_kafka(
     servers: str,
     starting_offsets: str = "latest",
     max_offsets: int | None = 250_000,
+    min_partitions: int | None = None,
 ) -> DataFrame:
-    options = kafka_options(servers, topic, starting_offsets, max_offsets)
+    options = kafka_options(
+        servers, topic, starting_offsets, max_offsets, min_partitions=min_partitions
+    )
     return spark.readStream.format("kafka").options(**options).load()
 
 

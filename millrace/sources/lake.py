@@ -52,17 +52,25 @@ def read_events(
 ) -> DataFrame:
     """One kind of event, one day or an inclusive range of days.
 
-    The root is read and the partition column filtered, so only the wanted
-    days are listed and scanned.
+    Only the folders of the wanted days are listed and scanned; the root stays
+    the base path, so ``dt`` and ``hour`` remain columns.
     """
-    df = read_or_empty(spark, f"{root.rstrip('/')}/{kind}", lake_schema(kind))
+    base = f"{root.rstrip('/')}/{kind}"
+    schema = lake_schema(kind)
     if start is None:
-        return df
+        return read_or_empty(spark, base, schema)
     first = parse_date(start)
     last = parse_date(end) if end is not None else first
-    if first == last:
-        return df.filter(F.col("dt") == F.lit(first))
-    return df.filter(between_dates(F.col("dt"), first, last))
+    wanted = between_dates(F.col("dt"), first, last)
+    days = [
+        name
+        for name in files.folders(spark, base)
+        if f"dt={first.isoformat()}" <= name <= f"dt={last.isoformat()}"
+    ]
+    if not days:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema).option("basePath", base)
+    return reader.parquet(*[f"{base}/{day}" for day in days]).filter(wanted)
 
 
 def for_reports(events: DataFrame) -> DataFrame:

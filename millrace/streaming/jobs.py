@@ -45,6 +45,7 @@ class DetectionSettings:
     bot_slide: str = "30 seconds"
     bot_clicks: int = detect.BOT_CLICKS
     bot_diversity: float = detect.BOT_DIVERSITY
+    dedup_spread: int = 0
     trigger: dict = field(default_factory=lambda: {"processingTime": "5 seconds"})
     late_trigger: dict = field(default_factory=lambda: {"processingTime": "10 seconds"})
     now: object | None = None
@@ -53,7 +54,9 @@ class DetectionSettings:
 def detections(events: DataFrame, s: DetectionSettings) -> dict[str, DataFrame]:
     """Late payload and both anomaly streams of one event stream."""
     on_time, late = ingest.split_late(events, s.watermark_minutes, s.now)
-    unique = ingest.drop_duplicate_events(on_time, f"{s.watermark_minutes} minutes")
+    unique = ingest.drop_duplicate_events(
+        on_time, f"{s.watermark_minutes} minutes", spread=s.dedup_spread
+    )
     return {
         "late_events": ingest.late_payload(late),
         "high_frequency": detect.detect_high_frequency(

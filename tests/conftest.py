@@ -19,7 +19,7 @@ def spark():
         "tests",
         "local[4]",
         2,
-        {"spark.ui.enabled": "false", "spark.sql.files.openCostInBytes": "1"},
+        extra={"spark.ui.enabled": "false", "spark.sql.files.openCostInBytes": "1"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -21,11 +21,12 @@ def samples(kind):
         "ties": [3.0] * 700 + [r.uniform(0, 9) for _ in range(300)],
         "signs": [r.gauss(0, 100) for _ in range(500)] + [0.0] * 50,
         "tail": [r.uniform(1, 2) for _ in range(990)] + [1e9 * r.random() for _ in range(10)],
+        "extremes": [1e-310, -1e-310, 0.0, 1.7e308, -1.7e300, 1e-300] * 3,
         "tiny": [r.random() / 1e6 for _ in range(200)],
     }[kind]
 
 
-@pytest.mark.parametrize("kind", ["single", "two", "ties", "signs", "tail", "tiny"])
+@pytest.mark.parametrize("kind", ["single", "two", "ties", "signs", "tail", "tiny", "extremes"])
 def test_percentiles_equal_numpy(make, kind):
     data = samples(kind)
     df = make("v double", [(x,) for x in data] + [(None,)])

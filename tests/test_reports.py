@@ -201,3 +201,12 @@ def test_file_totals(make):
               [(Decimal("1.50"), 2, dt.datetime(2026, 1, 1)), (Decimal("2"), 1, dt.datetime(2026, 1, 2))])
     row = daily.file_totals(df).first()
     assert (row["events"], row["total_revenue"]) == (2, Decimal("5.00"))
+
+
+def test_long_rankings_are_sliced_first(make, monkeypatch):
+    """Above Spark's own trimming bound the result stays the same."""
+    df = make("g int, v long, i long", [(n % 2, n * 7 % 50, n) for n in range(200)])
+    order = [F.col("v").desc(), F.col("i").asc()]
+    plain = rows(items.top_n(df, ["g"], order, 30))
+    monkeypatch.setattr(items, "TRIMMED_BY_SPARK", 10)
+    assert rows(items.top_n(df, ["g"], order, 30)) == plain

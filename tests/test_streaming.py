@@ -69,6 +69,15 @@ def test_duplicates_in_one_batch_and_across_batches(spark, source, folder):
     assert rows(spark.read.parquet(f"{folder}/q").select("event_id")) == [("1",), ("2",), ("3",)]
 
 
+def test_many_copies_are_thinned_first(spark, source, folder):
+    source.add([click(1)] * 40 + [click(2)])
+    source.add([click(1)] * 40 + [click(3)])
+    query = run(ingest.drop_duplicate_events(source.stream(), spread=4), folder)
+    assert rows(spark.read.parquet(f"{folder}/q").select("event_id")) == [("1",), ("2",), ("3",)]
+    states = [json.loads(p.json)["stateOperators"] for p in query.recentProgress]
+    assert max(len(s) for s in states) == 2
+
+
 def test_dedup_state_is_evicted(source, folder):
     source.add([click(i, seconds=i) for i in range(50)])
     source.add([click(100, seconds=7200)])
