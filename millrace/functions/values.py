@@ -22,6 +22,15 @@ def first_non_empty(df: DataFrame, names: Sequence[str]) -> Column:
     return F.coalesce(*[F.when(t != "", t) for t in texts])
 
 
+def computed_once(df: DataFrame, *columns: Column) -> DataFrame:
+    """Select columns so that each is computed once per row.
+
+    A later filter on a plain projection would be pushed below it and repeat
+    the expressions it reads; below a generator it is not.
+    """
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
 def normal_category(category: Column) -> Column:
     """'0' and empty mean that the category is missing."""
     return F.when(~category.isin("0", ""), category)

@@ -39,6 +39,7 @@ def run_daily(
     start: str | dt.date,
     end: str | dt.date | None = None,
     names: Iterable[str] | None = None,
+    top_items: int = 100,
 ) -> dict[str, int]:
     """Compute and replace the days ``start``..``end``; rows written per table.
 
@@ -51,7 +52,7 @@ def run_daily(
     if clicks.isEmpty():
         raise ValueError(f"no click data for {first} .. {last}")
     purchases = lake.for_reports(lake.read_events(spark, lake_root, "purchase", first, last))
-    reports = daily_reports(clicks, purchases)
+    reports = daily_reports(clicks, purchases, top_items)
 
     runs_path = f"{tables_root}/pipeline_runs"
     run_id = uuid.uuid4().hex

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from millrace import schemas as S
 from millrace.functions import ids, times
+from millrace.functions.values import computed_once, normal_category
 from millrace.operators import (
     daily,
     detect,
@@ -266,7 +267,8 @@ def _run_stream_detection(spark: SparkSession, d: str, name: str) -> DataFrame:
             found, name, f"{out}/table", f"{out}/checkpoint", s.trigger
         )
         jobs.run_available({name: started})
-    return _stable(jobs.read_anomalies(spark, f"{out}/table")).drop(jobs.WINDOW_DATE)
+    current = jobs.read_anomalies(spark, f"{out}/table")
+    return _stable(current).drop(jobs.WINDOW_DATE, "db_write_ts")
 
 
 @query
@@ -411,7 +413,8 @@ def _raw_clicks(spark: SparkSession, d: str) -> DataFrame:
     """Text rows as a CSV file would hold them, some of them damaged."""
     events = et.with_category(et.read_events(spark, d))
     iso = F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-    return events.select(
+    return computed_once(
+        events,
         F.col("session_id").cast("string").alias("Session ID"),
         F.when(F.col("eid") % 75 == 0, "").otherwise(iso).alias("Timestamp"),
         F.when(F.col("eid") % 50 == 0, "x")
@@ -435,7 +438,8 @@ def dead_letters(spark, d):
 
 def _raw_purchases(spark: SparkSession, d: str) -> DataFrame:
     events = et.read_purchases(spark, d)
-    return events.select(
+    return computed_once(
+        events,
         F.col("session_id").cast("string").alias("Session ID"),
         F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("Timestamp"),
         F.col("item_id").cast("string").alias("Item ID"),
@@ -462,8 +466,6 @@ def rejected_purchases(spark, d):
 
 @query
 def category_normalised(spark, d):
-    from millrace.functions.values import normal_category
-
     events = et.with_category(et.read_events(spark, d))
     raw = F.when(F.col("eid") % 4 == 0, F.lit("")).otherwise(F.coalesce("category", F.lit("0")))
     return events.select("eid", normal_category(raw).alias("category"))

@@ -21,6 +21,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Recording the Python line of every column call doubles planning time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -217,8 +217,14 @@ def drop_expired_partitions(
 def drop_expired_catalog_partitions(
     spark: SparkSession, table: str, partition: str, as_of: str | dt.date, days: int = 30
 ) -> None:
-    """The same for a catalogue table partitioned by one date column."""
+    """The same for a catalogue table partitioned by one date column.
+
+    Spark drops partitions by equality only, so the expired ones are named.
+    """
     cutoff = parse_date(as_of) - dt.timedelta(days=days)
-    spark.sql(
-        f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} < DATE'{cutoff.isoformat()}')"
-    )
+    names = [row[0] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    for day in sorted(name.split("=", 1)[1] for name in names):
+        if day < cutoff.isoformat():
+            spark.sql(
+                f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = DATE'{day}')"
+            )

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators import detect, ingest
@@ -30,8 +31,10 @@ def with_window_date(anomalies: DataFrame) -> DataFrame:
     return anomalies.withColumn(WINDOW_DATE, F.to_date("window_start"))
 
 
-def stored_schema():
-    return type(ANOMALY)(ANOMALY.fields).add(WINDOW_DATE, "date")
+def stored_schema() -> T.StructType:
+    """Anomaly columns plus the write time and the partition column."""
+    extra = [T.StructField("db_write_ts", T.TimestampType()), T.StructField(WINDOW_DATE, T.DateType())]
+    return T.StructType([*ANOMALY.fields, *extra])
 
 
 @dataclass
@@ -84,7 +87,8 @@ def start_anomalies(
         path = sink
 
         def sink(batch: DataFrame, batch_id: int) -> None:
-            tables.append_version(with_window_date(batch), path, batch_id, WINDOW_DATE)
+            stamped = ingest.stamp(with_window_date(batch), "db_write_ts")
+            tables.append_version(stamped, path, batch_id, WINDOW_DATE)
 
     return (
         anomalies.writeStream.queryName(name)

@@ -14,12 +14,13 @@ UTC = dt.timezone.utc
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
     session = build_session(
         "tests",
         "local[4]",
         2,
-        extra={"spark.ui.enabled": "false", "spark.sql.files.openCostInBytes": "1"},
+        extra={"spark.ui.enabled": "false", "spark.sql.warehouse.dir": warehouse},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

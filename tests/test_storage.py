@@ -313,3 +313,14 @@ def test_backoff_doubles_up_to_a_limit():
             jdbc.with_backoff(fails, **bad)
     with pytest.raises(ValueError):
         jdbc.jdbc_options("h", 5432, "d", "u", "")
+
+
+def test_catalogue_retention(spark, make):
+    table = "retention_probe"
+    df = make(METRIC, [(d, 1) for d in DAYS])
+    df.write.mode("overwrite").partitionBy("metric_date").saveAsTable(table)
+    try:
+        tables.drop_expired_catalog_partitions(spark, table, "metric_date", "2026-01-13", 2)
+        assert rows(spark.table(table), "metric_date") == [(DAYS[1],), (DAYS[2],)]
+    finally:
+        spark.sql(f"DROP TABLE {table}")
