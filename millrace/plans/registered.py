@@ -30,7 +30,13 @@ from millrace.operators import (
     slo,
 )
 from millrace.plans import serving
-from millrace.session import BASE_CONF, session_conf, state_conf, work_path
+from millrace.session import (
+    BASE_CONF,
+    session_conf,
+    state_conf,
+    stream_partitions,
+    work_path,
+)
 from millrace.sinks import lake as lake_sink
 from millrace.sinks import tables
 from millrace.sources import event_table as et
@@ -246,6 +252,10 @@ STREAM_SETTINGS = jobs.DetectionSettings(
 )
 
 
+def _stream_conf(spark: SparkSession) -> dict[str, str]:
+    return state_conf() | {"spark.sql.shuffle.partitions": stream_partitions(spark)}
+
+
 def _run_stream_detection(spark: SparkSession, d: str, name: str) -> DataFrame:
     """Duplicates in, watermark, dedup, windows, versioned sink, current rows out."""
     s = STREAM_SETTINGS
@@ -262,7 +272,7 @@ def _run_stream_detection(spark: SparkSession, d: str, name: str) -> DataFrame:
         ),
     }[name]()
     out = work_path(spark, f"stream_{name}")
-    with session_conf(spark, state_conf()):
+    with session_conf(spark, _stream_conf(spark)):
         started = jobs.start_anomalies(
             found, name, f"{out}/table", f"{out}/checkpoint", s.trigger
         )
@@ -288,7 +298,7 @@ def stream_dedup(spark, d):
         source.unionByName(source), f"{LATE_MINUTES} minutes"
     )
     out = work_path(spark, "stream_dedup")
-    with session_conf(spark, state_conf()):
+    with session_conf(spark, _stream_conf(spark)):
         started = (
             unique.writeStream.queryName("dedup")
             .outputMode("append")
@@ -308,7 +318,7 @@ def stream_late_events(spark, d):
     events = _late_input(et.as_events(et.stream_raw(spark, d)))
     _, late = ingest.split_late(events, LATE_MINUTES, _last_event(spark, d))
     out = work_path(spark, "stream_late")
-    with session_conf(spark, state_conf()):
+    with session_conf(spark, _stream_conf(spark)):
         started = jobs.write_late_events(
             ingest.late_payload(late),
             f"{out}/checkpoint",
@@ -324,7 +334,7 @@ def stream_lake(spark, d):
     """Events to the hourly lake as a stream, read back from the folders."""
     clicks = et.clicks_of(et.as_events(et.stream_raw(spark, d)))
     out = work_path(spark, "stream_lake")
-    with session_conf(spark, state_conf()):
+    with session_conf(spark, _stream_conf(spark)):
         started = lake_sink.stream_to_lake(
             _lake_clicks(clicks), f"{out}/lake", "click", f"{out}/checkpoint", jobs.AVAILABLE_NOW
         )

@@ -187,6 +187,7 @@ PROGRESS = _struct(
     error_class=_TEXT,
 )
 
+# Record layouts on the topics.
 CLICK_AVRO = """{"type": "record", "name": "Click", "fields": [
   {"name": "session_id", "type": "long"},
   {"name": "event_ts", "type": {"type": "long", "logicalType": "timestamp-millis"}},

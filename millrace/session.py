@@ -106,6 +106,13 @@ def session_conf(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
+def stream_partitions(spark: SparkSession) -> str:
+    """Shuffle partitions for a new stream: the session's, but not more than
+    twice the cores, since every partition of a stateful query is a store."""
+    cores = spark.sparkContext.defaultParallelism
+    return str(min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(2, 2 * cores)))
+
+
 # Stand-in folders by application, used only where the cluster names none.
 _LOCAL_FOLDERS: dict[str, str] = {}
 
