@@ -8,6 +8,30 @@ from millrace.llm.archive import archive
 from millrace.llm.common import read_table
 from millrace.llm.decontamination import find_contamination
 from millrace.llm.packing import pack
+from millrace.llm.quality_rules import judge
+from millrace.llm.simhash import near_duplicates
+
+
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of each document and the verdict of the learned rules."""
+    judged = judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of each document."""
+    return near_duplicates(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "fingerprint", "component_id", "n_links"
+    )
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +57,8 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_simhash": op2_simhash,
     "op4_decontamination": op4_decontamination,
     "op6_warc": op6_warc,
     "op9_packing": op9_packing,
