@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.llm.archive import archive
 from millrace.llm.common import read_table
 from millrace.llm.decontamination import find_contamination
+from millrace.llm.language import identify, train
 from millrace.llm.packing import pack
 from millrace.llm.quality_rules import judge
 from millrace.llm.simhash import near_duplicates
+from millrace.llm.toxicity import rate, train as train_toxicity
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +36,12 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document by a model of those not held out."""
+    docs = read_table(spark, sf_dir, "documents")
+    return identify(docs, train(docs), with_spans=False)
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of the benchmark in each document."""
     found = find_contamination(
@@ -51,6 +59,12 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of each document."""
+    docs = read_table(spark, sf_dir, "documents")
+    return rate(docs, train_toxicity(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as power-of-two pieces."""
     return pack(read_table(spark, sf_dir, "documents"), with_ids=False)
@@ -59,7 +73,9 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
+    "op3_language_id": op3_language_id,
     "op4_decontamination": op4_decontamination,
     "op6_warc": op6_warc,
+    "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
 }
