@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.llm.archive import archive
 from millrace.llm.common import read_table
 from millrace.llm.decontamination import find_contamination
+from millrace.llm.html_extraction import extract_pages
 from millrace.llm.language import identify, train
 from millrace.llm.packing import pack
 from millrace.llm.quality_rules import judge
@@ -52,6 +53,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of each page."""
+    return extract_pages(read_table(spark, sf_dir, "pages"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page through a content-addressed archive."""
     return archive(read_table(spark, sf_dir, "pages")).select(
@@ -75,6 +81,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_language_id": op3_language_id,
     "op4_decontamination": op4_decontamination,
+    "op5_html_extraction": op5_html_extraction,
     "op6_warc": op6_warc,
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,

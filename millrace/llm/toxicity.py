@@ -8,8 +8,7 @@ grade.
 
 The label table only says toxic or not. Grades of severity come from it: words
 are rated by their log odds in toxic documents, and a toxic document's grade
-grows with the number of occurrences of strong words (1: at most one, 2: two or
-three, 3: more). Documents that are not toxic have grade 0. A label column
+grows with the number of occurrences of strong words and stems (1 to 3). Documents that are not toxic have grade 0. A label column
 ``severity`` of whole numbers from 0 is used instead where there is one.
 """
 
@@ -28,35 +27,49 @@ from pyspark.sql import functions as F
 from millrace.llm.common import kept_in_files
 
 #: Labelled documents that training reads, on average, of each label.
-SAMPLE = 8000
+SAMPLE = 4000
 #: Hashed words, and how many of them the model may use.
-WORDS = 1 << 18
+WORDS = 1 << 20
 CHOSEN = 4096
+#: Letters of the beginnings of words that are features besides the word.
+STEMS = (4, 5, 6)
 #: Documents of the sample that a chosen word needs.
 LEAST_DOCS = 5
+#: Standard errors by which the log odds of a chosen word differ from zero; of
+#: as many words as are hashed, a few pass this by chance.
+CERTAIN = 4.5
 #: Log odds from which on a word is strong.
 STRONG = 2.5
 RIDGE = 1e-3
 STEPS = 400
-GRADES = 4
+#: Occurrences of strong words and stems from which on a grade is 2, and 3.
+GRADE_FROM = (6, 12)
 
 
 def word_numbers(text: str | None) -> np.ndarray:
-    """Hashed lower-case words of letters, in order."""
+    """Hashed words of letters in lower case and their beginnings, in order.
+
+    Beginnings stand for a stem, whose words have many endings.
+    """
     plain = (text or "").lower().encode("utf-8", "surrogatepass").translate(_SPLIT).split()
-    crc, cache = zlib.crc32, _CRC
-    out = []
+    cache, out = _SEEN, []
     for w in plain:
-        h = cache.get(w)
-        if h is None:
-            if len(cache) > 500_000:
+        found = cache.get(w)
+        if found is None:
+            if len(cache) > 200_000:
                 cache.clear()
-            h = cache[w] = crc(w) % WORDS
-        out.append(h)
+            found = cache[w] = _hashes(w)
+        out += found
     return np.array(out, np.int64)
 
 
-_CRC: dict[bytes, int] = {}
+def _hashes(word: bytes) -> tuple[int, ...]:
+    letters = word.decode("utf-8", "replace")
+    stems = [f"{letters[:n]}-" for n in STEMS if len(letters) > n]
+    return tuple(zlib.crc32(x.encode()) % WORDS for x in (letters, *stems))
+
+
+_SEEN: dict[bytes, tuple[int, ...]] = {}
 _SPLIT = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
@@ -84,8 +97,6 @@ def fit(x_rows: list[np.ndarray], grades: np.ndarray, width: int) -> tuple[np.nd
     values = np.zeros(width + top)
     values[width] = 1.0
     first, second = np.zeros_like(values), np.zeros_like(values)
-    share = np.bincount(grades, minlength=top + 1)
-    weight = (n / (len(share) * np.maximum(1, share)))[grades]
     for step in range(1, STEPS + 1):
         w = values[:width]
         cuts = np.cumsum(np.concatenate([values[width : width + 1], np.exp(values[width + 1 :])]))
@@ -94,7 +105,7 @@ def fit(x_rows: list[np.ndarray], grades: np.ndarray, width: int) -> tuple[np.nd
         lower = 1 / (1 + np.exp(-np.clip(np.append(-np.inf, cuts)[grades] - score, -40, 40)))
         upper[grades == top], lower[grades == 0] = 1.0, 0.0
         chance = np.maximum(upper - lower, 1e-9)
-        up, low = weight * upper * (1 - upper) / chance, weight * lower * (1 - lower) / chance
+        up, low = upper * (1 - upper) / chance, lower * (1 - lower) / chance
         by_cut = np.bincount(grades, weights=up, minlength=top + 1)[:top]
         by_cut = by_cut - np.bincount(grades, weights=low, minlength=top + 1)[1:]
         slope = np.empty_like(values)
@@ -166,12 +177,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     bad_n, good_n = totals.get(True, 0), totals.get(False, 0)
     if not bad_n or not good_n:
         return None
-    odds = F.log((F.col("bad") + 0.5) / (bad_n + 1.0)) - F.log(
-        (F.col("good") + 0.5) / (good_n + 1.0)
-    )
-    signed = F.abs(odds) * F.sqrt(F.col("bad") + F.col("good"))
+    bad, good = F.col("bad") + 0.5, F.col("good") + 0.5
+    odds = F.log(bad / (bad_n + 1.0)) - F.log(good / (good_n + 1.0))
+    strength = F.abs(odds) / F.sqrt(1 / bad + 1 / good)
     chosen = (
-        counts.select("word", odds.alias("odds"), signed.alias("strength"))
+        counts.select("word", odds.alias("odds"), strength.alias("strength"))
+        .where(F.col("strength") >= CERTAIN)
         .orderBy(F.desc("strength"), "word")
         .limit(CHOSEN)
         .toPandas()
@@ -190,11 +201,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
         grade = row["grade"]
         if name == "toxic" and grade > 0:
             times = int(strong[words].sum())
-            grade = 1 if times <= 1 else 2 if times <= 3 else 3
+            grade = 1 + sum(times >= least for least in GRADE_FROM)
         x_rows.append(place[np.unique(words)])
         grades.append(grade)
-    _, dense = np.unique(np.array(grades), return_inverse=True)
-    learned, cuts = fit(x_rows, dense, len(chosen))
+    if not grades or not max(grades):
+        return None
+    learned, cuts = fit(x_rows, np.array(grades), len(chosen))
     weights = np.zeros(WORDS)
     weights[chosen["word"]] = learned
     return Model(weights, cuts)
