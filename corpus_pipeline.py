@@ -8,11 +8,29 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.common import kept_in_files, read_table
 from millrace.llm.decontamination import remove_contaminated
+from millrace.llm.line_dedup import remove_repeated_lines
 from millrace.llm.packing import pack
+from millrace.llm.quality_rules import remove_rejected
+from millrace.llm.simhash import keep_one_of_each
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rule and the learned rules keep."""
+    return remove_rejected(docs, read_table(spark, sf_dir, "labels"))
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without later copies of repeated lines."""
+    return remove_repeated_lines(docs)
+
+
+def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return keep_one_of_each(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without those that hold benchmark passages."""
     return remove_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
@@ -24,6 +42,9 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", apply_quality_rules),
+    ("line dedup", dedup_lines),
+    ("near-dedup", dedup_documents),
     ("decontamination", decontaminate),
     ("packing", pack_sequences),
 ]
@@ -36,5 +57,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each result written and read again."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = kept_in_files(stage(spark, docs, sf_dir), name)
+        docs = kept_in_files(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

@@ -2,4 +2,51 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+#: White space that separates words: the ASCII kinds alone.
+_WHITE = r"[\x20\x09-\x0D]+"
+_HAS_WORD = r"[^\x20\x09-\x0D]"
+
+OP10 = rf"""
+WITH lines AS (
+  SELECT doc_id, line_no, line,
+         row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS seq
+  FROM (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+           generate_subscripts(string_split(text, chr(10)), 1) AS line_no
+    FROM documents
+  )
+  WHERE regexp_matches(line, '{_HAS_WORD}')
+), pairs AS (
+  SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY seq) AS next_line,
+         len(list_filter(regexp_split_to_array(line, '{_WHITE}'), lambda w: w <> '')) AS n_words,
+         row_number() OVER (PARTITION BY line ORDER BY doc_id, seq) AS copy_of_line
+  FROM lines
+), copies AS (
+  SELECT *, row_number() OVER (PARTITION BY line, next_line ORDER BY doc_id, seq) AS copy_of_pair
+  FROM pairs
+), windows AS (
+  SELECT *, next_line IS NOT NULL AND copy_of_pair > 1 AS pair_goes FROM copies
+), marked AS (
+  SELECT *, (n_words >= 5 AND copy_of_line > 1) OR pair_goes
+            OR coalesce(lag(pair_goes) OVER (PARTITION BY doc_id ORDER BY seq), false) AS goes
+  FROM windows
+), every_line AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS line_no
+  FROM documents
+), kept AS (
+  SELECT e.doc_id, count(*) AS n_lines,
+         count(*) FILTER (WHERE coalesce(m.goes, false)) AS n_removed,
+         coalesce(string_agg(e.line, chr(10) ORDER BY e.line_no)
+                  FILTER (WHERE NOT coalesce(m.goes, false)), '') AS text
+  FROM every_line e LEFT JOIN marked m USING (doc_id, line_no)
+  GROUP BY e.doc_id
+)
+SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept k USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {
+    "op10_line_dedup": OP10,
+}

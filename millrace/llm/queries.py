@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.llm.archive import archive
 from millrace.llm.common import read_table
 from millrace.llm.decontamination import find_contamination
 from millrace.llm.html_extraction import extract_pages
 from millrace.llm.language import identify, train
+from millrace.llm.line_dedup import dedup_lines
 from millrace.llm.packing import pack
 from millrace.llm.quality_rules import judge
 from millrace.llm.simhash import near_duplicates
@@ -76,6 +78,17 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each document, and its text without later copies."""
+    found = dedup_lines(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_lines",
+        "n_removed",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
@@ -85,4 +98,5 @@ QUERIES = {
     "op6_warc": op6_warc,
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
+    "op10_line_dedup": op10_line_dedup,
 }

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import kept_in_files
+from millrace.llm.common import kept_in_files, numbered
 from millrace.llm.components import components
 
 BITS = 64
@@ -307,3 +307,15 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, bucket: int = BUC
         "component_id",
         "n_links",
     )
+
+
+def keep_one_of_each(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """``docs`` with one row of each component, the one of the smallest
+    ``doc_id`` (null first, then the first row), and all their columns."""
+    base = numbered(docs, "near-duplicate-rows", F.struct("*").alias("doc"))
+    own = F.struct("doc.doc_id", "row_no").alias("doc_id")
+    found = near_duplicates(base.select(own, F.col("doc.text").alias("text")), distance)
+    first = found.where(F.col("doc_id.row_no") == F.col("component_id.row_no"))
+    return base.join(
+        first.select(F.col("doc_id.row_no").alias("row_no")), "row_no", "left_semi"
+    ).select("doc.*")
