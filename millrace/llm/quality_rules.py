@@ -106,8 +106,7 @@ def base_statistics(docs: DataFrame) -> DataFrame:
     covered = F.flatten(
         F.transform(repeated, lambda w: F.array(w["at"], w["at"] + 1, w["at"] + 2))
     )
-    return counted.select(
-        "doc_id",
+    found = F.struct(
         "n_words",
         "word_chars",
         "n_symbols",
@@ -115,6 +114,9 @@ def base_statistics(docs: DataFrame) -> DataFrame:
         "n_dup_lines",
         F.size(F.array_distinct(covered)).cast("long").alias("n_repeat_words"),
     )
+    # One generated row: a filter on the counts above this is not moved below
+    # it, where it would repeat the expressions that make them.
+    return counted.select("doc_id", F.inline(F.array(found)))
 
 
 def with_features(statistics: DataFrame) -> DataFrame:
@@ -271,7 +273,7 @@ def remove_rejected(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     found = with_features(base_statistics(docs.select("doc_id", "text")))
     rules = learn_rules(kept_in_files(found, "text-statistics"), labels)
-    row = F.struct(*[F.col(c) for c in docs.columns])
-    judged = docs.select(row.alias("doc_id"), "text")
+    whole = F.struct("*").alias("doc_id")  # the row in place of its id
+    judged = docs.select(whole, "text")
     judged = with_features(base_statistics(judged)).where(verdict(rules))
     return judged.select("doc_id.*")
