@@ -13,6 +13,7 @@ from millrace.llm.language import identify, train
 from millrace.llm.line_dedup import dedup_lines
 from millrace.llm.packing import pack
 from millrace.llm.quality_rules import judge
+from millrace.llm.repeated_passages import remove_repeated
 from millrace.llm.simhash import near_duplicates
 from millrace.llm.toxicity import rate, train as train_toxicity
 
@@ -67,6 +68,11 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of each document in strings that occur elsewhere."""
+    return remove_repeated(read_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected severity of each document."""
     docs = read_table(spark, sf_dir, "documents")
@@ -96,6 +102,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_html_extraction": op5_html_extraction,
     "op6_warc": op6_warc,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
