@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import kept_in_files
 
-#: Labelled documents that training reads, on average, of each label.
+#: Labelled documents that training reads of each label, at most.
 SAMPLE = 4000
 #: Hashed words, and how many of them the model may use.
 WORDS = 1 << 20
@@ -141,9 +141,9 @@ def _presence(docs: DataFrame, keep: np.ndarray | None) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
     """A model of ``docs(doc_id, text)`` with ``labels(doc_id, toxic)``.
 
-    Null labels and texts are left out; of several labels the highest counts. A
-    sample of ``sample`` documents on average of each label is drawn by a hash
-    of the text. Word counts are summed by Spark over the sample; the driver
+    Null labels and texts are left out; of several labels the highest counts. Of
+    either label the ``sample`` documents with the smallest hashes of their ids
+    are read. Word counts are summed by Spark over the sample; the driver
     gets one row for each chosen word, and the chosen words of the sample.
     None if one of the labels is missing.
     """
@@ -153,15 +153,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
         .groupBy("doc_id")
         .agg(F.max(F.col(name).cast("int")).alias("grade"))
     )
-    rows = docs.where("text IS NOT NULL").select("doc_id", "text").join(marks, "doc_id")
     toxic = F.col("grade") > 0
-    sizes = {r[0]: r[1] for r in marks.groupBy(toxic).agg(F.count("*")).collect()}
-    if len(sizes) < 2:
-        return None
-    limit = F.when(toxic, F.lit(max(1, sample * 1_000_000 // sizes[True]))).otherwise(
-        F.lit(max(1, sample * 1_000_000 // sizes[False]))
-    )
-    drawn = rows.where(F.pmod(F.xxhash64("text", F.lit("train")), F.lit(1_000_000)) < limit)
+    by_hash = (F.xxhash64("doc_id"), F.col("doc_id"))
+    drawn = marks.where(toxic).orderBy(*by_hash).limit(sample)
+    drawn = drawn.union(marks.where(~toxic).orderBy(*by_hash).limit(sample))
+    # At most twice the sample of rows of two numbers: small enough to send to
+    # every task, so that no text is shuffled.
+    drawn = docs.where("text IS NOT NULL").join(F.broadcast(drawn), "doc_id")
     drawn = kept_in_files(drawn.select("grade", "text"), "labelled-texts")
     counts = (
         _presence(drawn, None)
