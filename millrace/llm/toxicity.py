@@ -1,14 +1,14 @@
 """Toxicity severity by cumulative-link ordinal regression.
 
-A document's features are which hashed words it holds, chosen by how they
-divide the labelled rows. One weight vector is shared by all grades; ordered
+A document's features are which words and beginnings of words it holds, chosen
+by how they divide the labelled rows. One weight vector is shared by all grades; ordered
 thresholds cut the same score into grades:
 ``P(grade <= k) = logistic(threshold_k - score)``. The result is the expected
 grade.
 
 The label table only says toxic or not. Grades of severity come from it: words
-are rated by their log odds in toxic documents, and a toxic document's grade
-grows with the number of occurrences of strong words and stems (1 to 3). Documents that are not toxic have grade 0. A label column
+are chosen by their log odds in toxic documents, and a toxic document's grade
+grows with the number of different ones it holds (1 to 3). Documents that are not toxic have grade 0. A label column
 ``severity`` of whole numbers from 0 is used instead where there is one.
 """
 
@@ -28,55 +28,60 @@ from millrace.llm.common import kept_in_files
 
 #: Labelled documents that training reads of each label, at most.
 SAMPLE = 4000
-#: Hashed words, and how many of them the model may use.
-WORDS = 1 << 20
+#: Words and beginnings that the model may use.
 CHOSEN = 4096
 #: Letters of the beginnings of words that are features besides the word.
 STEMS = (4, 5, 6)
 #: Documents of the sample that a chosen word needs.
 LEAST_DOCS = 5
-#: Standard errors by which the log odds of a chosen word differ from zero; of
-#: as many words as are hashed, a few pass this by chance.
+#: Log odds of a chosen word, and the standard errors by which they exceed zero.
+STRONG = 3.5
 CERTAIN = 4.5
-#: Log odds from which on a word is strong.
-STRONG = 2.5
 RIDGE = 1e-3
 STEPS = 400
-#: Occurrences of strong words and stems from which on a grade is 2, and 3.
-GRADE_FROM = (6, 12)
+#: Different chosen words from which on a toxic document's grade is 2, and 3.
+GRADE_FROM = (5, 10)
 
 
-def word_numbers(text: str | None) -> np.ndarray:
-    """Hashed words of letters in lower case and their beginnings, in order.
+class Reader:
+    """Turns texts into the numbers of their words and of the beginnings of these.
 
-    Beginnings stand for a stem, whose words have many endings.
+    Beginnings stand for a stem, whose words have many endings. ``places`` gives
+    the numbers that are wanted and what they become.
     """
-    plain = (text or "").lower().encode("utf-8", "surrogatepass").translate(_SPLIT).split()
-    cache, out = _SEEN, []
-    for w in plain:
-        found = cache.get(w)
-        if found is None:
-            if len(cache) > 200_000:
-                cache.clear()
-            found = cache[w] = _hashes(w)
-        out += found
-    return np.array(out, np.int64)
 
+    def __init__(self, places: dict[int, int] | None = None):
+        self.places, self.seen = places, {}
+
+    def numbers(self, text: str | None) -> np.ndarray:
+        plain = (text or "").lower().encode("utf-8", "surrogatepass").translate(_SPLIT).split()
+        seen, out = self.seen, []
+        for w in plain:
+            found = seen.get(w)
+            if found is None:
+                if len(seen) > 200_000:
+                    seen.clear()
+                found = seen[w] = self._of(w)
+            out += found
+        return np.array(out, np.int64)
+
+    def _of(self, word: bytes) -> tuple[int, ...]:
+        letters = word.decode("utf-8", "replace")
+        stems = [f"{letters[:n]}-" for n in STEMS if len(letters) > n]
+        numbers = (zlib.crc32(x.encode()) for x in (letters, *stems))
+        if self.places is None:
+            return tuple(numbers)
+        return tuple(self.places[n] for n in numbers if n in self.places)
 
-def _hashes(word: bytes) -> tuple[int, ...]:
-    letters = word.decode("utf-8", "replace")
-    stems = [f"{letters[:n]}-" for n in STEMS if len(letters) > n]
-    return tuple(zlib.crc32(x.encode()) % WORDS for x in (letters, *stems))
 
-
-_SEEN: dict[bytes, tuple[int, ...]] = {}
 _SPLIT = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
 @dataclass
 class Model:
-    """Score of each hashed word, and the thresholds between grades."""
+    """Weights of the chosen words by number, and the thresholds between grades."""
 
+    places: dict[int, int]
     weights: np.ndarray
     thresholds: np.ndarray
 
@@ -122,20 +127,19 @@ def fit(x_rows: list[np.ndarray], grades: np.ndarray, width: int) -> tuple[np.nd
     return values[:width], cuts
 
 
-def _presence(docs: DataFrame, keep: np.ndarray | None) -> DataFrame:
-    """``docs(grade, text)`` to the hashed words of each: ``words``,
-    distinct or, if ``keep`` is given, all occurrences of kept ones."""
-    shared = docs.sparkSession.sparkContext.broadcast(keep)
+def _presence(docs: DataFrame, places: dict[int, int] | None) -> DataFrame:
+    """``docs(grade, text)`` to the distinct words of each: ``words``."""
+    # None, or no more than CHOSEN entries.
+    shared = docs.sparkSession.sparkContext.broadcast(places)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = shared.value
+        reader = Reader(shared.value)
         for batch in batches:
-            found = [word_numbers(text) for text in batch.column(1).to_pylist()]
-            found = [np.unique(w) if kept is None else w[kept[w]] for w in found]
-            words = pa.array([w.astype(np.int32) for w in found], pa.list_(pa.int32()))
+            found = [np.unique(reader.numbers(text)) for text in batch.column(1).to_pylist()]
+            words = pa.array(found, pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), words], names=["grade", "words"])
 
-    return docs.select("grade", "text").mapInArrow(run, "grade int, words array<int>")
+    return docs.select("grade", "text").mapInArrow(run, "grade int, words array<bigint>")
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
@@ -177,40 +181,31 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
         return None
     bad, good = F.col("bad") + 0.5, F.col("good") + 0.5
     odds = F.log(bad / (bad_n + 1.0)) - F.log(good / (good_n + 1.0))
-    strength = F.abs(odds) / F.sqrt(1 / bad + 1 / good)
+    strength = odds / F.sqrt(1 / bad + 1 / good)
     chosen = (
-        counts.select("word", odds.alias("odds"), strength.alias("strength"))
+        counts.where(odds >= STRONG)
+        .select("word", strength.alias("strength"))
         .where(F.col("strength") >= CERTAIN)
         .orderBy(F.desc("strength"), "word")
         .limit(CHOSEN)
-        .toPandas()
+        .collect()
     )
-    if chosen.empty:
+    if not chosen:
         return None
-    keep = np.zeros(WORDS, bool)
-    keep[chosen["word"]] = True
-    strong = np.zeros(WORDS, bool)
-    strong[chosen["word"][chosen["odds"] >= STRONG]] = True
-    place = np.zeros(WORDS, np.int64)
-    place[chosen["word"]] = np.arange(len(chosen))
+    places = {row["word"]: k for k, row in enumerate(chosen)}
     x_rows, grades = [], []
-    for row in _presence(drawn, keep).toLocalIterator():
+    for row in _presence(drawn, places).toLocalIterator():
         words = np.array(row["words"], np.int64)
         grade = row["grade"]
         if name == "toxic" and grade > 0:
-            times = int(strong[words].sum())
-            grade = 1 + sum(times >= least for least in GRADE_FROM)
-        x_rows.append(place[np.unique(words)])
+            grade = 1 + sum(len(words) >= least for least in GRADE_FROM)
+        x_rows.append(words)
         grades.append(grade)
-    if not grades or not max(grades):
-        return None
-    learned, cuts = fit(x_rows, np.array(grades), len(chosen))
-    weights = np.zeros(WORDS)
-    weights[chosen["word"]] = learned
-    return Model(weights, cuts)
+    learned, cuts = fit(x_rows, np.array(grades), len(places))
+    return Model(places, learned, cuts)
 
 
-_MODELS: dict[str, Model] = {}
+_MODELS: dict[str, tuple[Model | None, Reader]] = {}
 
 
 def rate(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -226,15 +221,15 @@ def rate(docs: DataFrame, model: Model | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if name not in _MODELS:
             _MODELS.clear()
-            _MODELS[name] = shared.value
-        model = _MODELS[name]
+            _MODELS[name] = (shared.value, Reader(shared.value.places if shared.value else {}))
+        model, reader = _MODELS[name]
         for batch in batches:
             texts = batch.column(1).to_pylist()
             if model is None:
                 severity, toxic = np.zeros(len(texts)), np.zeros(len(texts), bool)
             else:
                 score = np.array(
-                    [model.weights[np.unique(word_numbers(t))].sum() for t in texts]
+                    [model.weights[np.unique(reader.numbers(t))].sum() for t in texts]
                 )
                 severity, toxic = model.expected(score), score > model.thresholds[0]
             yield pa.RecordBatch.from_arrays(
