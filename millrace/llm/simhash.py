@@ -203,7 +203,7 @@ def _stars(values: list[int], distance: int) -> list[tuple[int, int]]:
     if len(values) == 2:
         a, b = values
         return [(a, b)] if ((a ^ b) & (2**BITS - 1)).bit_count() <= distance else []
-    found = np.array(values, np.int64)
+    found = np.array(values, np.int64).view(np.uint64)  # signed bits are counted by value
     parent = list(range(len(values)))
 
     def top(x: int) -> int:
