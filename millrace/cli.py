@@ -4,6 +4,7 @@
     python -m millrace detect --kafka-servers HOST:PORT --out ROOT --checkpoint ROOT
     python -m millrace slo --tables ROOT [--hours 24]
     python -m millrace load clicks.csv click SOURCE_DATE TARGET_DATE --lake ROOT
+    python -m millrace compact --tables ROOT
     python -m millrace sort clicks.csv sorted/
 """
 
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+from pathlib import PurePosixPath
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
@@ -21,6 +23,7 @@ from millrace.operators import ingest, slo
 from millrace.plans import daily_jobs
 from millrace.session import build_session
 from millrace.sinks import lake as lake_sink
+from millrace.sinks.anomalies import compact_anomalies, read_anomaly_table
 from millrace.sources import csv_files, kafka
 from millrace.streaming import jobs
 from millrace.streaming.listener import ProgressListener
@@ -37,6 +40,7 @@ def parser() -> argparse.ArgumentParser:
     daily.add_argument("--tables", required=True)
     daily.add_argument("--only", action="append", help="table to write; may be repeated")
     daily.add_argument("--top-n", type=int, default=100)
+    daily.add_argument("--top-categories", type=int, default=20)
 
     found = commands.add_parser("detect", help="run the anomaly queries on a topic")
     found.add_argument("--kafka-servers", required=True)
@@ -63,6 +67,9 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("target_date", type=parse_date)
     load.add_argument("--lake", required=True)
 
+    fold = commands.add_parser("compact", help="fold the batches of the anomaly table")
+    fold.add_argument("--tables", required=True, help="--out of the detection job")
+
     order = commands.add_parser("sort", help="sort a CSV file by time")
     order.add_argument("csv")
     order.add_argument("out")
@@ -80,7 +87,7 @@ def run_detect(spark: SparkSession, args: argparse.Namespace) -> None:
         args.kafka_servers,
         max_offsets=args.max_offsets_per_trigger,
     )
-    events = ingest.repair(kafka.decode_avro_frames(frames, schema))
+    events = ingest.repair(kafka.decode_avro_frames(frames, schema), keep_undecodable=True)
     settings = jobs.DetectionSettings(
         watermark_minutes=args.event_time_policy_minutes, dedup_spread=args.dedup_spread
     )
@@ -101,11 +108,20 @@ def load_day(
     target_date: dt.date,
     lake_root: str,
 ) -> None:
-    """Events of one day of a CSV file, moved to another date, into the lake."""
+    """Events of one day of a CSV file, moved to another date, into the lake.
+
+    Ids are made from the moved times. Rows that cannot be parsed go to the
+    dead letters beside the events. A repeated load replaces its own rows.
+    """
     read = csv_files.read_click_csv if kind == "click" else csv_files.read_purchase_csv
-    valid, _ = ingest.split_valid(read(spark, csv))
-    moved = ingest.rebase_date(ingest.select_day(valid, source_date), target_date)
-    lake_sink.write_lake(moved, lake_root, kind)
+    valid, rejects = ingest.split_valid(read(spark, csv, target=target_date))
+    label = f"load-{PurePosixPath(csv).stem}-{source_date}"
+    chosen = ingest.select_day(valid, source_date, "read_ts").drop("read_ts")
+    lake_sink.write_lake(chosen, lake_root, kind, label)
+    letters = ingest.dead_letters(rejects, f"{kind}-loader", kind)
+    letters.write.mode("overwrite").parquet(
+        f"{lake_root.rstrip('/')}/dead_letters/{kind}/batch={label}"
+    )
 
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
@@ -113,7 +129,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     spark = spark or build_session(f"millrace-{args.command}")
     if args.command == "daily":
         written = daily_jobs.run_daily(
-            spark, args.lake, args.tables, args.start, args.end, args.only, args.top_n
+            spark, args.lake, args.tables, args.start, args.end, args.only, args.top_n,
+            args.top_categories,
         )
         for name, count in written.items():
             print(f"{name}: {count} rows")
@@ -121,12 +138,10 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         run_detect(spark, args)
     elif args.command == "slo":
         now = args.as_of or dt.datetime.now(dt.timezone.utc)
-        found = [
-            jobs.read_anomalies(spark, f"{args.tables.rstrip('/')}/{name}")
-            for name in ("high_frequency", "bot_like")
-        ]
-        anomalies = found[0].unionByName(found[1])
+        anomalies = read_anomaly_table(spark, args.tables)
         print(slo.slo_report(anomalies, now, args.hours).first()[0])
+    elif args.command == "compact":
+        compact_anomalies(spark, args.tables)
     elif args.command == "load":
         load_day(spark, args.csv, args.kind, args.source_date, args.target_date, args.lake)
     elif args.command == "sort":

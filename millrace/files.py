@@ -16,6 +16,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, target = _path(spark, path)
+    return fs.exists(target) and fs.getFileStatus(target).isDirectory()
+
+
 def matches(spark: SparkSession, pattern: str) -> bool:
     """Whether a path or glob names anything at all."""
     fs, target = _path(spark, pattern)

@@ -28,9 +28,20 @@ def event_time(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("timestamp")
 
 
+# A whole date, a time of hours and minutes at least, and a zone if any.
+ISO_TIME = (
+    r"^\d{4}-\d{2}-\d{2}"
+    r"([T ]\d{2}:\d{2}(:\d{2}([.,]\d{1,9})?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
+)
+
+
 def parse_iso(text: Column) -> Column:
-    """ISO-8601 text, with or without zone, to timestamp; unparseable gives null."""
-    return F.trim(text).try_cast("timestamp")
+    """ISO-8601 text with a full date, with or without time and zone; else null.
+
+    A cast alone would take a bare time for today, and a bare year for a date.
+    """
+    plain = F.trim(text)
+    return F.when(plain.rlike(ISO_TIME), plain.try_cast("timestamp"))
 
 
 def wall_time(ts: Column) -> Column:

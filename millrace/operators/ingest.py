@@ -47,9 +47,13 @@ def drop_undecodable(df: DataFrame) -> DataFrame:
     return df.filter(F.col("session_id").isNotNull())
 
 
-def repair(df: DataFrame) -> DataFrame:
-    """All repairs in order; needs ``kafka_ingest_ts`` next to the event columns."""
-    return fill_event_id(fill_ingest_time(normalise_event_time(drop_undecodable(df))))
+def repair(df: DataFrame, keep_undecodable: bool = False) -> DataFrame:
+    """All repairs in order; needs ``kafka_ingest_ts`` next to the event columns.
+
+    Undecodable rows are dropped, or kept for :func:`unusable` to route.
+    """
+    rows = df if keep_undecodable else drop_undecodable(df)
+    return fill_event_id(fill_ingest_time(normalise_event_time(rows)))
 
 
 # --- late events ------------------------------------------------------------
@@ -72,17 +76,31 @@ def without_time(df: DataFrame) -> DataFrame:
     return df.filter(F.col("event_ts").isNull())
 
 
-def late_payload(late: DataFrame) -> DataFrame:
+def unusable(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(usable rows, dead letters): rows without a session or an event time.
+
+    The letters have a key and a JSON value with the reason.
+    """
+    bad = F.col("session_id").isNull() | F.col("event_ts").isNull()
+    reason = F.when(F.col("session_id").isNull(), "undecodable").otherwise("no_event_time")
+    return df.filter(~bad), late_payload(df.filter(bad), reason)
+
+
+# The fields of a record on the late-events topic, and its reason.
+def late_payload(late: DataFrame, reason: Column | None = None) -> DataFrame:
     """Key and JSON value of a record on the late-events topic."""
     fields = ["event_id", "session_id", "item_id", "event_type", "event_ts", "kafka_ingest_ts"]
     return late.select(
         F.col("event_id").cast("string").alias("key"),
-        F.to_json(F.struct(*fields, F.lit("too_late").alias("reason"))).alias("value"),
+        F.to_json(
+            F.struct(*fields, (F.lit("too_late") if reason is None else reason).alias("reason"))
+        ).alias("value"),
     )
 
 
 # --- parsing raw text rows --------------------------------------------------
 
+# Fixed value: how the text of a rejected row's error begins.
 FAILED = "Failed to parse row"
 
 
@@ -93,12 +111,23 @@ def _error(checks: list[tuple[Column, str]]) -> Column:
     )
 
 
+def _moved(parsed: DataFrame, target: str | dt.date | None) -> DataFrame:
+    """Event times on the date ``target``; ``read_ts`` keeps them as read."""
+    if target is None:
+        return parsed
+    return rebase_date(parsed.withColumn("read_ts", F.col("event_ts")), target)
+
+
 def parse_clicks(
-    raw: DataFrame, source: str = "producer_clicks", now: object | None = None
+    raw: DataFrame,
+    source: str = "producer_clicks",
+    now: object | None = None,
+    target: str | dt.date | None = None,
 ) -> DataFrame:
     """Typed click columns next to ``error`` and the row as read (``original``).
 
-    Header variants are accepted; text is parsed once and never raises.
+    Header variants are accepted; text is parsed once and never raises. With
+    ``target`` events move to that date before they get their ids.
     """
     ts = first_non_empty(raw, S.TIMESTAMP_NAMES)
     session = first_non_empty(raw, S.SESSION_NAMES)
@@ -113,6 +142,7 @@ def parse_clicks(
         F.trim(item).try_cast("long").alias("item_id"),
         normal_category(first_non_empty(raw, S.CATEGORY_NAMES)).alias("category"),
     )
+    parsed = _moved(parsed, target)
     missing = F.col("_ts").isNull() | F.col("_session").isNull() | F.col("_item").isNull()
     error = _error(
         [
@@ -129,7 +159,10 @@ def parse_clicks(
 
 
 def parse_purchases(
-    raw: DataFrame, source: str = "producer_purchases", now: object | None = None
+    raw: DataFrame,
+    source: str = "producer_purchases",
+    now: object | None = None,
+    target: str | dt.date | None = None,
 ) -> DataFrame:
     """Typed purchase columns next to ``error`` and ``original``.
 
@@ -153,6 +186,7 @@ def parse_purchases(
         F.trim(text["_price"]).try_cast(S.MONEY).alias("price"),
         F.trim(text["_quantity"]).try_cast("int").alias("quantity"),
     )
+    parsed = _moved(parsed, target)
     missing = F.lit(False)
     for name in fields:
         missing = missing | F.col(name).isNull()

@@ -40,20 +40,17 @@ def run_daily(
     end: str | dt.date | None = None,
     names: Iterable[str] | None = None,
     top_items: int = 100,
+    top_categories: int = 20,
 ) -> dict[str, int]:
     """Compute and replace the days ``start``..``end``; rows written per table.
 
-    Purchases may be missing; a range without clicks is an error. Every run
-    leaves a RUNNING and a closing row in ``pipeline_runs``.
+    Purchases may be missing; a range without clicks is an error. A day without
+    rows ends up empty. Every run, also one without data, leaves a RUNNING and a
+    closing row in ``pipeline_runs``.
     """
     first = parse_date(start)
     last = parse_date(end) if end is not None else first
-    clicks = lake.for_reports(lake.read_events(spark, lake_root, "click", first, last))
-    if clicks.isEmpty():
-        raise ValueError(f"no click data for {first} .. {last}")
-    purchases = lake.for_reports(lake.read_events(spark, lake_root, "purchase", first, last))
-    reports = daily_reports(clicks, purchases, top_items)
-
+    days = [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
     runs_path = f"{tables_root}/pipeline_runs"
     run_id = uuid.uuid4().hex
     started_at = dt.datetime.now(dt.timezone.utc)
@@ -63,16 +60,16 @@ def run_daily(
 
     written: dict[str, int] = {}
     try:
+        clicks = lake.for_reports(lake.read_events(spark, lake_root, "click", first, last))
+        if clicks.isEmpty():
+            raise ValueError(f"no click data for {first} .. {last}")
+        purchases = lake.for_reports(lake.read_events(spark, lake_root, "purchase", first, last))
+        reports = daily_reports(clicks, purchases, top_items, top_categories)
         for name in names or reports:
-            report, path = reports[name], f"{tables_root}/{name}"
-            if first == last:
-                written[name] = tables.replace_date(report, path, first)
-            else:
-                written[name] = tables.replace_dates(report, path)
+            path = f"{tables_root}/{name}"
+            written[name] = tables.replace_dates(reports[name], path, days=days)
     except Exception as error:
-        ops.run_ended(started, "FAILED", error=str(error)[:500]).write.mode("append").parquet(
-            runs_path
-        )
+        ops.run_ended(started, "FAILED", error=str(error)).write.mode("append").parquet(runs_path)
         raise
     ops.run_ended(started, "SUCCESS", sum(written.values())).write.mode("append").parquet(
         runs_path

@@ -141,14 +141,21 @@ LATE_INPUT = """timed AS (
 CUTOFF = "(SELECT max(ts) - INTERVAL 5 DAY FROM ev)"
 
 RAW_CLICKS = """raw_clicks AS (
-  SELECT CAST(session_id AS VARCHAR) AS sid,
-         CASE WHEN eid % 75 = 0 THEN '' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') END AS t,
+  SELECT *, CASE WHEN t = '' THEN 'missing required column' WHEN damaged THEN 'bad timestamp'
+                 WHEN item = 'x' THEN 'bad item id' END AS error
+  FROM (SELECT CAST(session_id AS VARCHAR) AS sid,
+         CASE WHEN eid % 75 = 0 THEN '' WHEN eid % 61 = 0 THEN strftime(ts, '%H:%M:%S')
+              WHEN eid % 67 = 0 THEN strftime(ts, '%Y')
+              WHEN eid % 71 = 0 THEN '-' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ')
+              ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') END AS t,
+         eid % 61 = 0 OR eid % 67 = 0 OR eid % 71 = 0 AS damaged,
          CASE WHEN eid % 50 = 0 THEN 'x' ELSE CAST(item_id AS VARCHAR) END AS item,
          coalesce(category, '0') AS cat, session_id, item_id, event_ms, eid, category
-  FROM categorised)"""
+  FROM categorised))"""
 
 RAW_PURCHASES = """raw_purchases AS (
-  SELECT *, CASE WHEN eid % 20 = 0 THEN 'Failed to parse row: bad price'
+  SELECT *, CASE WHEN eid % 17 = 0 THEN 'Failed to parse row: bad timestamp'
+                 WHEN eid % 20 = 0 THEN 'Failed to parse row: bad price'
                  WHEN eid % 30 = 0 THEN 'Failed to parse row: bad quantity' END AS error
   FROM purchases)"""
 
@@ -285,11 +292,11 @@ FROM timed WHERE event_ts < {CUTOFF}"""
 
 DEAD_LETTERS = """SELECT sid AS key,
   '{"producer":"click-loader","source_topic":"clicks","stage":"parse","error":"Failed to parse row: '
-  || CASE WHEN t = '' THEN 'missing required column' ELSE 'bad item id' END
+  || error
   || '","timestamp":"' || strftime((SELECT max(ts) FROM ev), '%Y-%m-%dT%H:%M:%S.%f+00:00')
   || '","original_data":{"Session ID":"' || sid || '","Timestamp":"' || t || '","Item ID":"' || item
   || '","Category":"' || cat || '"},"event":null}' AS value
-FROM raw_clicks WHERE t = '' OR item = 'x'"""
+FROM raw_clicks WHERE error IS NOT NULL"""
 
 PURCHASE_ID = """sha256(concat_ws('|', session_id, item_id, event_ms, quantity,
   regexp_replace(CAST(price AS VARCHAR), '(\\.\\d)0$', '\\1'), 'purchase'))"""
@@ -406,16 +413,15 @@ QUALITY = "\nUNION ALL\n".join(
 )
 
 CAPACITY = """, expected(name) AS (VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view'), ('absent')),
-per_query AS (
-  SELECT e.name, concat_ws('; ',
-      CASE WHEN coalesce(s.batches, 0) = 0 THEN e.name || ' produced no progress record' END,
-      CASE WHEN s.lag_end > 0 THEN e.name || ' ended with Kafka lag ' || s.lag_end END,
-      CASE WHEN e.name <> 'view' AND s.trigger_ms_p95 > 5000
-           THEN printf('%s trigger p95 was %.2f ms (> 5000 ms)', e.name, s.trigger_ms_p95) END) AS r
-  FROM expected e LEFT JOIN summ s USING (name)),
-found AS (SELECT string_agg(r, '; ' ORDER BY name) FILTER (WHERE r <> '') AS r FROM per_query)
-SELECT FALSE AS passed, concat_ws('; ', 'producer delivery latency p95 was 1200.50 ms', r) AS reasons
-FROM found"""
+figures AS (
+  SELECT e.name, CAST(coalesce(s.batches, 0) AS DOUBLE) AS batches,
+         CAST(s.lag_end AS DOUBLE) AS lag_end, s.trigger_ms_p95
+  FROM expected e LEFT JOIN summ s USING (name))
+SELECT name, 'progress' AS rule, batches AS actual, CAST(1 AS DOUBLE) AS allowed,
+       batches >= 1 AS passed FROM figures
+UNION ALL SELECT name, 'lag', lag_end, 0, lag_end <= 0 FROM figures
+UNION ALL SELECT name, 'trigger_p95', trigger_ms_p95, 5000, trigger_ms_p95 <= 5000
+FROM figures WHERE name <> 'view'"""
 
 SUMMARY_FLAGS = """SELECT session_id, CAST(min(ts) AS DATE) AS metric_date,
   make_timestamp(min(event_ms) * 1000) AS first_event_ts,
@@ -592,7 +598,7 @@ WHERE x.category IS NOT NULL GROUP BY 1, 2""",
     "valid_events": _sql(
         """SELECT session_id, make_timestamp(event_ms * 1000) AS event_ts, item_id, category,
   'click' AS event_type, sha256(concat_ws('|', session_id, item_id, event_ms, 'click')) AS event_id,
-  'producer_clicks' AS source FROM raw_clicks WHERE t <> '' AND item <> 'x'""",
+  'producer_clicks' AS source FROM raw_clicks WHERE error IS NULL""",
         "raw_clicks",
     ),
     "dead_letters": _sql(DEAD_LETTERS, "raw_clicks"),
@@ -625,6 +631,18 @@ WHERE metric_date = DATE '2024-01-15'""",
     ),
     "sorted_events": _sql("SELECT ts AS event_ts, eid, session_id FROM ev ORDER BY ts, eid", "ev"),
     "lake_roundtrip": _sql(LAKE, "clicks"),
+    "lake_day": _sql(f"SELECT * FROM ({LAKE}) WHERE dt = DATE '2024-01-15'", "clicks"),
+    "stream_anomaly_table": _sql(
+        f"""SELECT {ANOMALY_FIELDS} FROM anomalies WHERE anomaly_type = 'BOT_LIKE' AND anomaly_score >= 0.5
+ORDER BY detected_at DESC, event_id LIMIT 100""",
+        "anomalies",
+    ),
+    "routed_events": _sql(
+        f"""SELECT CASE WHEN eid % 40 = 0 THEN 'undecodable' WHEN eid % 30 = 0 THEN 'no_event_time'
+  WHEN ts < {CUTOFF} THEN 'late' ELSE 'on_time' END AS route, count(*) AS rows
+FROM ev GROUP BY 1""",
+        "ev",
+    ),
     "replace_date_roundtrip": _sql(
         """SELECT metric_date, CASE WHEN metric_date = DATE '2024-01-15' THEN total_clicks + 1000
   ELSE total_clicks END AS total_clicks, CAST(total_revenue AS DOUBLE) AS total_revenue
@@ -635,7 +653,7 @@ FROM daily WHERE metric_date <> DATE '2024-01-20'""",
         """SELECT session_id, window_start, anomaly_type,
   CASE WHEN anomaly_type = 'HIGH_FREQUENCY' AND click_count > 4 THEN click_count * 10
        ELSE click_count END AS click_count, CAST(window_start AS DATE) AS window_date
-FROM anomalies""",
+FROM anomalies UNION ALL SELECT NULL, NULL, NULL, 2, NULL""",
         "anomalies",
     ),
     "recent_anomalies": _sql(
@@ -806,5 +824,5 @@ WHERE window_start < TIMESTAMP '2024-01-21' GROUP BY 1""",
 FROM recovery""",
         "recovery",
     ),
-    "capacity_verdict": _sql(CAPACITY, "summ"),
+    "capacity_checks": _sql(CAPACITY, "summ"),
 }

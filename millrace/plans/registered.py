@@ -8,6 +8,7 @@ money as double, collections as text.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,13 +35,20 @@ from millrace.session import (
     BASE_CONF,
     session_conf,
     state_conf,
-    stream_partitions,
     work_path,
 )
 from millrace.sinks import lake as lake_sink
 from millrace.sinks import tables
+from millrace.sinks.anomalies import (
+    ANOMALY_KEYS,
+    WINDOW_DATE,
+    batches_path,
+    compact_anomalies,
+    read_anomaly_table,
+)
 from millrace.sources import event_table as et
 from millrace.sources import lake
+from millrace.sources import tables as result_tables
 from millrace.sources.progress_log import parse_progress_lines, progress_rows
 from millrace.streaming import jobs
 
@@ -252,8 +260,12 @@ STREAM_SETTINGS = jobs.DetectionSettings(
 )
 
 
+# Partitions of every stateful query here; a stream keeps what it first had.
+STREAM_PARTITIONS = "8"
+
+
 def _stream_conf(spark: SparkSession) -> dict[str, str]:
-    return state_conf() | {"spark.sql.shuffle.partitions": stream_partitions(spark)}
+    return state_conf() | {"spark.sql.shuffle.partitions": STREAM_PARTITIONS}
 
 
 def _run_stream_detection(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -274,11 +286,11 @@ def _run_stream_detection(spark: SparkSession, d: str, name: str) -> DataFrame:
     out = work_path(spark, f"stream_{name}")
     with session_conf(spark, _stream_conf(spark)):
         started = jobs.start_anomalies(
-            found, name, f"{out}/table", f"{out}/checkpoint", s.trigger
+            found, name, batches_path(out, name), f"{out}/checkpoint", s.trigger
         )
         jobs.run_available({name: started})
-    current = jobs.read_anomalies(spark, f"{out}/table")
-    return _stable(current).drop(jobs.WINDOW_DATE, "db_write_ts")
+    current = read_anomaly_table(spark, out)
+    return _stable(current).drop(WINDOW_DATE, "db_write_ts")
 
 
 @query
@@ -291,6 +303,49 @@ def stream_bot_like(spark, d):
     return _run_stream_detection(spark, d, "bot_like")
 
 
+@query
+def stream_anomaly_table(spark, d):
+    """Both detectors into one table, compacted between them, served newest first."""
+    out = work_path(spark, "stream_anomalies")
+    # The clock stands at the first day, so that no event is late.
+    s = replace(STREAM_SETTINGS, now="2024-01-01")
+    events = _stream_detection(spark, d).withColumn("event_type", F.col("item_id"))
+    parts = jobs.detections(events, s)
+    with session_conf(spark, _stream_conf(spark)):
+        for name in ("high_frequency", "bot_like"):
+            started = jobs.start_anomalies(
+                parts[name], name, batches_path(out, name), f"{out}/checkpoint", s.trigger
+            )
+            jobs.run_available({name: started})
+            if name == "high_frequency":
+                compact_anomalies(spark, out)
+    table = _stable(result_tables.read_table(spark, out, "anomaly_sessions"))
+    return serving.recent_anomalies(table, 100, "BOT_LIKE", 0.5)
+
+
+@query
+def routed_events(spark, d):
+    """Rows by where the job sends them; together they are all rows."""
+    events = _late_input(et.read_events(spark, d))
+    damaged = events.withColumns(
+        {
+            "session_id": F.when(F.col("event_id") % 40 != 0, F.col("session_id")),
+            "event_ts": F.when(F.col("event_id") % 30 != 0, F.col("event_ts")),
+        }
+    )
+    usable, letters = ingest.unusable(damaged)
+    on_time, late = ingest.split_late(usable, LATE_MINUTES, _last_event(spark, d))
+    reason = F.get_json_object("value", "$.reason")
+    parts = [
+        on_time.select(F.lit("on_time").alias("route")),
+        late.select(F.lit("late").alias("route")),
+        letters.select(reason.alias("route")),
+    ]
+    return (
+        parts[0].union(parts[1]).union(parts[2]).groupBy("route").agg(F.count("*").alias("rows"))
+    )
+
+
 @query
 def stream_dedup(spark, d):
     source = _stream_detection(spark, d)
@@ -426,7 +481,12 @@ def _raw_clicks(spark: SparkSession, d: str) -> DataFrame:
     return computed_once(
         events,
         F.col("session_id").cast("string").alias("Session ID"),
-        F.when(F.col("eid") % 75 == 0, "").otherwise(iso).alias("Timestamp"),
+        F.when(F.col("eid") % 75 == 0, "")
+        .when(F.col("eid") % 61 == 0, F.date_format("event_ts", "HH:mm:ss"))
+        .when(F.col("eid") % 67 == 0, F.date_format("event_ts", "yyyy"))
+        .when(F.col("eid") % 71 == 0, F.concat(F.lit("-"), iso))
+        .otherwise(iso)
+        .alias("Timestamp"),
         F.when(F.col("eid") % 50 == 0, "x")
         .otherwise(F.col("item_id").cast("string"))
         .alias("Item ID"),
@@ -451,7 +511,9 @@ def _raw_purchases(spark: SparkSession, d: str) -> DataFrame:
     return computed_once(
         events,
         F.col("session_id").cast("string").alias("Session ID"),
-        F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("Timestamp"),
+        F.when(F.col("eid") % 17 == 0, F.date_format("event_ts", "'T'HH:mm"))
+        .otherwise(F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
+        .alias("Timestamp"),
         F.col("item_id").cast("string").alias("Item ID"),
         F.when(F.col("eid") % 20 == 0, "n/a")
         .otherwise(F.col("price").cast("string"))
@@ -529,10 +591,31 @@ def _lake_clicks(clicks: DataFrame) -> DataFrame:
 @query
 def lake_roundtrip(spark, d):
     root = work_path(spark, "lake")
-    lake_sink.write_lake(_lake_clicks(et.read_clicks(spark, d)), root, "click")
+    clicks = _lake_clicks(et.read_clicks(spark, d))
+    # Two loads, one of them repeated; the day and the rest come back as one lake.
+    day = times.on_day(F.col("event_ts"), DAY)
+    lake_sink.write_lake(clicks.filter(~day), root, "click", "rest")
+    for _ in range(2):
+        lake_sink.write_lake(clicks.filter(day), root, "click", "day")
     return lake.read_events(spark, root, "click").drop("ingest_ts")
 
 
+@query
+def lake_day(spark, d):
+    """One day of a lake that a stream and a load wrote into together."""
+    clicks = et.clicks_of(et.as_events(et.stream_raw(spark, d)))
+    out = work_path(spark, "lake_day")
+    with session_conf(spark, _stream_conf(spark)):
+        even = _lake_clicks(clicks.filter(F.col("eid") % 2 == 0))
+        started = lake_sink.stream_to_lake(
+            even, f"{out}/lake", "click", f"{out}/checkpoint", jobs.AVAILABLE_NOW
+        )
+        jobs.run_available({"lake": started})
+    odd = et.read_clicks(spark, d).filter(F.col("eid") % 2 == 1)
+    lake_sink.write_lake(_lake_clicks(odd), f"{out}/lake", "click")
+    return lake.read_events(spark, f"{out}/lake", "click", DAY).drop("ingest_ts")
+
+
 @query
 def replace_date_roundtrip(spark, d):
     """All dates, then one date replaced with other figures and one with nothing."""
@@ -541,7 +624,9 @@ def replace_date_roundtrip(spark, d):
     tables.replace_dates(report, path)
     changed = report.withColumn("total_clicks", F.col("total_clicks") + 1000)
     tables.replace_date(changed, path, DAY)
-    tables.replace_date(report.filter(F.lit(False)), path, "2024-01-20")
+    # A range that has no rows for one of its days.
+    rest = report.filter(F.col("metric_date") != F.lit("2024-01-20").cast("date"))
+    tables.replace_dates(rest, path, days=["2024-01-19", "2024-01-20", "2024-01-21"])
     return spark.read.schema(report.schema).parquet(path)
 
 
@@ -549,7 +634,7 @@ def replace_date_roundtrip(spark, d):
 def upsert_roundtrip(spark, d):
     """High-frequency rows, then changed ones and the bot rows merged in, twice."""
     path = f"{work_path(spark, 'upsert')}/anomaly_sessions"
-    keys, by = jobs.ANOMALY_KEYS, jobs.WINDOW_DATE
+    keys, by = ANOMALY_KEYS, WINDOW_DATE
     kept = ["session_id", "window_start", "anomaly_type", "click_count", by]
     first = jobs.with_window_date(_high_frequency(spark, d)).select(*kept)
     tables.upsert(first, path, keys, by, batch="0")
@@ -557,6 +642,12 @@ def upsert_roundtrip(spark, d):
         "click_count", F.col("click_count") * 10
     )
     changes = again.unionByName(jobs.with_window_date(_bot_like(spark, d)).select(*kept))
+    # Rows of no session and no date must be kept, and replaced, like others.
+    odd = first.limit(0).schema
+    none = spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in odd])
+    none = none.withColumn("click_count", F.lit(1).cast(odd["click_count"].dataType))
+    tables.upsert(none, path, keys, by, batch="none")
+    changes = changes.unionByName(none.withColumn("click_count", F.col("click_count") + 1))
     for batch in ("1", "1"):
         tables.upsert(changes, path, keys, by, batch)
     return spark.read.schema(first.schema).parquet(path)
@@ -903,11 +994,9 @@ def recovery_time(spark, d):
 
 
 @query
-def capacity_verdict(spark, d):
-    found = progress.capacity_verdict(
+def capacity_checks(spark, d):
+    return progress.capacity_checks(
         progress.progress_summary(_progress(spark, d)),
         ["click", "error", "purchase", "signup", "view", "absent"],
         stateless=["view"],
-        producer_p95_ms=1200.5,
     )
-    return found.select("passed", F.array_join("reasons", "; ").alias("reasons"))

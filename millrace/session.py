@@ -106,13 +106,6 @@ def session_conf(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
-def stream_partitions(spark: SparkSession) -> str:
-    """Shuffle partitions for a new stream: the session's, but not more than
-    twice the cores, since every partition of a stateful query is a store."""
-    cores = spark.sparkContext.defaultParallelism
-    return str(min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(2, 2 * cores)))
-
-
 # Stand-in folders by application, used only where the cluster names none.
 _LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -121,7 +114,8 @@ def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in
     ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests on one machine) is a local folder made.
+    Where that is unset, one machine (a local master) gets a local folder; on a
+    cluster that is an error, since executors would write to their own disks.
     """
     context = spark.sparkContext
     configured = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
@@ -129,6 +123,8 @@ def shared_folder(spark: SparkSession) -> str:
     )
     if configured:
         return configured.rstrip("/")
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if context.applicationId not in _LOCAL_FOLDERS:
         _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="millrace-")
     return _LOCAL_FOLDERS[context.applicationId]

@@ -14,8 +14,11 @@ def with_partitions(df: DataFrame, ts: str = "event_ts") -> DataFrame:
     return df.withColumn("dt", F.to_date(moment)).withColumn("hour", F.hour(moment))
 
 
-def write_lake(df: DataFrame, root: str, kind: str, mode: str = "append") -> None:
-    """Write one kind of event below ``root``.
+def write_lake(df: DataFrame, root: str, kind: str, batch: str = "load") -> None:
+    """Write one kind of event below ``root``, in folders (dt, hour, batch).
+
+    Loads and streams share this layout. The dynamic overwrite replaces what an
+    earlier attempt of the same ``batch`` wrote, and nothing else.
 
     The rebalance hint gathers each hour into few files, and lets adaptive
     execution cut an hour that holds far more rows than the others into
@@ -23,23 +26,7 @@ def write_lake(df: DataFrame, root: str, kind: str, mode: str = "append") -> Non
     """
     (
         with_partitions(df)
-        .hint("rebalance", "dt", "hour")
-        .write.partitionBy("dt", "hour")
-        .option("compression", "snappy")
-        .mode(mode)
-        .parquet(f"{root.rstrip('/')}/{kind}")
-    )
-
-
-def write_batch(df: DataFrame, root: str, kind: str, batch_id: int) -> None:
-    """One micro-batch; its rows live in folders of their own (``batch=N``).
-
-    The dynamic overwrite of (dt, hour, batch) replaces only what an earlier
-    attempt of the same micro-batch wrote.
-    """
-    (
-        with_partitions(df)
-        .withColumn("batch", F.lit(batch_id))
+        .withColumn("batch", F.lit(batch))
         .hint("rebalance", "dt", "hour")
         .write.partitionBy("dt", "hour", "batch")
         .option("compression", "snappy")
@@ -52,15 +39,16 @@ def write_batch(df: DataFrame, root: str, kind: str, batch_id: int) -> None:
 def stream_to_lake(
     df: DataFrame, root: str, kind: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """The same as a stream, exactly once through the file sink's own log."""
+    """The same as a stream; a replayed micro-batch overwrites its own rows."""
+    name = f"lake_{kind}"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_lake(batch, root, kind, f"{name}-{batch_id}")
+
     return (
-        with_partitions(df)
-        .writeStream.queryName(f"lake_{kind}")
-        .format("parquet")
-        .option("path", f"{root.rstrip('/')}/{kind}")
-        .option("checkpointLocation", f"{checkpoint}/lake_{kind}")
-        .option("compression", "snappy")
-        .partitionBy("dt", "hour")
+        df.writeStream.queryName(name)
+        .foreachBatch(write)
+        .option("checkpointLocation", f"{checkpoint}/{name}")
         .outputMode("append")
         .trigger(**(trigger or {"processingTime": "5 minutes"}))
         .start()

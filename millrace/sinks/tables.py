@@ -10,19 +10,18 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace import files
+from millrace.functions.joins import null_safe_join
 from millrace.functions.times import parse_date
 from millrace.sources.lake import read_or_empty
 
-# Partitions named one by one for pruning; beyond that a join selects them.
-MAX_LISTED_PARTITIONS = 2_000
-
 
 def _write_partitions(df: DataFrame, path: str, partition: str) -> None:
     (
@@ -33,16 +32,44 @@ def _write_partitions(df: DataFrame, path: str, partition: str) -> None:
     )
 
 
-def replace_dates(df: DataFrame, path: str, partition: str = "metric_date") -> int:
-    """Replace every date that ``df`` has rows for; returns the rows written.
+def replace_dates(
+    df: DataFrame,
+    path: str,
+    partition: str = "metric_date",
+    days: Iterable[str | dt.date] | None = None,
+    coalesce: int | None = None,
+) -> int:
+    """Replace whole dates; returns the rows written.
 
-    Spark stages the new files and swaps the folders when the job commits, so
-    a failed job leaves the old dates as they were.
+    With ``days``, exactly these are replaced: rows of other dates are left out,
+    and a day without rows ends up empty. Without, every date that ``df`` has
+    rows for. Spark stages the new files and swaps the folders when the job
+    commits, so a failed job leaves the old dates as they were.
     """
-    seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    _write_partitions(counted.hint("rebalance", partition), path, partition)
-    return seen.get["rows"]
+    spark = df.sparkSession
+    side = f"{path.rstrip('/')}_staging/{uuid.uuid4().hex}"
+    wanted = None if days is None else sorted({parse_date(day) for day in days})
+    if wanted is not None:
+        df = df.filter(F.col(partition).isin(wanted))
+    try:
+        # Computed once; then it is known which days have rows.
+        df.write.parquet(side)
+        rows = spark.read.schema(df.schema).parquet(side)
+        counts = rows.groupBy(partition).agg(F.count("*").alias("n"))
+        if wanted is None:
+            written = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+            empty: list[dt.date] = []
+        else:
+            found = {row[0]: row[1] for row in counts.collect()}
+            written = sum(found.values())
+            empty = [day for day in wanted if day not in found]
+        shaped = rows.coalesce(coalesce) if coalesce else rows.hint("rebalance", partition)
+        _write_partitions(shaped, path, partition)
+        for day in empty:
+            files.delete(spark, f"{path}/{partition}={day.isoformat()}")
+    finally:
+        files.delete(spark, side)
+    return written
 
 
 def replace_date(
@@ -52,37 +79,21 @@ def replace_date(
     partition: str = "metric_date",
     coalesce: int | None = None,
 ) -> int:
-    """All-or-nothing replacement of one date; returns the rows written.
-
-    No rows for the date means that the date ends up empty.
-    """
-    day = parse_date(date)
-    rows = df.filter(F.col(partition) == F.lit(day))
-    seen = Observation()
-    counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-    _write_partitions(counted.coalesce(coalesce) if coalesce else counted, path, partition)
-    written = seen.get["rows"]
-    if written == 0:
-        files.delete(df.sparkSession, f"{path}/{partition}={day.isoformat()}")
-    return written
+    """:func:`replace_dates` of one date."""
+    return replace_dates(df, path, partition, [date], coalesce)
 
 
 def _touched(existing: DataFrame, changes: DataFrame, partition: str) -> DataFrame:
-    """Existing rows of the partitions that ``changes`` has rows for.
-
-    Few partitions are listed and become a partition filter of the scan; more
-    than that are selected by a join.
-    """
-    values = changes.select(partition).distinct()
-    listed = values.limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(listed) > MAX_LISTED_PARTITIONS:
-        return existing.join(values, partition, "left_semi")
-    return existing.filter(F.col(partition).isin([row[0] for row in listed]))
+    """Existing rows of the partitions that ``changes`` has rows for, null among them."""
+    return null_safe_join(existing, changes.select(partition).distinct(), [partition], "left_semi")
 
 
 def merge(existing: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``changes`` (one row per key) win over ``existing`` rows of the same key."""
-    kept = existing.join(changes.select(*keys), list(keys), "left_anti")
+    """``changes`` (one row per key) win over ``existing`` rows of the same key.
+
+    Keys are equal if their nulls are, too.
+    """
+    kept = null_safe_join(existing, changes.select(*keys), keys, "left_anti")
     return kept.select(*changes.columns).unionByName(changes)
 
 

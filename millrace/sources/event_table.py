@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace import files
 from millrace.functions.values import money
 
 RAW_COLUMNS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -19,11 +20,16 @@ def read_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        spark.readStream.schema(RAW_COLUMNS)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
+    """The events table as a stream.
+
+    A stream reads folders: a table of part files is read as it is, a lone file
+    by its name in the folder above.
+    """
+    path = f"{sf_dir}/events.parquet"
+    reader = spark.readStream.schema(RAW_COLUMNS)
+    if files.is_folder(spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
 def as_events(raw: DataFrame) -> DataFrame:

@@ -64,10 +64,14 @@ def avro_body(value: str = "value"):
 
 
 def decode_avro_frames(df: DataFrame, schema: str) -> DataFrame:
-    """Record columns plus the broker's time as ``kafka_ingest_ts``."""
+    """Record columns plus the broker's time as ``kafka_ingest_ts``.
+
+    A frame that cannot be decoded gives a row of nulls, not an error; see
+    :func:`millrace.operators.ingest.unusable`.
+    """
     from pyspark.sql.avro.functions import from_avro
 
     return df.select(
-        from_avro(avro_body(), schema).alias("record"),
+        from_avro(avro_body(), schema, {"mode": "PERMISSIVE"}).alias("record"),
         F.col("timestamp").alias("kafka_ingest_ts"),
     ).select("record.*", "kafka_ingest_ts")

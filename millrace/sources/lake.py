@@ -1,4 +1,4 @@
-"""Event lake: Parquet under dt=YYYY-MM-DD/hour=H."""
+"""Event lake: Parquet under dt=YYYY-MM-DD/hour=H/batch=NAME."""
 
 from __future__ import annotations
 
@@ -36,10 +36,15 @@ def read_or_empty(
 
 
 def lake_schema(kind: str) -> T.StructType:
-    """Event columns plus the two partition columns."""
+    """Event columns plus the partition columns."""
     columns = [*EVENT_SCHEMAS[kind].fields]
     return T.StructType(
-        [*columns, T.StructField("dt", T.DateType()), T.StructField("hour", T.IntegerType())]
+        [
+            *columns,
+            T.StructField("dt", T.DateType()),
+            T.StructField("hour", T.IntegerType()),
+            T.StructField("batch", T.StringType()),
+        ]
     )
 
 
@@ -58,7 +63,7 @@ def read_events(
     base = f"{root.rstrip('/')}/{kind}"
     schema = lake_schema(kind)
     if start is None:
-        return read_or_empty(spark, base, schema)
+        return read_or_empty(spark, base, schema).drop("batch")
     first = parse_date(start)
     last = parse_date(end) if end is not None else first
     wanted = between_dates(F.col("dt"), first, last)
@@ -68,9 +73,9 @@ def read_events(
         if f"dt={first.isoformat()}" <= name <= f"dt={last.isoformat()}"
     ]
     if not days:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], schema).drop("batch")
     reader = spark.read.schema(schema).option("basePath", base)
-    return reader.parquet(*[f"{base}/{day}" for day in days]).filter(wanted)
+    return reader.parquet(*[f"{base}/{day}" for day in days]).filter(wanted).drop("batch")
 
 
 def for_reports(events: DataFrame) -> DataFrame:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from millrace import files
 from millrace import schemas as S
+from millrace.sinks.anomalies import TABLE, anomaly_table_exists, read_anomaly_table
 from millrace.sources.lake import read_or_empty
 
 TABLES: dict[str, T.StructType] = {
@@ -21,9 +23,20 @@ TABLES: dict[str, T.StructType] = {
 }
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A table below ``root``; one that was never written is empty."""
-    return read_or_empty(spark, f"{root.rstrip('/')}/{name}", TABLES[name], infer=True)
+def read_table(
+    spark: SparkSession, root: str, name: str, missing_ok: bool = False
+) -> DataFrame:
+    """A table below ``root``. One that was never written is an error, or empty
+    if ``missing_ok``; the anomaly table is read with its newest batches."""
+    path = f"{root.rstrip('/')}/{name}"
+    anomalies = name == TABLE
+    if not missing_ok:
+        found = anomaly_table_exists(spark, root) if anomalies else files.exists(spark, path)
+        if not found:
+            raise FileNotFoundError(f"no table {name} below {root}")
+    if anomalies:
+        return read_anomaly_table(spark, root)
+    return read_or_empty(spark, path, TABLES[name], infer=True)
 
 
 def read_jdbc(

@@ -8,17 +8,13 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators import detect, ingest
-from millrace.schemas import ANOMALY
 from millrace.sinks import lake, tables
+from millrace.sinks.anomalies import WINDOW_DATE, batches_path
 from millrace.streaming.listener import JsonLines
 
-WINDOW_DATE = "window_date"
-ANOMALY_KEYS = ["session_id", "window_start", "anomaly_type"]
-
 AVAILABLE_NOW = {"availableNow": True}
 
 
@@ -31,12 +27,6 @@ def with_window_date(anomalies: DataFrame) -> DataFrame:
     return anomalies.withColumn(WINDOW_DATE, F.to_date("window_start"))
 
 
-def stored_schema() -> T.StructType:
-    """Anomaly columns plus the write time and the partition column."""
-    extra = [T.StructField("db_write_ts", T.TimestampType()), T.StructField(WINDOW_DATE, T.DateType())]
-    return T.StructType([*ANOMALY.fields, *extra])
-
-
 @dataclass
 class DetectionSettings:
     """Parameters of the job; the defaults are the production values."""
@@ -55,12 +45,14 @@ class DetectionSettings:
 
 
 def detections(events: DataFrame, s: DetectionSettings) -> dict[str, DataFrame]:
-    """Late payload and both anomaly streams of one event stream."""
-    on_time, late = ingest.split_late(events, s.watermark_minutes, s.now)
+    """Side outputs and both anomaly streams of one event stream."""
+    usable, letters = ingest.unusable(events)
+    on_time, late = ingest.split_late(usable, s.watermark_minutes, s.now)
     unique = ingest.drop_duplicate_events(
         on_time, f"{s.watermark_minutes} minutes", spread=s.dedup_spread
     )
     return {
+        "dead_letters": letters,
         "late_events": ingest.late_payload(late),
         "high_frequency": detect.detect_high_frequency(
             unique, s.high_frequency_window, s.high_frequency_clicks
@@ -100,11 +92,6 @@ def start_anomalies(
     )
 
 
-def read_anomalies(spark: SparkSession, path: str) -> DataFrame:
-    """Current rows of a versioned anomaly table."""
-    return tables.latest_version(spark, path, ANOMALY_KEYS, stored_schema(), WINDOW_DATE)
-
-
 def write_keyed(
     payload: DataFrame,
     name: str,
@@ -164,7 +151,7 @@ def start_ingest(
         parsed = parse(batch).persist()
         try:
             valid, rejects = ingest.split_valid(parsed)
-            lake.write_batch(valid, lake_root, kind, batch_id)
+            lake.write_lake(valid, lake_root, kind, f"ingest_{kind}-{batch_id}")
             letters = ingest.dead_letters(rejects, f"{kind}-loader", kind)
             letters.write.mode("overwrite").parquet(f"{dead_letter_path}/batch_id={batch_id}")
         finally:
@@ -203,7 +190,10 @@ def start_detection(
     sinks: dict[str, Callable[[DataFrame, int], None]] | None = None,
     late_kafka: tuple[str, str] | None = None,
 ) -> dict[str, StreamingQuery]:
-    """Start the three queries of the job. ``sinks`` replaces the Parquet tables."""
+    """Start the queries of the job; both detectors write to one anomaly table.
+
+    ``sinks`` replaces the Parquet batches of a detector.
+    """
     s = settings or DetectionSettings()
     parts = detections(events, s)
     started = {
@@ -213,10 +203,17 @@ def start_detection(
             f"{out}/late_events",
             late_kafka,
             s.late_trigger,
-        )
+        ),
+        "dead_letters": write_keyed(
+            parts["dead_letters"],
+            "dead_letters",
+            checkpoint,
+            f"{out}/dead_letters",
+            trigger=s.late_trigger,
+        ),
     }
     for name in ("high_frequency", "bot_like"):
-        sink = (sinks or {}).get(name, f"{out}/{name}")
+        sink = (sinks or {}).get(name, batches_path(out, name))
         started[name] = start_anomalies(parts[name], name, sink, checkpoint, s.trigger)
     return started
 

@@ -10,7 +10,7 @@ from conftest import rows
 from millrace import cli
 from millrace.sources import lake
 from millrace.sources.tables import read_table
-from millrace.streaming import jobs
+from millrace.sinks.anomalies import stored_schema
 
 CLICKS = ("Session ID,Timestamp,Item ID,Category\n"
           "1,2014-04-07T10:51:09.277Z,214,S\n1,2014-04-07T10:54:09.868Z,215,0\n"
@@ -61,4 +61,4 @@ def test_slo(spark, make, folder, capsys):
     cli.main(["slo", "--tables", folder, "--as-of", "2026-01-11"], spark)
     report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert report["report"]["samples"] == 0
-    assert "db_write_ts" in jobs.stored_schema().fieldNames()
+    assert "db_write_ts" in stored_schema().fieldNames()

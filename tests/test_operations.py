@@ -145,20 +145,14 @@ def test_recovery(log):
     assert progress.recovery_time(log, fault, beyond).first()["queries_recovered"] == 0
 
 
-def test_capacity_verdict(log):
+def test_capacity_checks(log):
     summary = progress.progress_summary(log)
-    good = progress.capacity_verdict(summary, ["hf"]).first()
-    assert good["passed"] and good["reasons"] == []
-    bad = progress.capacity_verdict(
-        summary, ["hf", "bot", "late_events"], achieved_share=0.9, producer_p95_ms=1500,
-        terminated=1, restarted=["worker"], rows_written=0).first()
-    assert not bad["passed"]
-    assert bad["reasons"] == [
-        "producer did not achieve at least 95% of target EPS",
-        "producer delivery latency p95 was 1500.00 ms", "a Spark streaming query terminated",
-        "worker restarted", "no anomaly row was written",
-        "bot trigger p95 was 6675.00 ms (> 5000 ms)",
-        "late_events produced no progress record"]
+    found = progress.capacity_checks(summary, ["hf", "bot", "late_events"])
+    failed = {(r["name"], r["rule"]): r["passed"] for r in found.collect()}
+    assert all(failed[("hf", rule)] for rule in ("progress", "lag", "trigger_p95"))
+    assert failed[("bot", "trigger_p95")] is False
+    assert failed[("late_events", "progress")] is False
+    assert ("late_events", "trigger_p95") not in failed
 
 
 def test_slo(make):

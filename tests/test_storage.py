@@ -52,7 +52,7 @@ def test_a_crowded_hour_keeps_all_rows(spark, folder):
     conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "262144"}
     with session_conf(spark, conf):
         lake_sink.write_lake(df.repartition(8), folder, "click")
-    assert len(list(Path(folder).glob("click/dt=2026-01-11/hour=10/*.parquet"))) > 1
+    assert len(list(Path(folder).glob("click/dt=2026-01-11/hour=10/batch=load/*.parquet"))) > 1
     stored = lake.read_events(spark, folder, "click")
     assert (stored.count(), stored.select("event_id").distinct().count()) == (60_000, 60_000)
 
@@ -166,12 +166,21 @@ def test_upsert_finishes_a_run_that_died_while_publishing(spark, make, folder, m
     assert rows(spark.read.parquet(path), "k", "v") == [(1, 1), (2, 5)]
 
 
-def test_upsert_beyond_the_listed_partitions(spark, make, folder, monkeypatch):
-    monkeypatch.setattr(tables, "MAX_LISTED_PARTITIONS", 1)
+def test_upsert_keeps_null_keys_and_partitions(spark, make, folder):
     path = f"{folder}/t"
-    tables.upsert(make(KEYED, [(i, 1, d) for i, d in enumerate(DAYS)]), path, ["k"], "d", "0")
-    tables.upsert(make(KEYED, [(0, 2, DAYS[0]), (1, 2, DAYS[1])]), path, ["k"], "d", "1")
-    assert rows(spark.read.parquet(path), "k", "v") == [(0, 2), (1, 2), (2, 1)]
+    tables.upsert(make(KEYED, [(1, 1, DAYS[0]), (2, 1, None), (None, 1, None)]), path, ["k"], "d", "0")
+    for batch in ("1", "2"):
+        tables.upsert(make(KEYED, [(1, 2, DAYS[0]), (None, 5, None)]), path, ["k"], "d", batch)
+    found = rows(spark.read.schema(KEYED).parquet(path), "k", "v", "d")
+    assert found == sorted([(1, 2, DAYS[0]), (2, 1, None), (None, 5, None)], key=repr)
+
+
+def test_a_range_empties_its_days_without_rows(spark, make, folder):
+    path = f"{folder}/t"
+    tables.replace_dates(make(METRIC, [(d, 1) for d in DAYS]), path)
+    rest = make(METRIC, [(DAYS[0], 2), (DAYS[2], 2), (dt.date(2030, 1, 1), 9)])
+    assert tables.replace_dates(rest, path, days=DAYS) == 2
+    assert rows(spark.read.parquet(path), "metric_date", "n") == [(DAYS[0], 2), (DAYS[2], 2)]
 
 
 def test_versions_and_compaction(spark, make, folder):
@@ -246,7 +255,10 @@ def test_daily_run_writes_all_tables(spark, make, folder, clicks):
 
 
 def test_absent_table_is_empty(spark, folder):
-    assert result_tables.read_table(spark, folder, "alert_history").count() == 0
+    assert result_tables.read_table(spark, folder, "alert_history", missing_ok=True).count() == 0
+    for name in ("alert_history", "anomaly_sessions"):
+        with pytest.raises(FileNotFoundError):
+            result_tables.read_table(spark, folder, name)
 
 
 def test_session_settings_are_put_back(spark):

@@ -9,8 +9,10 @@ from conftest import at, rows
 from pyspark.sql import functions as F
 
 from millrace.operators import detect, ingest, progress
+from millrace.plans.registered import QUERIES
 from millrace.schemas import CLICK_CSV
 from millrace.sources import lake, progress_log
+from millrace.sinks.anomalies import batches_path, compact_anomalies, read_anomaly_table
 from millrace.streaming import jobs
 from millrace.streaming.listener import ProgressListener
 
@@ -100,7 +102,9 @@ def test_stream_equals_batch(spark, make, source, folder):
         "bot_like": detect.detect_bot_like(batch, threshold=5, diversity=0.6),
     }
     for name, frame in expected.items():
-        found = jobs.read_anomalies(spark, f"{folder}/{name}")
+        found = read_anomaly_table(spark, folder).filter(
+            F.col("anomaly_type") == name.upper()
+        )
         columns = [c for c in detect.COLUMNS if c != "spark_process_ts"]
         assert frame.count() > 0
         assert rows(found.select(columns)) == rows(frame.select(columns))
@@ -137,10 +141,12 @@ def test_updates_of_a_window_replace_the_row(spark, source, folder):
     found = detect.detect_high_frequency(
         ingest.drop_duplicate_events(source.stream()), "10 seconds", 5)
     query = jobs.start_anomalies(
-        found, "hf", f"{folder}/t", f"{folder}/cp", jobs.AVAILABLE_NOW)
+        found, "hf", batches_path(folder, "hf"), f"{folder}/cp", jobs.AVAILABLE_NOW)
     query.awaitTermination()
-    assert spark.read.parquet(f"{folder}/t").count() == 2
-    assert rows(jobs.read_anomalies(spark, f"{folder}/t"), "click_count") == [(9,)]
+    assert spark.read.parquet(batches_path(folder, "hf")).count() == 2
+    assert rows(read_anomaly_table(spark, folder), "click_count") == [(9,)]
+    compact_anomalies(spark, folder)
+    assert rows(read_anomaly_table(spark, folder), "click_count") == [(9,)]
 
 
 def test_restart_resumes_from_the_checkpoint(spark, source, folder):
@@ -231,3 +237,13 @@ def test_all_queries_stop_when_one_ends(spark, source, folder):
               .option("checkpointLocation", f"{folder}/b").trigger(availableNow=True).start())
     jobs.run_until_any_stops(spark, {"long": running, "short": ending})
     assert not running.isActive and not ending.isActive
+
+
+def test_a_table_of_part_files_is_streamed_whole(spark, tmp_path):
+    raw = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    raw.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    for name in ("stream_dedup", "stream_high_frequency"):
+        whole = QUERIES[name](spark, "/root/testdata/sf0.001")
+        parts = QUERIES[name](spark, str(tmp_path))
+        assert parts.count() > 0
+        assert rows(parts) == rows(whole.select(*parts.columns))
