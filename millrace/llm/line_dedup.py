@@ -106,7 +106,11 @@ def repeated_lines(
         members = suffixes.where(F.col(rank).isNotNull())
         if depth < min_lines:
             members = members.where("long")
-        earliest = members.groupBy(rank).agg(F.min(position).alias("first"))
+        # Written, so that both sides of the join are shuffled for it and a rank
+        # with very many suffixes can be split.
+        earliest = kept_in_files(
+            members.groupBy(rank).agg(F.min(position).alias("first")), "earliest-suffixes"
+        )
         later = members.join(earliest, rank).where(
             (F.col("first.row_no") != F.col("row_no")) | (F.col("first.seq") != F.col("seq"))
         )

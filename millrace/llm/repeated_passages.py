@@ -267,6 +267,9 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
         .where("a <> b")
         .select("h", "times")
     )
+    # Written, so that both sides of the join are shuffled for it and an anchor
+    # of very many copies can be split.
+    repeated = kept_in_files(repeated, "repeated-anchors")
     placed = (
         found.join(repeated, "h")
         .groupBy("t1", "t2")
