@@ -47,6 +47,65 @@ SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS
 FROM documents d LEFT JOIN kept k USING (doc_id)
 """
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _words(table: str) -> str:
+    text = f"translate(coalesce({table}.text, ''), '{_UPPER}', '{_LOWER}')"
+    return rf"regexp_extract_all({text}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+OP4 = rf"""
+WITH docs AS (SELECT doc_id, {_words("documents")} AS w FROM documents),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_words("benchmark")} AS w FROM benchmark),
+sized AS (SELECT *, least(len(w), 13) AS k FROM items WHERE len(w) > 0),
+places AS (SELECT item, k, w, unnest(range(1, len(w) - k + 2)) AS pos FROM sized),
+windows AS (
+  SELECT DISTINCT item, k, array_to_string(list_slice(w, pos, pos + k - 1), ' ') AS window_text
+  FROM places
+), spots AS (
+  SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS pos
+  FROM docs, (SELECT DISTINCT k FROM windows)
+), found AS (
+  SELECT s.doc_id, s.pos, s.k, v.item
+  FROM spots s JOIN windows v
+    ON v.k = s.k AND v.window_text = array_to_string(list_slice(s.w, s.pos, s.pos + s.k - 1), ' ')
+), hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(pos, pos + k)) AS p FROM found) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit,
+       coalesce(n.n_items, 0) AS n_items, sha256(coalesce(n.names, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w) AS contaminated
+FROM docs d LEFT JOIN hit h USING (doc_id) LEFT JOIN named n USING (doc_id)
+"""
+
+_NIBBLE = "(strpos('0123456789abcdef', substr(h, {0}, 1)) - 1)"
+_FIVE = (
+    f"(({_NIBBLE.format('1 + 5 * i // 4')} * 16 + {_NIBBLE.format('2 + 5 * i // 4')})"
+    " >> CAST(3 - 5 * i % 4 AS INTEGER)) & 31"
+)
+
+OP6 = f"""
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h,
+         max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id
+  FROM pages
+)
+SELECT page_id, strlen(payload) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ({_FIVE}) AS BIGINT), 1)), '')
+         AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM payloads
+"""
+
 ORACLE: dict[str, str] = {
+    "op4_decontamination": OP4,
+    "op6_warc": OP6,
     "op10_line_dedup": OP10,
 }
