@@ -39,3 +39,13 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(target):
         return []
     return [s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory()]
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A new small file."""
+    fs, target = _path(spark, path)
+    out = fs.create(target, False)
+    try:
+        out.write(text.encode("utf-8"))
+    finally:
+        out.close()

@@ -60,12 +60,17 @@ def clicks_columns(kind: str, category: Column) -> list[Column | str]:
     ]
 
 
-def session_facts(act: DataFrame) -> DataFrame:
-    """One row per (date, session): clicks, click span in ms, purchases, revenue."""
+def session_sums() -> list[Column]:
+    """What a group of clicks and purchases amounts to."""
     click_ms = F.when(is_click(), F.col("event_ms"))
-    return act.groupBy("metric_date", "session_id").agg(
+    return [
         F.count_if(is_click()).alias("click_count"),
         (F.max(click_ms) - F.min(click_ms)).alias("click_span_ms"),
         F.count_if(is_purchase()).alias("purchase_count"),
         F.sum("revenue").alias("revenue"),
-    )
+    ]
+
+
+def session_facts(act: DataFrame) -> DataFrame:
+    """One row per (date, session): clicks, click span in ms, purchases, revenue."""
+    return act.groupBy("metric_date", "session_id").agg(*session_sums())

@@ -2,26 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.values import line_revenue, ratio
-from millrace.operators.activity import is_click, session_facts
+from millrace.operators.activity import session_sums
 
 
-def click_totals(clicks: DataFrame) -> DataFrame:
-    """Per date: clicks, distinct sessions, distinct items."""
-    sessions = clicks.groupBy("metric_date", "session_id").agg(F.count("*").alias("n"))
-    per_date = sessions.groupBy("metric_date").agg(
-        F.sum("n").alias("total_clicks"), F.count("*").alias("unique_sessions")
+def by_session_and_item(rows: DataFrame, *sums: Column) -> DataFrame:
+    """``sums`` per (date, session) and per (date, item), from one scan.
+
+    Every task sums both kinds of group before the one shuffle. ``of_items``
+    tells the kinds apart.
+    """
+    day, session, item = F.col("metric_date"), F.col("session_id"), F.col("item_id")
+    return rows.groupingSets([[day, session], [day, item]], day, session, item).agg(
+        *sums, (F.grouping("session_id") == 1).alias("of_items")
     )
-    return per_date.join(distinct_items(clicks), "metric_date", "left")
 
 
-def distinct_items(clicks: DataFrame) -> DataFrame:
-    """Per date: distinct items. Rows shrink to (date, item) before any shuffle."""
-    items = clicks.groupBy("metric_date", "item_id").agg(F.lit(1).alias("one"))
-    return items.groupBy("metric_date").agg(F.count("item_id").alias("unique_items"))
+def click_totals(clicks: DataFrame) -> DataFrame:
+    """Per date: clicks, distinct sessions, distinct items."""
+    of_items = F.col("of_items")
+    return (
+        by_session_and_item(clicks, F.count("*").alias("n"))
+        .groupBy("metric_date")
+        .agg(
+            F.sum(F.when(~of_items, F.col("n"))).alias("total_clicks"),
+            F.count_if(~of_items).alias("unique_sessions"),
+            F.count_if(of_items & F.col("item_id").isNotNull()).alias("unique_items"),
+        )
+    )
 
 
 def purchase_totals(purchases: DataFrame) -> DataFrame:
@@ -65,26 +76,31 @@ def session_averages(clicks: DataFrame) -> DataFrame:
 def daily_metrics(act: DataFrame) -> DataFrame:
     """All ten columns for every date that has clicks.
 
-    Sessions are digested once for clicks and purchases together; the distinct
-    items come from a second narrow aggregation. Both meet as one row per date.
+    Sessions and items are digested together, clicks and purchases too. Both
+    meet as one row per date.
     Conversion is not clamped: sessions may buy without a click.
     """
-    has_clicks = F.col("click_count") > 0
+    of_items, clicked = F.col("of_items"), F.col("click_count") > 0
+
+    def session_sum(column: str) -> Column:
+        return F.sum(F.when(~of_items, F.col(column)))
+
     per_date = (
-        session_facts(act)
+        by_session_and_item(act, *session_sums())
         .groupBy("metric_date")
         .agg(
-            F.sum("click_count").alias("total_clicks"),
-            F.sum("purchase_count").alias("total_purchases"),
-            F.count_if(has_clicks).alias("unique_sessions"),
-            F.count_if(F.col("purchase_count") > 0).alias("purchase_sessions"),
-            F.sum("click_span_ms").alias("span_ms"),
-            F.sum("revenue").alias("total_revenue"),
+            session_sum("click_count").alias("total_clicks"),
+            session_sum("purchase_count").alias("total_purchases"),
+            F.count_if(~of_items & clicked).alias("unique_sessions"),
+            F.count_if(~of_items & (F.col("purchase_count") > 0)).alias("purchase_sessions"),
+            session_sum("click_span_ms").alias("span_ms"),
+            session_sum("revenue").alias("total_revenue"),
+            F.count_if(of_items & clicked & F.col("item_id").isNotNull()).alias("unique_items"),
         )
         .filter(F.col("total_clicks") > 0)
     )
     sessions = F.col("unique_sessions")
-    return per_date.join(distinct_items(act.filter(is_click())), "metric_date", "left").select(
+    return per_date.select(
         "metric_date",
         "total_clicks",
         "total_purchases",

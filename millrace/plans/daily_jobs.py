@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.times import parse_date
 from millrace.operators import activity, daily, funnel, ingest, items, ops
+from millrace.session import work_path
 from millrace.sinks import tables
 from millrace.sources import lake
 
@@ -20,8 +21,16 @@ PIPELINE = "spark_batch_processing"
 def daily_reports(
     clicks: DataFrame, purchases: DataFrame, top_items: int = 100, top_categories: int = 20
 ) -> dict[str, DataFrame]:
-    """All result tables of the batch. Input needs metric_date and event_ms."""
+    """All result tables of the batch. Input needs metric_date and event_ms.
+
+    Three of them share the narrow activity rows, which are written once to the
+    shared folder, so that the lake is not scanned for each.
+    """
+    spark = clicks.sparkSession
     act = activity.activity(clicks, purchases)
+    path = work_path(spark, "activity")
+    act.write.parquet(path)
+    act = spark.read.schema(act.schema).parquet(path)
     return {
         "daily_metrics": ingest.stamp(daily.daily_metrics(act), "created_at", "updated_at"),
         "popular_items": ingest.stamp(items.popular_items(act, top_items)),

@@ -7,10 +7,16 @@ be on the class path.
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 import time
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millrace.functions.times import parse_date
 
 
 def jdbc_options(
@@ -43,14 +49,27 @@ def append_batch(options: dict[str, str], table: str) -> Callable[[DataFrame, in
     return write
 
 
+def staging_name(table: str, tag: str) -> str:
+    """A table beside ``table``, in its schema, for one writer: ``tag`` tells
+    queries and batches apart."""
+    schema, _, name = table.rpartition(".")
+    safe = re.sub(r"\W", "_", tag)
+    return f"{schema + '.' if schema else ''}_staging_{name}_{safe}"
+
+
 def replace_date_statements(
-    table: str, staging: str, columns: Sequence[str], date: str, date_column: str = "metric_date"
+    table: str,
+    staging: str,
+    columns: Sequence[str],
+    date: str | dt.date,
+    date_column: str = "metric_date",
 ) -> list[str]:
     """Delete one date and refill it from staging, column by column name."""
     names = ", ".join(columns)
+    day = f"DATE '{parse_date(date).isoformat()}'"
     return [
-        f"DELETE FROM {table} WHERE {date_column} = DATE '{date}'",
-        f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging}",
+        f"DELETE FROM {table} WHERE {date_column} = {day}",
+        f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging} WHERE {date_column} = {day}",
     ]
 
 
@@ -80,9 +99,13 @@ def run_transaction(
 ) -> None:
     """Run the statements in one transaction, or none of them."""
     jvm = spark.sparkContext._jvm
-    connection = jvm.java.sql.DriverManager.getConnection(
-        options["url"], options["user"], options["password"]
-    )
+    # Spark's class loader also sees drivers that came with --jars.
+    loader = jvm.org.apache.spark.util.Utils.getContextOrSparkClassLoader()
+    driver = loader.loadClass(options["driver"]).getDeclaredConstructor().newInstance()
+    properties = jvm.java.util.Properties()
+    for key in ("user", "password"):
+        properties.setProperty(key, options[key])
+    connection = driver.connect(options["url"], properties)
     try:
         connection.setAutoCommit(False)
         for text in statements:
@@ -100,12 +123,22 @@ def run_transaction(
 
 
 def replace_date(
-    df: DataFrame, options: dict[str, str], table: str, date: str, coalesce: int | None = None
+    df: DataFrame,
+    options: dict[str, str],
+    table: str,
+    date: str | dt.date,
+    coalesce: int | None = None,
+    date_column: str = "metric_date",
 ) -> None:
-    """Replace one date of a database table through a staging table."""
-    staging = f"_staging_{table}"
-    write_table(df.coalesce(coalesce) if coalesce else df, options, staging, "overwrite")
-    steps = replace_date_statements(table, staging, df.columns, date)
+    """Replace one date of a database table through a staging table of its own.
+
+    Rows of other dates are left out.
+    """
+    day = parse_date(date)
+    rows = df.filter(F.col(date_column) == F.lit(day))
+    staging = staging_name(table, f"{day.isoformat()}_{uuid.uuid4().hex[:8]}")
+    write_table(rows.coalesce(coalesce) if coalesce else rows, options, staging, "overwrite")
+    steps = replace_date_statements(table, staging, df.columns, day, date_column)
     run_transaction(df.sparkSession, options, [*steps, f"DROP TABLE {staging}"])
 
 
@@ -136,26 +169,34 @@ def upsert_batch(
     options: dict[str, str],
     table: str,
     keys: Sequence[str] = ("session_id", "window_start", "anomaly_type"),
+    query: str = "batch",
     attempts: int = 6,
     retry_on: tuple[type[BaseException], ...] | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that upserts through a staging table."""
+    """A foreachBatch function that upserts through a staging table.
+
+    ``query`` names the stream: queries that write one table have staging
+    tables of their own. A batch is computed once, however often it is retried.
+    """
     if retry_on is None:
         from py4j.protocol import Py4JJavaError
 
         retry_on = (Py4JJavaError, ConnectionError)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        staging = f"_staging_{table}"
-        rows = batch.dropDuplicates(list(keys))
+        staging = staging_name(table, f"{query}_{batch_id}")
+        rows = batch.dropDuplicates(list(keys)).persist()
 
         def once() -> None:
             write_table(rows, options, staging, "overwrite")
             step = upsert_statement(
                 table, staging, rows.columns, keys, stamps=("db_write_ts", "updated_at")
             )
-            run_transaction(batch.sparkSession, options, [step])
+            run_transaction(batch.sparkSession, options, [step, f"DROP TABLE {staging}"])
 
-        with_backoff(once, attempts, retry_on=retry_on)
+        try:
+            with_backoff(once, attempts, retry_on=retry_on)
+        finally:
+            rows.unpersist()
 
     return write

@@ -3,24 +3,40 @@
 from __future__ import annotations
 
 import json
+import time
+import uuid
 from pathlib import Path
 from threading import Lock
 
+from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
+from millrace import files
+
 
 class JsonLines:
-    """Appends records to a local file, one writer at a time."""
+    """Writes records where Spark reads them back.
+
+    A plain path is a file on the driver that records are appended to. A path
+    with a scheme (``s3a://...``) is a folder: stores cannot append, so every
+    record becomes a small file of its own.
+    """
 
     def __init__(self, path: str) -> None:
-        self.path = Path(path)
-        self.path.parent.mkdir(parents=True, exist_ok=True)
+        self.path = path
+        self.shared = "://" in path
         self._lock = Lock()
+        if not self.shared:
+            Path(path).parent.mkdir(parents=True, exist_ok=True)
 
     def write(self, record: dict) -> None:
-        line = json.dumps(record, ensure_ascii=True)
-        with self._lock, self.path.open("a", encoding="utf-8") as out:
-            out.write(f"{line}\n")
+        line = f"{json.dumps(record, ensure_ascii=True)}\n"
+        if self.shared:
+            name = f"{time.time_ns()}-{uuid.uuid4().hex}.json"
+            files.write_text(SparkSession.builder.getOrCreate(), f"{self.path}/{name}", line)
+            return
+        with self._lock, Path(self.path).open("a", encoding="utf-8") as out:
+            out.write(line)
 
 
 class ProgressListener(StreamingQueryListener):

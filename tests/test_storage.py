@@ -302,7 +302,12 @@ def test_avro_body_drops_the_frame_header(make, folder):
 def test_database_statements_name_their_columns():
     delete, insert = jdbc.replace_date_statements("t", "s", ["metric_date", "n"], "2026-01-11")
     assert delete == "DELETE FROM t WHERE metric_date = DATE '2026-01-11'"
-    assert insert == "INSERT INTO t (metric_date, n) SELECT metric_date, n FROM s"
+    assert insert == ("INSERT INTO t (metric_date, n) SELECT metric_date, n FROM s "
+                      "WHERE metric_date = DATE '2026-01-11'")
+    with pytest.raises(ValueError):
+        jdbc.replace_date_statements("t", "s", ["n"], "2026-01-11'; --")
+    names = {jdbc.staging_name("public.x", f"{q}_{b}") for q in ("hf", "bot") for b in (0, 1)}
+    assert len(names) == 4 and all(name.startswith("public._staging_x_") for name in names)
     text = jdbc.upsert_statement("t", "s", ["k", "v"], ["k"], ["updated_at"])
     assert text == ("INSERT INTO t (k, v, updated_at) SELECT k, v, CURRENT_TIMESTAMP FROM s "
                     "WHERE TRUE ON CONFLICT (k) DO UPDATE SET v = EXCLUDED.v, "

@@ -14,7 +14,7 @@ from millrace.schemas import CLICK_CSV
 from millrace.sources import lake, progress_log
 from millrace.sinks.anomalies import batches_path, compact_anomalies, read_anomaly_table
 from millrace.streaming import jobs
-from millrace.streaming.listener import ProgressListener
+from millrace.streaming.listener import JsonLines, ProgressListener
 
 EVENT = ("event_id string, session_id long, item_id long, event_type string, "
          "event_ts timestamp, kafka_ingest_ts timestamp")
@@ -239,6 +239,13 @@ def test_all_queries_stop_when_one_ends(spark, source, folder):
     assert not running.isActive and not ending.isActive
 
 
+def test_records_on_a_store_are_read_back(spark, folder):
+    out = JsonLines(f"file://{folder}/log")
+    for n in range(3):
+        out.write({"n": n})
+    assert sorted(r["n"] for r in spark.read.json(f"{folder}/log").collect()) == [0, 1, 2]
+
+
 def test_a_table_of_part_files_is_streamed_whole(spark, tmp_path):
     raw = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     raw.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
