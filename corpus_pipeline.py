@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm.common import kept_in_files, read_table
+from millrace.llm.common import kept_in_files, read_table, small_batches
 from millrace.llm.decontamination import remove_contaminated
 from millrace.llm.line_dedup import remove_repeated_lines
 from millrace.llm.packing import pack
@@ -23,11 +23,13 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without later copies of repeated lines."""
+    small_batches(spark)
     return remove_repeated_lines(docs)
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
+    small_batches(spark)
     return keep_one_of_each(docs)
 
 
@@ -38,6 +40,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of what is left, each a sequence."""
+    small_batches(spark)
     return pack(docs, with_ids=False)
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,12 +17,17 @@ ROWS_PER_BATCH = 500
 WHITE = r"[\x20\x09-\x0D]+"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A bundled table; Arrow batches of whole texts are kept small."""
+def small_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches of whole texts small in this session."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if now <= 0 or now > ROWS_PER_BATCH:
         spark.conf.set(key, str(ROWS_PER_BATCH))
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A bundled table."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -49,19 +53,6 @@ def numbered(df: DataFrame, name: str, *columns: Column | str) -> DataFrame:
     )
 
 
-def table(names: list[str], types: list[pa.DataType], columns: list) -> pa.RecordBatch:
-    """A record batch of Python or numpy columns."""
-    return pa.RecordBatch.from_arrays(
-        [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types)],
-        names=names,
-    )
-
-
-def field_type(df: DataFrame, column: str) -> str:
-    """The type of a column as text for a schema string."""
-    return df.schema[column].dataType.simpleString()
-
-
 def fresh(prefix: str) -> str:
     """A column name that no input column has."""
     return f"{prefix}_{uuid.uuid4().hex[:12]}"

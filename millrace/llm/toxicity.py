@@ -34,10 +34,11 @@ CHOSEN = 4096
 STEMS = (4, 5, 6)
 #: Documents of the sample that a chosen word needs.
 LEAST_DOCS = 5
-#: Log odds of a chosen word, and the standard errors by which they exceed zero.
+#: Log odds of a chosen word, and the standard deviations by which it occurs in
+#: more toxic documents than by chance.
 STRONG = 3.5
-CERTAIN = 4.5
-RIDGE = 1e-3
+CERTAIN = 6.0
+RIDGE = 1e-4
 STEPS = 400
 #: Different chosen words from which on a toxic document's grade is 2, and 3.
 GRADE_FROM = (5, 10)
@@ -163,7 +164,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     drawn = drawn.union(marks.where(~toxic).orderBy(*by_hash).limit(sample))
     # At most twice the sample of rows of two numbers: small enough to send to
     # every task, so that no text is shuffled.
-    drawn = docs.where("text IS NOT NULL").join(F.broadcast(drawn), "doc_id")
+    texts = docs.where("text IS NOT NULL").select("doc_id", "text")
+    drawn = texts.join(F.broadcast(drawn), "doc_id")
     drawn = kept_in_files(drawn.select("grade", "text"), "labelled-texts")
     counts = (
         _presence(drawn, None)
@@ -179,9 +181,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     bad_n, good_n = totals.get(True, 0), totals.get(False, 0)
     if not bad_n or not good_n:
         return None
-    bad, good = F.col("bad") + 0.5, F.col("good") + 0.5
-    odds = F.log(bad / (bad_n + 1.0)) - F.log(good / (good_n + 1.0))
-    strength = odds / F.sqrt(1 / bad + 1 / good)
+    bad, good, share = F.col("bad"), F.col("good"), bad_n / (bad_n + good_n)
+    odds = F.log((bad + 0.5) / (bad_n + 1.0)) - F.log((good + 0.5) / (good_n + 1.0))
+    strength = (bad - share * (bad + good)) / F.sqrt((bad + good) * (share * (1 - share)))
     chosen = (
         counts.where(odds >= STRONG)
         .select("word", strength.alias("strength"))
