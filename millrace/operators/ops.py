@@ -52,7 +52,7 @@ def severity(growth: Column, warning: int = 1, critical: int = 20) -> Column:
 
 
 def alert_message(level: Column, growth: Column, topic: Column) -> Column:
-    return F.format_string("[%s] DLQ growth detected: +%d events on %s", level, growth, topic)
+    return F.format_string("%s: %d more dead letters (%s)", topic, growth, F.lower(level))
 
 
 def alert_rows(

@@ -456,7 +456,7 @@ SELECT count(*) AS samples, quantile_cont(a, 0.5) AS p50_produce_to_kafka_ms,
 ALERTS = """, alerts AS (
   SELECT sha256(concat_ws('|', severity, topic, offsets)) AS alert_hash,
          snapshot_ts AS time_bucket, severity, topic AS topic_name, offsets AS partition_offsets,
-         printf('[%s] DLQ growth detected: +%d events on %s', severity, growth, topic) AS message,
+         printf('%s: %d more dead letters (%s)', topic, growth, lower(severity)) AS message,
          snapshot_ts AS notified_at
   FROM (SELECT *, CASE WHEN growth >= 60 THEN 'CRITICAL' WHEN growth >= 3 THEN 'WARNING'
                        ELSE 'NONE' END AS severity FROM dlq) WHERE severity <> 'NONE'),

@@ -22,6 +22,7 @@ QUANTITY_NAMES = ["Quantity"]
 MONEY = T.DecimalType(12, 2)
 TOTAL = T.DecimalType(15, 2)
 
+# Names and types of the columns of events and result tables.
 _LONG, _INT, _DOUBLE = T.LongType(), T.IntegerType(), T.DoubleType()
 _TEXT, _FLAG, _DATE, _TIME = T.StringType(), T.BooleanType(), T.DateType(), T.TimestampType()
 

@@ -38,9 +38,9 @@ def test_severity_levels(make):
 def test_alerts_once_per_bucket_and_not_again(growth):
     first = ops.alert_rows(growth)
     assert rows(first, "severity", "message") == [
-        ("CRITICAL", "[CRITICAL] DLQ growth detected: +30 events on dlq"),
-        ("WARNING", "[WARNING] DLQ growth detected: +1 events on dlq"),
-        ("WARNING", "[WARNING] DLQ growth detected: +10 events on dlq")]
+        ("CRITICAL", "dlq: 30 more dead letters (critical)"),
+        ("WARNING", "dlq: 1 more dead letters (warning)"),
+        ("WARNING", "dlq: 10 more dead letters (warning)")]
     assert ops.alert_rows(growth.unionByName(growth)).count() == 3
     assert ops.alert_rows(growth, first).count() == 0
     assert {r["time_bucket"] for r in first.collect()} == {first.first()["time_bucket"]}
