@@ -182,16 +182,49 @@ def category_stats(
     ).withColumn("revenue", F.coalesce("revenue", F.lit(0)).cast(MONEY_TOTAL))
 
 
+def activity_category_stats(act: DataFrame) -> DataFrame:
+    """:func:`category_stats` of both kinds in one frame, from one scan.
+
+    Rows shrink to (date, item, category) first. The purchases of an item, which
+    have no category, are added up over its few rows and credited to each
+    category it was clicked in.
+    """
+    digest = act.groupBy("metric_date", "item_id", "category").agg(
+        F.count_if(is_click()).alias("n"),
+        F.count_if(is_purchase()).alias("bought"),
+        F.sum("revenue").alias("paid"),
+    )
+    item = Window.partitionBy("metric_date", "item_id")
+    known = F.col("item_id").isNotNull()
+    return (
+        digest.withColumns(
+            {
+                "bought": F.when(known, F.sum("bought").over(item)).otherwise(0),
+                "paid": F.when(known, F.sum("paid").over(item)),
+            }
+        )
+        .filter((F.col("n") > 0) & F.col("category").isNotNull())
+        .groupBy("metric_date", "category")
+        .agg(
+            F.sum("n").alias("click_count"),
+            F.count("item_id").alias("unique_items"),
+            F.sum("bought").alias("purchase_count"),
+            F.coalesce(F.sum("paid"), F.lit(0)).cast(MONEY_TOTAL).alias("revenue"),
+        )
+    )
+
+
 def popular_categories(
     clicks: DataFrame, purchases: DataFrame, n: int = 20, attribution: str = "all"
 ) -> DataFrame:
     """Top ``n`` categories per date by revenue, the name breaking ties."""
-    ranked = top_n(
-        category_stats(clicks, purchases, attribution),
-        ["metric_date"],
-        [F.col("revenue").desc(), F.col("category").asc()],
-        n,
-    )
+    return top_categories(category_stats(clicks, purchases, attribution), n)
+
+
+def top_categories(stats: DataFrame, n: int = 20) -> DataFrame:
+    """The ranked form of category statistics."""
+    order = [F.col("revenue").desc(), F.col("category").asc()]
+    ranked = top_n(stats, ["metric_date"], order, n)
     return ranked.select(
         "metric_date",
         "category",

@@ -23,8 +23,8 @@ def daily_reports(
 ) -> dict[str, DataFrame]:
     """All result tables of the batch. Input needs metric_date and event_ms.
 
-    Three of them share the narrow activity rows, which are written once to the
-    shared folder, so that the lake is not scanned for each.
+    They share the narrow activity rows, which are written once to the shared
+    folder, so that the lake is not scanned for each.
     """
     spark = clicks.sparkSession
     act = activity.activity(clicks, purchases)
@@ -35,7 +35,7 @@ def daily_reports(
         "daily_metrics": ingest.stamp(daily.daily_metrics(act), "created_at", "updated_at"),
         "popular_items": ingest.stamp(items.popular_items(act, top_items)),
         "popular_categories": ingest.stamp(
-            items.popular_categories(clicks, purchases, top_categories)
+            items.top_categories(items.activity_category_stats(act), top_categories)
         ),
         "session_funnel": ingest.stamp(funnel.session_funnel(act)),
     }

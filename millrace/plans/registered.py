@@ -117,7 +117,7 @@ def _items(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _categories(spark: SparkSession, d: str) -> DataFrame:
-    return items.popular_categories(et.read_clicks(spark, d), et.read_purchases(spark, d))
+    return items.top_categories(items.activity_category_stats(et.read_activity(spark, d)))
 
 
 def _funnel(spark: SparkSession, d: str) -> DataFrame:
