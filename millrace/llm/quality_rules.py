@@ -33,6 +33,9 @@ FEATURES = (
     "repeat_word_share",
     "words_per_line",
 )
+#: Labelled documents that rules are learned from, and the partitions they fill.
+SAMPLE = 40_000
+SAMPLE_PARTITIONS = 8
 #: Cut points of a feature: so many quantiles of the rejected and of all rows.
 CUTS = 20
 MOST_RULES = 8
@@ -140,17 +143,23 @@ def learn_rules(features: DataFrame, labels: DataFrame) -> list[list[Term]]:
     """Ordered rejecting rules from ``labels(doc_id, quality)``, 0 or 1.
 
     Labels that are null, or of no document, are left out; of several labels of
-    one document the lowest counts. Rows that fail the base rule are left out.
-    No labels of either kind give no rules. Only counts by feature and cut
+    one document the lowest counts. ``SAMPLE`` labelled documents on average are
+    used, drawn by a hash of their ids. Rows that fail the base rule are left
+    out. No labels of either kind give no rules. Only counts by feature and cut
     point, and the cut points, come to the driver.
     """
     marks = labels.where("quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = features.where(~F.col("base_failed")).join(marks, "doc_id").select(
+    share = min(1.0, SAMPLE / max(1, labels.count()))
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit("rules")), F.lit(1_000_000)) < int(1_000_000 * share)
+    # The sample is bounded, so it can be sent to every task, and the rows that
+    # it picks fit few partitions.
+    rows = features.where(~F.col("base_failed")).join(F.broadcast(marks.where(drawn)), "doc_id")
+    rows = rows.select(
         (F.col("quality") == 0).cast("int").alias("bad"),
         (F.pmod(F.xxhash64("doc_id"), F.lit(3)) < 2).alias("grows"),
         *FEATURES,
     )
-    rows = kept_in_files(rows, "labelled-features")
+    rows = kept_in_files(rows.repartition(SAMPLE_PARTITIONS), "labelled-features")
     ranks = [i / CUTS for i in range(1, CUTS)]
     cuts = rows.agg(
         *[F.percentile_approx(f, ranks, 10_000).alias(f"all_{f}") for f in FEATURES],
