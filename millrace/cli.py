@@ -5,6 +5,9 @@
     python -m millrace slo --tables ROOT [--hours 24]
     python -m millrace load clicks.csv click SOURCE_DATE TARGET_DATE --lake ROOT
     python -m millrace compact --tables ROOT
+    python -m millrace ingest FOLDER click --lake ROOT --checkpoint ROOT [--once]
+    python -m millrace sessions 2026-01-11 --lake ROOT --tables ROOT
+    python -m millrace expire daily_metrics --tables ROOT [--days 30]
     python -m millrace sort clicks.csv sorted/
 """
 
@@ -24,6 +27,7 @@ from millrace.plans import daily_jobs
 from millrace.session import build_session
 from millrace.sinks import lake as lake_sink
 from millrace.sinks.anomalies import compact_anomalies, read_anomaly_table
+from millrace.sinks.tables import drop_expired_partitions
 from millrace.sources import csv_files, kafka
 from millrace.streaming import jobs
 from millrace.streaming.listener import ProgressListener
@@ -70,6 +74,26 @@ def parser() -> argparse.ArgumentParser:
     fold = commands.add_parser("compact", help="fold the batches of the anomaly table")
     fold.add_argument("--tables", required=True, help="--out of the detection job")
 
+    feed = commands.add_parser("ingest", help="CSV files of a folder into the lake, as a stream")
+    feed.add_argument("source", help="folder that files arrive in")
+    feed.add_argument("kind", choices=["click", "purchase"])
+    feed.add_argument("--lake", required=True)
+    feed.add_argument("--checkpoint", required=True)
+    feed.add_argument("--once", action="store_true", help="stop after the files that are there")
+
+    summary = commands.add_parser("sessions", help="replace the session summaries of some days")
+    summary.add_argument("start", type=parse_date)
+    summary.add_argument("end", type=parse_date, nargs="?")
+    summary.add_argument("--lake", required=True)
+    summary.add_argument("--tables", required=True)
+
+    old = commands.add_parser("expire", help="drop old date folders of a table")
+    old.add_argument("table")
+    old.add_argument("--tables", required=True)
+    old.add_argument("--partition", default="metric_date")
+    old.add_argument("--days", type=int, default=30)
+    old.add_argument("--as-of", type=parse_date, default=None)
+
     order = commands.add_parser("sort", help="sort a CSV file by time")
     order.add_argument("csv")
     order.add_argument("out")
@@ -124,6 +148,17 @@ def load_day(
     )
 
 
+def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Files that arrive in a folder; rejects go to the dead letters of the lake."""
+    layout = schemas.CLICK_CSV if args.kind == "click" else schemas.PURCHASE_CSV
+    raw = spark.readStream.schema(layout).option("header", True).csv(args.source)
+    trigger = jobs.AVAILABLE_NOW if args.once else None
+    letters = f"{args.lake.rstrip('/')}/dead_letters/{args.kind}"
+    jobs.start_ingest(
+        raw, args.kind, args.lake, letters, args.checkpoint, trigger
+    ).awaitTermination()
+
+
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
     spark = spark or build_session(f"millrace-{args.command}")
@@ -142,6 +177,17 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         print(slo.slo_report(anomalies, now, args.hours).first()[0])
     elif args.command == "compact":
         compact_anomalies(spark, args.tables)
+    elif args.command == "ingest":
+        run_ingest(spark, args)
+    elif args.command == "sessions":
+        count = daily_jobs.run_sessions(spark, args.lake, args.tables, args.start, args.end)
+        print(f"session_summary: {count} rows")
+    elif args.command == "expire":
+        day = args.as_of or dt.datetime.now(dt.timezone.utc).date()
+        path = f"{args.tables.rstrip('/')}/{args.table}"
+        dropped = drop_expired_partitions(spark, path, args.partition, day, args.days)
+        for row in dropped.collect():
+            print(f"{row['folder']}: {row['action']}")
     elif args.command == "load":
         load_day(spark, args.csv, args.kind, args.source_date, args.target_date, args.lake)
     elif args.command == "sort":

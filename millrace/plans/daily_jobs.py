@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.times import parse_date
-from millrace.operators import activity, daily, funnel, ingest, items, ops
+from millrace.operators import activity, daily, funnel, ingest, items, ops, sessions
 from millrace.session import work_path
 from millrace.sinks import tables
 from millrace.sources import lake
+from millrace.sources.tables import read_table
 
 PIPELINE = "spark_batch_processing"
 
@@ -84,3 +85,27 @@ def run_daily(
         runs_path
     )
     return written
+
+
+def run_sessions(
+    spark: SparkSession,
+    lake_root: str,
+    tables_root: str,
+    start: str | dt.date,
+    end: str | dt.date | None = None,
+) -> int:
+    """Compute and replace the session summaries of some days; rows written.
+
+    Sessions are flagged by the anomaly table below ``tables_root``, if there is
+    one. A session belongs to the day of its first event in the range.
+    """
+    first = parse_date(start)
+    last = parse_date(end) if end is not None else first
+    days = [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
+    clicks, purchases = (
+        lake.for_reports(lake.read_events(spark, lake_root, kind, first, last))
+        for kind in ("click", "purchase")
+    )
+    anomalies = read_table(spark, tables_root, "anomaly_sessions", missing_ok=True)
+    report = sessions.session_summary(activity.activity(clicks, purchases), anomalies)
+    return tables.replace_dates(report, f"{tables_root}/session_summary", days=days)

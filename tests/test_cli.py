@@ -62,3 +62,33 @@ def test_slo(spark, make, folder, capsys):
     report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert report["report"]["samples"] == 0
     assert "db_write_ts" in stored_schema().fieldNames()
+
+
+def test_ingest_is_exact_and_routes_rejects(spark, folder):
+    Path(f"{folder}/in").mkdir()
+    Path(f"{folder}/in/a.csv").write_text(CLICKS)
+    for _ in range(2):
+        cli.main(["ingest", f"{folder}/in", "click", "--lake", f"{folder}/lake",
+                  "--checkpoint", f"{folder}/cp", "--once"], spark)
+    assert lake.read_events(spark, f"{folder}/lake", "click").count() == 4
+    assert spark.read.parquet(f"{folder}/lake/dead_letters/click").count() == 1
+
+
+def test_sessions_and_expiry(spark, loaded, capsys):
+    cli.main(["sessions", "2026-01-11", "--lake", f"{loaded}/lake", "--tables", f"{loaded}/t"], spark)
+    stored = read_table(spark, f"{loaded}/t", "session_summary")
+    assert rows(stored, "session_id", "click_count", "is_converted", "is_anomaly") == [
+        (1, 2, True, False), (2, 1, False, False)]
+    cli.main(["expire", "session_summary", "--tables", f"{loaded}/t", "--as-of", "2026-03-01"], spark)
+    assert "metric_date=2026-01-11: DROPPED" in capsys.readouterr().out
+
+
+def test_a_repeated_load_replaces_its_rows(spark, loaded):
+    cli.main(["load", f"{loaded}/clicks.csv", "click", "2014-04-07", "2026-01-11",
+              "--lake", f"{loaded}/lake"], spark)
+    cli.main(["load", f"{loaded}/clicks.csv", "click", "2014-04-07", "2026-01-12",
+              "--lake", f"{loaded}/lake"], spark)
+    stored = lake.read_events(spark, f"{loaded}/lake", "click")
+    assert (stored.count(), stored.select("event_id").distinct().count()) == (6, 6)
+    letters = spark.read.parquet(f"{loaded}/lake/dead_letters/click")
+    assert letters.count() == 1
