@@ -47,28 +47,20 @@ def primary_category(clicks: DataFrame, by: list[str] | None = None) -> DataFram
     )
 
 
-# Up to this rank Spark trims each task's rows before the shuffle by itself
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-TRIMMED_BY_SPARK = 1000
-SLICES = 64
-
-
 def top_n(df: DataFrame, by: list[str], order: list[Column], n: int) -> DataFrame:
     """First ``n`` rows per group with their rank.
 
-    The rank bound lets Spark keep only ``n`` rows per group in every task
-    before the shuffle. For larger ``n`` each group is ranked in slices first,
-    so no task ever orders a whole group.
+    Rows are ranked in slices first, one for each task that made them, so no
+    task orders a whole group; the firsts of the slices are ranked again. For
+    small ``n`` Spark drops rows beyond the rank bound before either shuffle.
     """
 
-    def ranked(frame: DataFrame, keys: list[str | Column]) -> DataFrame:
+    def ranked(frame: DataFrame, keys: list[str]) -> DataFrame:
         place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
         return frame.withColumn("rank", place.cast("int")).filter(F.col("rank") <= n)
 
-    if n > TRIMMED_BY_SPARK:
-        piece = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(SLICES))
-        df = ranked(df, [*by, piece]).drop("rank")
-    return ranked(df, list(by))
+    sliced = ranked(df.withColumn("_slice", F.spark_partition_id()), [*by, "_slice"])
+    return ranked(sliced.drop("rank", "_slice"), list(by))
 
 
 def item_stats(act: DataFrame) -> DataFrame:

@@ -203,10 +203,14 @@ def test_file_totals(make):
     assert (row["events"], row["total_revenue"]) == (2, Decimal("5.00"))
 
 
-def test_long_rankings_are_sliced_first(make, monkeypatch):
-    """Above Spark's own trimming bound the result stays the same."""
-    df = make("g int, v long, i long", [(n % 2, n * 7 % 50, n) for n in range(200)])
+@pytest.mark.parametrize("n", [3, 30, 1500])
+def test_rankings_are_sliced_first(make, n):
+    """Below and above the bound that Spark trims by itself."""
+    data = [(k % 2, k * 7 % 50, k) for k in range(4000)]
+    df = make("g int, v long, i long", data).repartition(5)
     order = [F.col("v").desc(), F.col("i").asc()]
-    plain = rows(items.top_n(df, ["g"], order, 30))
-    monkeypatch.setattr(items, "TRIMMED_BY_SPARK", 10)
-    assert rows(items.top_n(df, ["g"], order, 30)) == plain
+    wanted = []
+    for g in (0, 1):
+        group = sorted((r for r in data if r[0] == g), key=lambda r: (-r[1], r[2]))[:n]
+        wanted += [(*r, place) for place, r in enumerate(group, 1)]
+    assert rows(items.top_n(df, ["g"], order, n)) == sorted(wanted, key=repr)
