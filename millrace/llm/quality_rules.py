@@ -139,6 +139,17 @@ def with_features(statistics: DataFrame) -> DataFrame:
     )
 
 
+def sampled_labels(labels: DataFrame) -> DataFrame:
+    """``(doc_id, quality)`` of ``SAMPLE`` labelled documents on average.
+
+    Null labels are left out; of several labels of one document the lowest counts.
+    """
+    marks = labels.where("quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    share = min(1.0, SAMPLE / max(1, labels.count()))
+    place = F.pmod(F.xxhash64("doc_id", F.lit("rules")), F.lit(1_000_000))
+    return marks.where(place < int(1_000_000 * share))
+
+
 def learn_rules(features: DataFrame, labels: DataFrame) -> list[list[Term]]:
     """Ordered rejecting rules from ``labels(doc_id, quality)``, 0 or 1.
 
@@ -148,12 +159,10 @@ def learn_rules(features: DataFrame, labels: DataFrame) -> list[list[Term]]:
     out. No labels of either kind give no rules. Only counts by feature and cut
     point, and the cut points, come to the driver.
     """
-    marks = labels.where("quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    share = min(1.0, SAMPLE / max(1, labels.count()))
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit("rules")), F.lit(1_000_000)) < int(1_000_000 * share)
     # The sample is bounded, so it can be sent to every task, and the rows that
     # it picks fit few partitions.
-    rows = features.where(~F.col("base_failed")).join(F.broadcast(marks.where(drawn)), "doc_id")
+    marks = F.broadcast(sampled_labels(labels))
+    rows = features.where(~F.col("base_failed")).join(marks, "doc_id")
     rows = rows.select(
         (F.col("quality") == 0).cast("int").alias("bad"),
         (F.pmod(F.xxhash64("doc_id"), F.lit(3)) < 2).alias("grows"),
@@ -278,9 +287,12 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def remove_rejected(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without rejected rows, with the columns of ``docs``.
 
-    The texts are read twice, to learn and to judge; no text is shuffled.
+    The texts are read twice, the sampled ones to learn and all to judge; no
+    text is shuffled.
     """
-    found = with_features(base_statistics(docs.select("doc_id", "text")))
+    sampled = F.broadcast(sampled_labels(labels).select("doc_id"))
+    chosen = docs.select("doc_id", "text").join(sampled, "doc_id", "left_semi")
+    found = with_features(base_statistics(chosen))
     rules = learn_rules(kept_in_files(found, "text-statistics"), labels)
     whole = F.struct("*").alias("doc_id")  # the row in place of its id
     judged = docs.select(whole, "text")
