@@ -141,7 +141,7 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float = SWITCH) ->
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     order = np.argsort(-lengths, kind="stable")
     lengths, starts = lengths[order], starts[order]
-    came = np.zeros((total, k), np.int8)
+    came = np.zeros((total, k), np.int8 if k <= 128 else np.int32)
     active = np.searchsorted(-lengths, -np.arange(int(lengths[0])), "left")
     value = scores[starts[: active[0]]].copy()
     together = int(np.searchsorted(-active, -FEW, "right")) or 1
@@ -201,12 +201,15 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     """A model of ``docs(doc_id, text, lang)`` that are not held out.
 
     Rows with a null lang or text are left out. Of each language, a sample of
-    ``sample`` documents on average is drawn by a hash of the text. Counts are
+    ``sample`` different texts on average is drawn by a hash of the text; copies
+    count once. Counts are
     summed by Spark; one number per feature and language comes to the driver.
     None if there is nothing to learn from.
     """
     rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").where(~held_out(F.col("doc_id")))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    # Hashes stand for the texts: only the size of the draw rests on these counts.
+    distinct = rows.select("lang", F.xxhash64("text").alias("h")).distinct()
+    sizes = {r["lang"]: r["n"] for r in distinct.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return None
     part = F.pmod(F.xxhash64("text", F.lit("train")), F.lit(1_000_000))
@@ -235,6 +238,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     found = (
         rows.where(part < limit)
         .select("text", "lang")
+        .distinct()
         .mapInArrow(count, "lang string, feature long, n long")
         .groupBy("lang", "feature")
         .agg(F.sum("n").alias("n"))

@@ -73,3 +73,18 @@ def test_nothing_to_learn(spark, docs):
     got = identify(docs([(1, "some text")]), None, with_spans=False).first()
     assert (got.lang_pred, got.score) == ("und", 0.0)
     assert identify(docs([]), None).count() == 0
+
+
+def test_copies_count_once_in_the_draw(docs):
+    texts = ["ein kurzer satz", "noch ein langer satz", "drei worte hier"]
+    rows = [(k, texts[k % 3]) for k in range(600)]
+    model = train(docs(rows, "de"), sample=6)
+    few = train(docs([(k, t) for k, t in rows if k < 60], "de"), sample=6)
+    assert model.uses.any() and (model.scores == few.scores).all()
+
+
+def test_more_labels_than_a_byte_holds():
+    scores = np.zeros((6, 300))
+    scores[:3, 7], scores[3:, 299] = 100, 100
+    assert viterbi(scores, np.array([6])).tolist() == [7] * 3 + [299] * 3
+    assert viterbi(np.repeat(scores, 64, axis=0), np.full(64, 6)).shape == (384,)
