@@ -91,7 +91,8 @@ def repeated_lines(
             "line_no",
             (words >= min_words).alias("long"),
             F.xxhash64("line").alias("id"),
-            F.xxhash64("line", F.lit(1)).alias("check"),
+            # The constant comes first: a hash is the seed of the next column's.
+            F.xxhash64(F.lit(1), "line").alias("check"),
         )
     )
     # Lines without words are no part of the sequence.

@@ -406,7 +406,8 @@ def remove_repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     keyed = docs.select(
         "doc_id",
         F.xxhash64(text).alias("t1"),
-        F.xxhash64(text, F.lit(1)).alias("t2"),
+        # The constant comes first: a hash is the seed of the next column's.
+        F.xxhash64(F.lit(1), text).alias("t2"),
         text.alias("text"),
     )
     found = repeated_spans(keyed.select("t1", "t2", "text"), length)

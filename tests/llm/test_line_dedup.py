@@ -52,3 +52,9 @@ def test_columns_order_and_repeated_rows(spark, docs):
     clash = table.withColumnRenamed("n_chars", "n_removed").withColumnRenamed("words", "n_lines")
     assert remove_repeated_lines(clash).columns == clash.columns
     assert remove_repeated_lines(docs([])).count() == 0
+
+
+def test_lines_with_one_hash_stay_two(docs):
+    pair = ["one lineand more a b c d e", "twoaahrf1Z}SwX}R a b c d e"]
+    got = dedup_lines(docs(list(enumerate(pair))), 2, 5).collect()
+    assert {r.doc_id: r.text for r in got} == dict(enumerate(pair))

@@ -86,3 +86,12 @@ def test_repeated_rows_and_none(docs):
     got = remove_repeated(docs([(1, long), (1, long), (None, "a")])).collect()
     assert sorted((r.n_bytes, r.n_removed) for r in got) == [(1, 0), (600, 600), (600, 600)]
     assert remove_repeated(docs([])).count() == 0
+
+
+def test_texts_with_one_hash_stay_two(spark, docs):
+    pair = ["one lineand more a b c d e", "twoaahrf1Z}SwX}R a b c d e"]
+    table = docs(list(enumerate(pair)))
+    assert table.selectExpr("xxhash64(text) AS h").distinct().count() == 1
+    got = {r.doc_id: r for r in remove_repeated(table).collect()}
+    for k, text in enumerate(pair):
+        assert (got[k].n_removed, got[k].kept_sha256) == (0, hashlib.sha256(text.encode()).hexdigest())
