@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.llm.common import kept_in_files, read_table, small_batches
 from millrace.llm.decontamination import remove_contaminated
 from millrace.llm.line_dedup import remove_repeated_lines
-from millrace.llm.packing import pack
+from millrace.llm.packing import pack, write_buckets
 from millrace.llm.quality_rules import remove_rejected
 from millrace.llm.simhash import keep_one_of_each
+from millrace.session import work_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -39,9 +40,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of what is left, each a sequence."""
+    """Pieces of what is left, each a sequence with its ids, in order of length
+    in each partition."""
     small_batches(spark)
-    return pack(docs, with_ids=False)
+    return pack(docs).sortWithinPartitions("length")
 
 
 STAGES: list[tuple[str, Stage]] = [
@@ -57,8 +59,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each result written and read again."""
+    """All stages over ``documents``, each result written and read again; the
+    sequences in a folder for each length."""
     docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = kept_in_files(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return docs
+    packed, path = STAGES[-1][1](spark, docs, sf_dir), work_path(spark, "sequences")
+    write_buckets(packed, path)
+    return spark.read.schema(packed.schema).parquet(path)

@@ -41,3 +41,9 @@ def test_stages_one_after_the_other(spark):
         ids = kept
     rows = corpus_pipeline.run(spark, DATA).collect()
     assert {r.doc_id for r in rows} == ids
+
+
+def test_sequences_are_written_by_length(spark):
+    rows = corpus_pipeline.run(spark, DATA)
+    assert all(f"/length={r.length}/" in r.file for r in rows.selectExpr("length", "input_file_name() AS file").collect())
+    assert rows.where("ids IS NULL OR size(ids) <> length").count() == 0
