@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import datetime as dt
 import sys
 from pathlib import Path
 
@@ -10,8 +9,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from millrace.session import build_session
 
-UTC = dt.timezone.utc
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -32,17 +29,6 @@ def folder(tmp_path):
     return str(tmp_path)
 
 
-def at(text: str) -> dt.datetime:
-    """A UTC time from ISO text."""
-    return dt.datetime.fromisoformat(text).replace(tzinfo=UTC)
-
-
-def rows(df, *order):
-    """Rows as plain tuples, sorted by all values unless columns are given."""
-    found = [tuple(r) for r in (df.select(*order) if order else df).collect()]
-    return sorted(found, key=repr)
-
-
 @pytest.fixture
 def make(spark):
     """make(schema, rows) -> DataFrame"""

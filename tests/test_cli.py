@@ -5,7 +5,7 @@ import json
 from pathlib import Path
 
 import pytest
-from conftest import rows
+from support import rows
 
 from millrace import cli
 from millrace.sources import lake

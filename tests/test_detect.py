@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import at, rows
+from support import at, rows
 from pyspark.sql import functions as F
 
 from millrace.operators import detect

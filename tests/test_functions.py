@@ -4,7 +4,7 @@ import datetime as dt
 import hashlib
 
 import pytest
-from conftest import at, rows
+from support import at, rows
 from pyspark.sql import functions as F
 
 from millrace.functions import ids, times, values

@@ -2,7 +2,7 @@
 
 import json
 
-from conftest import at, rows
+from support import at, rows
 from pyspark.sql import functions as F
 
 from millrace.functions import ids

@@ -4,7 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from millrace.operators import activity, daily, funnel, items, sessions

@@ -5,7 +5,7 @@ from decimal import Decimal
 from pathlib import Path
 
 import pytest
-from conftest import at, rows
+from support import at, rows
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
