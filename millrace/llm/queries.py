@@ -11,6 +11,7 @@ from millrace.llm.decontamination import find_contamination
 from millrace.llm.html_extraction import extract_pages
 from millrace.llm.language import identify, train
 from millrace.llm.line_dedup import dedup_lines
+from millrace.llm.neighbours import nearest
 from millrace.llm.packing import pack
 from millrace.llm.quality_rules import judge
 from millrace.llm.repeated_passages import remove_repeated
@@ -95,6 +96,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every twentieth vector, among all vectors."""
+    return nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
@@ -106,4 +112,5 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
+    "op11_nearest": op11_nearest,
 }
