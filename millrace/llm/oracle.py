@@ -104,8 +104,57 @@ SELECT page_id, strlen(payload) AS payload_bytes,
 FROM payloads
 """
 
+#: CRC-32 of a text as SQL, from the table of the 256 bytes.
+_HEX = "(strpos('0123456789ABCDEF', substr(h, {0}, 1)) - 1)"
+_BYTE = f"{_HEX.format('2 * i + 1')} * 16 + {_HEX.format('2 * i + 2')}"
+
+OP12 = f"""
+WITH steps AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab
+), docs AS (SELECT doc_id, {_words("documents")} AS w FROM documents),
+items AS (SELECT {_words("benchmark")} AS w FROM benchmark),
+counted AS (
+  SELECT word, sum(s) AS s, sum(t) AS t FROM (
+    SELECT unnest(w) AS word, 1 AS s, 0 AS t FROM docs
+    UNION ALL SELECT unnest(w), 0, 1 FROM items
+  ) GROUP BY word
+), hashed AS (
+  SELECT word, s, t,
+         xor(list_reduce(
+           list_concat([4294967295], list_transform(range(len(h) // 2), lambda i: {_BYTE})),
+           lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT *, hex(encode(word)) AS h FROM counted), steps
+), sums AS (SELECT bucket, sum(s) AS s, sum(t) AS t FROM hashed GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln(
+    (CAST(t AS DOUBLE) + 1) * (SELECT CAST(sum(s) AS DOUBLE) + 10000 FROM sums)
+    / ((CAST(s AS DOUBLE) + 1) * (SELECT CAST(sum(t) AS DOUBLE) + 10000 FROM sums)))) AS gain
+  FROM sums
+), weights AS (
+  SELECT doc_id, CAST(sum(gain) AS BIGINT) AS weight
+  FROM (SELECT doc_id, unnest(w) AS word FROM docs)
+  JOIN hashed USING (word) JOIN gains USING (bucket)
+  GROUP BY doc_id
+), scored AS (
+  SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((
+           CAST(CAST('0x' || substr(sha256('2024:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 8) AS BIGINT)
+           AS DOUBLE) + 0.5) / 4294967296))) AS BIGINT) AS score
+  FROM docs d LEFT JOIN weights USING (doc_id)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+         count(*) OVER (PARTITION BY n_features >= 20) AS n
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank
+FROM placed
+"""
+
 ORACLE: dict[str, str] = {
     "op4_decontamination": OP4,
     "op6_warc": OP6,
     "op10_line_dedup": OP10,
+    "op12_resampling": OP12,
 }

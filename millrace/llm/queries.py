@@ -15,6 +15,7 @@ from millrace.llm.neighbours import nearest
 from millrace.llm.packing import pack
 from millrace.llm.quality_rules import judge
 from millrace.llm.repeated_passages import remove_repeated
+from millrace.llm.resampling import resample
 from millrace.llm.simhash import near_duplicates
 from millrace.llm.toxicity import rate, train as train_toxicity
 
@@ -101,6 +102,11 @@ def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A draw of a tenth of the documents, by likeness to the benchmark."""
+    return resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
@@ -113,4 +119,5 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
     "op11_nearest": op11_nearest,
+    "op12_resampling": op12_resampling,
 }
