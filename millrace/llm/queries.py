@@ -18,6 +18,7 @@ from millrace.llm.repeated_passages import remove_repeated
 from millrace.llm.resampling import resample
 from millrace.llm.simhash import near_duplicates
 from millrace.llm.toxicity import rate, train as train_toxicity
+from millrace.llm.whitening import whiten
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,6 +108,11 @@ def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first four whitened components of every vector."""
+    return whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
@@ -120,4 +126,5 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
     "op11_nearest": op11_nearest,
     "op12_resampling": op12_resampling,
+    "op13_whitening": op13_whitening,
 }
