@@ -243,17 +243,15 @@ def plant(entries: DataFrame, dim: int) -> tuple[Tree, DataFrame]:
         parts = {leaf: n for leaf, n in parts.items() if n > 1}
         if not parts:
             break
-        wanted = placed.sparkSession.createDataFrame(
-            [(leaf, n, min(1.0, 1.3 * SAMPLE / counts[leaf])) for leaf, n in parts.items()],
-            "leaf long, parts int, share double",
-        )
         draw = F.pmod(F.xxhash64(F.lit(level), "v"), F.lit(1 << 30))
-        drawn = (
-            placed.select("leaf", "v", draw.alias("draw"))
-            .join(F.broadcast(wanted), "leaf")
-            .where(F.col("draw") < F.col("share") * (1 << 30))
-            .select("leaf", "parts", "draw", "v")
-        )
+        drawn = placed.select("leaf", "v", draw.alias("draw"))
+        shares = [(leaf, n, min(1.0, 1.3 * SAMPLE / counts[leaf])) for leaf, n in parts.items()]
+        if level == 0:
+            drawn = drawn.select("*", *(F.lit(x).alias(c) for c, x in zip(("parts", "share"), shares[0][1:])))
+        else:
+            wanted = placed.sparkSession.createDataFrame(shares, "leaf long, parts int, share double")
+            drawn = drawn.join(F.broadcast(wanted), "leaf")
+        drawn = drawn.where(F.col("draw") < F.col("share") * (1 << 30)).select("leaf", "parts", "draw", "v")
 
         def fit(rows: pd.DataFrame) -> pd.DataFrame:
             rows = rows.sort_values("draw").head(SAMPLE)
