@@ -38,7 +38,7 @@ from millrace.session import (
     work_path,
 )
 from millrace.sinks import lake as lake_sink
-from millrace.sinks import tables
+from millrace.sinks import published, tables
 from millrace.sinks.anomalies import (
     ANOMALY_KEYS,
     WINDOW_DATE,
@@ -627,7 +627,7 @@ def replace_date_roundtrip(spark, d):
     # A range that has no rows for one of its days.
     rest = report.filter(F.col("metric_date") != F.lit("2024-01-20").cast("date"))
     tables.replace_dates(rest, path, days=["2024-01-19", "2024-01-20", "2024-01-21"])
-    return spark.read.schema(report.schema).parquet(path)
+    return published.read(spark, path, report.schema)
 
 
 @query
@@ -650,7 +650,7 @@ def upsert_roundtrip(spark, d):
     changes = changes.unionByName(none.withColumn("click_count", F.col("click_count") + 1))
     for batch in ("1", "1"):
         tables.upsert(changes, path, keys, by, batch)
-    return spark.read.schema(first.schema).parquet(path)
+    return published.read(spark, path, first.schema)
 
 
 # --- serving --------------------------------------------------------------------

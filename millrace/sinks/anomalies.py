@@ -12,8 +12,7 @@ from pyspark.sql import types as T
 
 from millrace import files
 from millrace.schemas import ANOMALY
-from millrace.sinks import tables
-from millrace.sources.lake import read_or_empty
+from millrace.sinks import published, tables
 
 WINDOW_DATE = "window_date"
 ANOMALY_KEYS = ["session_id", "window_start", "anomaly_type"]
@@ -45,7 +44,7 @@ def read_anomaly_table(spark: SparkSession, root: str) -> DataFrame:
     The type is part of the key, so rows of two queries never replace each other.
     """
     schema = stored_schema()
-    current = read_or_empty(spark, f"{root.rstrip('/')}/{TABLE}", schema)
+    current = published.read(spark, f"{root.rstrip('/')}/{TABLE}", schema)
     for query in _queries(spark, root):
         newest = tables.latest_version(
             spark, batches_path(root, query), ANOMALY_KEYS, schema, WINDOW_DATE

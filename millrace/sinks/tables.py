@@ -2,6 +2,9 @@
 
 * ``replace_date`` / ``replace_dates`` swap whole dates.
 * ``upsert`` merges rows by key into the touched partitions.
+
+Both publish a version of the table in one step (:mod:`millrace.sinks.published`).
+
 * ``append_version`` / ``current_rows`` keep one folder per micro-batch and
   pick the newest row of a key when reading; a replayed batch overwrites its
   own folder only. ``compact`` folds the versions into a plain table.
@@ -10,7 +13,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,18 +22,10 @@ from pyspark.sql import types as T
 from millrace import files
 from millrace.functions.joins import null_safe_join
 from millrace.functions.times import parse_date
+from millrace.sinks import published
 from millrace.sources.lake import read_or_empty
 
 
-def _write_partitions(df: DataFrame, path: str, partition: str) -> None:
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-
-
 def replace_dates(
     df: DataFrame,
     path: str,
@@ -39,37 +33,17 @@ def replace_dates(
     days: Iterable[str | dt.date] | None = None,
     coalesce: int | None = None,
 ) -> int:
-    """Replace whole dates; returns the rows written.
+    """Replace whole dates of a published table; returns the rows written.
 
     With ``days``, exactly these are replaced: rows of other dates are left out,
     and a day without rows ends up empty. Without, every date that ``df`` has
-    rows for. Spark stages the new files and swaps the folders when the job
-    commits, so a failed job leaves the old dates as they were.
+    rows for. Rows are written once; all dates change in one step.
     """
-    spark = df.sparkSession
-    side = f"{path.rstrip('/')}_staging/{uuid.uuid4().hex}"
     wanted = None if days is None else sorted({parse_date(day) for day in days})
     if wanted is not None:
         df = df.filter(F.col(partition).isin(wanted))
-    try:
-        # Computed once; then it is known which days have rows.
-        df.write.parquet(side)
-        rows = spark.read.schema(df.schema).parquet(side)
-        counts = rows.groupBy(partition).agg(F.count("*").alias("n"))
-        if wanted is None:
-            written = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-            empty: list[dt.date] = []
-        else:
-            found = {row[0]: row[1] for row in counts.collect()}
-            written = sum(found.values())
-            empty = [day for day in wanted if day not in found]
-        shaped = rows.coalesce(coalesce) if coalesce else rows.hint("rebalance", partition)
-        _write_partitions(shaped, path, partition)
-        for day in empty:
-            files.delete(spark, f"{path}/{partition}={day.isoformat()}")
-    finally:
-        files.delete(spark, side)
-    return written
+    folders = [f"{partition}={day.isoformat()}" for day in wanted or ()]
+    return published.replace(df, path, partition, folders, coalesce)
 
 
 def replace_date(
@@ -114,25 +88,27 @@ def upsert(
     batch: str,
     order: Sequence[str] = (),
 ) -> None:
-    """Merge ``changes`` into the table at ``path`` by key.
+    """Merge ``changes`` into the published table at ``path`` by key.
 
     ``partition`` must be a function of the key, so a key never moves between
     partitions. The changes are computed once, into a side folder named after
-    ``batch``; the merged partitions are written in full next to them before
-    the table is touched. A run that died while publishing is repeated under
-    the same ``batch`` name and publishes that finished copy instead of
-    merging again.
+    ``batch``. Touched partitions are written in full and change in one step; if
+    another writer changed one of them meanwhile, they are merged again.
     """
     spark = changes.sparkSession
-    side = f"{path.rstrip('/')}_staging/{batch}"
-    if not files.exists(spark, f"{side}/merged/_SUCCESS"):
-        one_per_key(changes, keys, order).write.mode("overwrite").parquet(f"{side}/changes")
-        newest = spark.read.schema(changes.schema).parquet(f"{side}/changes")
-        existing = read_or_empty(spark, path, changes.schema)
+    side = f"{path.rstrip('/')}/staging/{batch}"
+    one_per_key(changes, keys, order).write.mode("overwrite").parquet(side)
+    newest = spark.read.schema(changes.schema).parquet(side)
+    for attempt in range(published.ATTEMPTS):
+        base = published.version(spark, path)
+        existing = published.read(spark, path, changes.schema, number=base.number)
         merged = merge(_touched(existing, newest, partition), newest, keys)
-        merged.write.mode("overwrite").parquet(f"{side}/merged")
-    publish = spark.read.schema(changes.schema).parquet(f"{side}/merged")
-    _write_partitions(publish.hint("rebalance", partition), path, partition)
+        try:
+            published.replace(merged, path, partition, base=base)
+            break
+        except published.Changed:
+            if attempt == published.ATTEMPTS - 1:
+                raise
     files.delete(spark, side)
 
 
@@ -171,7 +147,7 @@ def current_rows(
 ) -> DataFrame:
     """Rows of the compacted table, with micro-batches since then on top."""
     newest = latest_version(spark, path, keys, schema, partition)
-    return merge(read_or_empty(spark, target, newest.schema), newest, keys)
+    return merge(published.read(spark, target, newest.schema), newest, keys)
 
 
 def compact(
@@ -203,25 +179,25 @@ def compact(
 def drop_expired_partitions(
     spark: SparkSession, path: str, partition: str, as_of: str | dt.date, days: int = 30
 ) -> DataFrame:
-    """Delete date folders older than ``as_of - days``; reports each folder.
+    """Take dates older than ``as_of - days`` out of a published table; reports each.
 
     Works on folder names only. A name that is not a date is reported and kept.
+    Their files go with :func:`millrace.sinks.published.vacuum`.
     """
     cutoff = parse_date(as_of) - dt.timedelta(days=days)
-    report: list[tuple[str, dt.date | None, str]] = []
-    for name in sorted(files.folders(spark, path)):
-        if not name.startswith(f"{partition}="):
-            continue
+
+    def day_of(folder: str) -> dt.date | None:
         try:
-            day = parse_date(name.split("=", 1)[1])
+            return parse_date(folder.split("=", 1)[1])
         except ValueError:
-            report.append((name, None, "UNREADABLE"))
-            continue
-        if day < cutoff:
-            files.delete(spark, f"{path.rstrip('/')}/{name}")
-            report.append((name, day, "DROPPED"))
-        else:
-            report.append((name, day, "KEPT"))
+            return None
+
+    before = published.version(spark, path).folders
+    gone = published.drop(spark, path, lambda f: (day := day_of(f)) is not None and day < cutoff)
+    report = [
+        (f, day_of(f), "DROPPED" if f in gone else "UNREADABLE" if day_of(f) is None else "KEPT")
+        for f in sorted({*before, *gone})
+    ]
     return spark.createDataFrame(report, "folder string, partition_date date, action string")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from millrace import files
 from millrace import schemas as S
+from millrace.sinks import published
 from millrace.sinks.anomalies import TABLE, anomaly_table_exists, read_anomaly_table
 from millrace.sources.lake import read_or_empty
 
@@ -36,6 +37,9 @@ def read_table(
             raise FileNotFoundError(f"no table {name} below {root}")
     if anomalies:
         return read_anomaly_table(spark, root)
+    if published.exists(spark, path):
+        empty = not published.version(spark, path).folders
+        return published.read(spark, path, TABLES[name] if empty else None)
     return read_or_empty(spark, path, TABLES[name], infer=True)
 
 

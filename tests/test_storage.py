@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from millrace import files, schemas
 from millrace.plans import daily_jobs
 from millrace.session import object_store_conf, session_conf, shared_folder, work_path
-from millrace.sinks import jdbc, tables
+from millrace.sinks import jdbc, published, tables
 from millrace.sinks import lake as lake_sink
 from millrace.sources import csv_files, kafka, lake
 from millrace.sources import tables as result_tables
@@ -106,7 +106,7 @@ def test_replace_dates_touches_only_its_dates(spark, make, folder):
     path = f"{folder}/t"
     assert tables.replace_dates(make(METRIC, [(d, 1) for d in DAYS]), path) == 3
     assert tables.replace_dates(make(METRIC, [(DAYS[1], 2), (DAYS[1], 3)]), path) == 2
-    assert rows(spark.read.parquet(path), "metric_date", "n") == [
+    assert rows(published.read(spark, path), "metric_date", "n") == [
         (DAYS[0], 1), (DAYS[1], 2), (DAYS[1], 3), (DAYS[2], 1)]
 
 
@@ -117,7 +117,7 @@ def test_replace_date_is_idempotent_and_can_empty_a_date(spark, make, folder):
     for _ in range(2):
         assert tables.replace_date(data.withColumn("n", F.lit(7)), path, DAYS[1], coalesce=1) == 1
     assert tables.replace_date(make(METRIC, []), path, "2026-01-12") == 0
-    assert rows(spark.read.parquet(path), "metric_date", "n") == [(DAYS[0], 1), (DAYS[1], 7)]
+    assert rows(published.read(spark, path), "metric_date", "n") == [(DAYS[0], 1), (DAYS[1], 7)]
 
 
 def test_a_failed_replacement_leaves_the_date(spark, make, folder):
@@ -126,7 +126,7 @@ def test_a_failed_replacement_leaves_the_date(spark, make, folder):
     broken = make(METRIC, [(DAYS[0], 1)]).withColumn("n", F.raise_error(F.lit("no")).cast("int"))
     with pytest.raises(Exception):
         tables.replace_dates(broken, path)
-    assert rows(spark.read.parquet(path), "n") == [(1,)]
+    assert rows(published.read(spark, path), "n") == [(1,)]
 
 
 KEYED = "k long, v int, d date"
@@ -138,32 +138,89 @@ def test_upsert_replaces_adds_and_keeps(spark, make, folder):
     changes = make(KEYED, [(2, 5, DAYS[0]), (2, 5, DAYS[0]), (4, 5, DAYS[2])])
     for _ in range(2):
         tables.upsert(changes, path, ["k"], "d", "1")
-        assert rows(spark.read.parquet(path), "k", "v") == [(1, 1), (2, 5), (3, 1), (4, 5)]
+        assert rows(published.read(spark, path), "k", "v") == [(1, 1), (2, 5), (3, 1), (4, 5)]
 
 
 def test_upsert_takes_the_newest_of_a_batch(spark, make, folder):
     path = f"{folder}/t"
     tables.upsert(make(KEYED, [(1, 1, DAYS[0]), (1, 9, DAYS[0]), (1, 4, DAYS[0])]),
                   path, ["k"], "d", "0", order=["v"])
-    assert rows(spark.read.parquet(path), "k", "v") == [(1, 9)]
+    assert rows(published.read(spark, path), "k", "v") == [(1, 9)]
 
 
-def test_upsert_finishes_a_run_that_died_while_publishing(spark, make, folder, monkeypatch):
-    """The old partition is already gone when the writer dies; the repeat restores it."""
+def test_a_writer_that_dies_leaves_the_old_version_whole(spark, make, folder, monkeypatch):
+    """All files of a range are written, but the writer dies before the version is."""
     path = f"{folder}/t"
-    tables.upsert(make(KEYED, [(1, 1, DAYS[0]), (2, 1, DAYS[0])]), path, ["k"], "d", "0")
-    changes = make(KEYED, [(2, 5, DAYS[0])])
+    tables.replace_dates(make(METRIC, [(d, 1) for d in DAYS]), path)
+    before = rows(published.read(spark, path))
 
-    def dies(df, target, partition):
-        files.delete(spark, f"{target}/d={DAYS[0]}")
+    def dies(*args):
         raise RuntimeError("lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(tables, "_write_partitions", dies)
+        patch.setattr(files, "put_new", dies)
+        with pytest.raises(RuntimeError):
+            tables.replace_dates(make(METRIC, [(d, 2) for d in DAYS]), path)
         with pytest.raises(RuntimeError):
-            tables.upsert(changes, path, ["k"], "d", "1")
-    tables.upsert(changes, path, ["k"], "d", "1")
-    assert rows(spark.read.parquet(path), "k", "v") == [(1, 1), (2, 5)]
+            tables.upsert(make(METRIC, [(DAYS[0], 5)]), path, ["metric_date"], "metric_date", "1")
+    assert rows(published.read(spark, path)) == before
+    assert len(files.folders(spark, f"{path}/data")) == 3
+    assert len(published.vacuum(spark, path, older_than=dt.timedelta(0))) == 2
+    assert rows(published.read(spark, path)) == before
+
+
+def test_a_job_that_dies_between_two_partitions(spark, make, folder):
+    path = f"{folder}/t"
+    tables.replace_dates(make(METRIC, [(d, 1) for d in DAYS]), path)
+    broken = make(METRIC, [(d, 2) for d in DAYS]).withColumn(
+        "n", F.when(F.col("metric_date") == F.lit(DAYS[2]), F.raise_error(F.lit("no"))).otherwise(F.col("n")).cast("int"))
+    with pytest.raises(Exception):
+        tables.replace_dates(broken, path, days=DAYS)
+    assert rows(published.read(spark, path), "n") == [(1,)] * 3
+
+
+def test_a_reader_keeps_its_version(spark, make, folder):
+    path = f"{folder}/t"
+    tables.replace_dates(make(METRIC, [(d, 1) for d in DAYS]), path)
+    old = published.read(spark, path)
+    tables.replace_dates(make(METRIC, [(DAYS[1], 2)]), path)
+    assert rows(old, "n") == [(1,)] * 3
+    assert rows(published.read(spark, path), "n") == [(1,), (1,), (2,)]
+    assert rows(published.read(spark, path, number=1), "n") == [(1,)] * 3
+    wanted = published.read(spark, path, wanted=lambda f: f == f"metric_date={DAYS[1]}")
+    assert rows(wanted, "n") == [(2,)] and all(str(DAYS[1]) in name for name in wanted.inputFiles())
+
+
+def test_writers_at_the_same_time(spark, make, folder, monkeypatch):
+    """Another writer publishes while this one is at work: both dates are in, and
+    an upsert merges again."""
+    path = f"{folder}/t"
+    tables.upsert(make(KEYED, [(1, 1, DAYS[0]), (2, 1, DAYS[1])]), path, ["k"], "d", "0")
+    real, rivals = files.put_new, [[(9, 9, DAYS[2])], [(3, 7, DAYS[0])]]
+
+    def slower(session, name, text):
+        if rivals:
+            rows_of_rival = rivals.pop(0)
+            with monkeypatch.context() as inner:
+                inner.setattr(files, "put_new", real)
+                published.append(make(KEYED, rows_of_rival), path, "d")
+        return real(session, name, text)
+
+    monkeypatch.setattr(files, "put_new", slower)
+    tables.upsert(make(KEYED, [(1, 5, DAYS[0])]), path, ["k"], "d", "1")
+    assert rows(published.read(spark, path), "k", "v") == [(1, 5), (2, 1), (3, 7), (9, 9)]
+
+
+def test_a_batch_is_appended_once(spark, make, folder):
+    path = f"{folder}/t"
+    write = published.append_once(path, "d", "q")
+    other = published.append_once(path, "d", "other")
+    for batch_id in (0, 0, 1, 0, 1):
+        write(make(KEYED, [(1, batch_id, DAYS[0])]), batch_id)
+    other(make(KEYED, [(2, 5, DAYS[0])]), 0)
+    write(make(KEYED, []), 2)
+    assert rows(published.read(spark, path), "k", "v") == [(1, 0), (1, 1), (2, 5)]
+    assert published.version(spark, path).batches == {"q": 2, "other": 0}
 
 
 def test_upsert_keeps_null_keys_and_partitions(spark, make, folder):
@@ -171,7 +228,7 @@ def test_upsert_keeps_null_keys_and_partitions(spark, make, folder):
     tables.upsert(make(KEYED, [(1, 1, DAYS[0]), (2, 1, None), (None, 1, None)]), path, ["k"], "d", "0")
     for batch in ("1", "2"):
         tables.upsert(make(KEYED, [(1, 2, DAYS[0]), (None, 5, None)]), path, ["k"], "d", batch)
-    found = rows(spark.read.schema(KEYED).parquet(path), "k", "v", "d")
+    found = rows(published.read(spark, path), "k", "v", "d")
     assert found == sorted([(1, 2, DAYS[0]), (2, 1, None), (None, 5, None)], key=repr)
 
 
@@ -180,7 +237,7 @@ def test_a_range_empties_its_days_without_rows(spark, make, folder):
     tables.replace_dates(make(METRIC, [(d, 1) for d in DAYS]), path)
     rest = make(METRIC, [(DAYS[0], 2), (DAYS[2], 2), (dt.date(2030, 1, 1), 9)])
     assert tables.replace_dates(rest, path, days=DAYS) == 2
-    assert rows(spark.read.parquet(path), "metric_date", "n") == [(DAYS[0], 2), (DAYS[2], 2)]
+    assert rows(published.read(spark, path), "metric_date", "n") == [(DAYS[0], 2), (DAYS[2], 2)]
 
 
 def test_versions_and_compaction(spark, make, folder):
@@ -192,7 +249,7 @@ def test_versions_and_compaction(spark, make, folder):
     latest = tables.latest_version(spark, path, ["k"], schema, "d")
     assert rows(latest, "k", "v") == [(1, 3), (2, 1)]
     tables.compact(spark, path, target, ["k"], schema, "d", 1)
-    assert rows(spark.read.parquet(target), "k", "v") == [(1, 3)]
+    assert rows(published.read(spark, target), "k", "v") == [(1, 3)]
     assert files.folders(spark, path) == ["batch_id=2"]
     tables.append_version(make(KEYED, [(1, 8, DAYS[0])]), path, 3, "d")
     current = tables.current_rows(spark, path, target, ["k"], schema, "d")
@@ -226,12 +283,12 @@ def test_compaction_that_died_while_deleting(spark, make, folder, monkeypatch):
 def test_retention_drops_old_folders(spark, make, folder):
     path = f"{folder}/t"
     tables.replace_dates(make(METRIC, [(d, 1) for d in DAYS]), path)
-    Path(f"{path}/metric_date=unknown").mkdir()
+    published.append(make("metric_date string, n int", [("unknown", 1)]), path, "metric_date")
     report = tables.drop_expired_partitions(spark, path, "metric_date", "2026-01-13", 2)
     assert rows(report, "folder", "action") == [
         ("metric_date=2026-01-10", "DROPPED"), ("metric_date=2026-01-11", "KEPT"),
         ("metric_date=2026-01-12", "KEPT"), ("metric_date=unknown", "UNREADABLE")]
-    assert not Path(f"{path}/metric_date=2026-01-10").exists()
+    assert len(published.version(spark, path).folders) == 3
 
 
 def test_daily_run_writes_all_tables(spark, make, folder, clicks):
