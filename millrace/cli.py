@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import hashlib
 from pathlib import PurePosixPath
 from collections.abc import Sequence
 
@@ -29,7 +30,7 @@ from millrace.sinks import lake as lake_sink
 from millrace.sinks.anomalies import compact_anomalies, read_anomaly_table
 from millrace.sinks.tables import drop_expired_partitions
 from millrace.sources import csv_files, kafka
-from millrace.streaming import jobs
+from millrace.streaming import detection, jobs
 from millrace.streaming.listener import ProgressListener
 
 
@@ -116,7 +117,10 @@ def run_detect(spark: SparkSession, args: argparse.Namespace) -> None:
         watermark_minutes=args.event_time_policy_minutes, dedup_spread=args.dedup_spread
     )
     late = (args.kafka_servers, args.late_topic) if args.late_topic else None
-    started = jobs.start_detection(events, args.out, args.checkpoint, settings, late_kafka=late)
+    job = detection.start_detection_query(
+        events, args.out, args.checkpoint, settings, late_kafka=late
+    )
+    started = {job.name: job}
     if args.console:
         started["raw"] = jobs.write_console(events, "raw_console", rows=10)
         windows = jobs.detections(events, settings)["high_frequency"]
@@ -139,7 +143,9 @@ def load_day(
     """
     read = csv_files.read_click_csv if kind == "click" else csv_files.read_purchase_csv
     valid, rejects = ingest.split_valid(read(spark, csv, target=target_date))
-    label = f"load-{PurePosixPath(csv).stem}-{source_date}"
+    # Files of one name in two folders are two loads.
+    where = hashlib.sha256(csv.encode()).hexdigest()[:12]
+    label = f"load-{PurePosixPath(csv).stem}-{where}-{source_date}"
     chosen = ingest.select_day(valid, source_date, "read_ts").drop("read_ts")
     lake_sink.write_lake(chosen, lake_root, kind, label)
     letters = ingest.dead_letters(rejects, f"{kind}-loader", kind)

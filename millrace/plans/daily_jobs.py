@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from millrace.functions.times import parse_date
 from millrace.operators import activity, daily, funnel, ingest, items, ops, sessions
 from millrace.session import work_path
-from millrace.sinks import tables
+from millrace.sinks import published, tables
 from millrace.sources import lake
 from millrace.sources.tables import read_table
 
@@ -94,10 +94,12 @@ def run_sessions(
     start: str | dt.date,
     end: str | dt.date | None = None,
 ) -> int:
-    """Compute and replace the session summaries of some days; rows written.
+    """Compute and publish the session summaries of some days; rows written.
 
     Sessions are flagged by the anomaly table below ``tables_root``, if there is
-    one. A session belongs to the day of its first event in the range.
+    one. A session is one row on its first day, whichever days are run in
+    whichever order: digests of the days that were run before are kept in
+    ``session_digests``, and a session that goes on there is summed up anew.
     """
     first = parse_date(start)
     last = parse_date(end) if end is not None else first
@@ -106,6 +108,48 @@ def run_sessions(
         lake.for_reports(lake.read_events(spark, lake_root, kind, first, last))
         for kind in ("click", "purchase")
     )
+    kept, target = f"{tables_root}/session_digests", f"{tables_root}/session_summary"
+
+    def folder(day: dt.date) -> str:
+        return f"metric_date={day.isoformat()}"
+
+    def stored(wanted: list[dt.date], number: int) -> DataFrame:
+        names = {folder(day) for day in wanted}
+        return published.read(spark, kept, sessions.DIGEST, names.__contains__, number)
+
+    def written(df: DataFrame) -> DataFrame:
+        path = work_path(spark, "linked-sessions")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    before = published.version(spark, kept).number
+    tables.replace_dates(sessions.digests(activity.activity(clicks, purchases)), kept, days=days)
+    now = published.version(spark, kept).number
+    parts = [stored(days, now)]
+    reach = [first, last]
+    for edge, step in ((0, -1), (1, 1)):
+        day = reach[edge]
+        # Sessions of the edge as it is, and as it was: those may end elsewhere now.
+        open_ = stored([day], now).unionByName(stored([day], before)).select("session_id").distinct()
+        more = sessions.linked_days(
+            open_, step, lambda n: stored([day + dt.timedelta(days=n)], now), written
+        )
+        parts += more
+        reach[edge] = day + dt.timedelta(days=step * len(more))
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
     anomalies = read_table(spark, tables_root, "anomaly_sessions", missing_ok=True)
-    report = sessions.session_summary(activity.activity(clicks, purchases), anomalies)
-    return tables.replace_dates(report, f"{tables_root}/session_summary", days=days)
+    report = sessions.summaries(rows, anomalies)
+
+    base = published.version(spark, target)
+    around = [reach[0] + dt.timedelta(days=n) for n in range((reach[1] - reach[0]).days + 1)]
+    others = {folder(day) for day in around if not first <= day <= last}
+    if others & base.folders.keys():
+        old = published.read(spark, target, None, others.__contains__, base.number)
+        same = rows.select("session_id", "metric_date").distinct()
+        report = report.unionByName(
+            old.join(same, ["session_id", "metric_date"], "left_anti").select(*report.columns)
+        )
+    folders = [folder(day) for day in around]
+    return published.replace(report, target, "metric_date", folders, base=base)

@@ -440,6 +440,30 @@ SUMMARY_FLAGS = """SELECT session_id, CAST(min(ts) AS DATE) AS metric_date,
     WHERE event_type <> 'purchase' AND category IS NOT NULL)), ','), '') AS categories_viewed
 FROM categorised WHERE event_type IN ('click', 'view', 'purchase') GROUP BY session_id"""
 
+SESSION_DAYS = """, days AS (
+  SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM categorised
+  WHERE event_type IN ('click', 'view', 'purchase')),
+marked AS (
+  SELECT *, CASE WHEN day - lag(day) OVER w > 1 OR lag(day) OVER w IS NULL THEN day END AS begins
+  FROM days WINDOW w AS (PARTITION BY user_id ORDER BY day)),
+placed AS (
+  SELECT user_id, day, max(begins) OVER (PARTITION BY user_id ORDER BY day) AS first_day FROM marked)
+SELECT c.user_id AS session_id, first_day AS metric_date,
+  make_timestamp(min(event_ms) * 1000) AS first_event_ts,
+  make_timestamp(max(event_ms) * 1000) AS last_event_ts,
+  CAST((max(event_ms) - min(event_ms)) // 1000 AS INTEGER) AS duration_sec,
+  count(*) FILTER (WHERE event_type <> 'purchase') AS click_count,
+  count(*) FILTER (WHERE event_type = 'purchase') AS purchase_count,
+  count(DISTINCT item_id) FILTER (WHERE event_type <> 'purchase') AS unique_items_viewed,
+  count(DISTINCT item_id) FILTER (WHERE event_type = 'purchase') AS unique_items_purchased,
+  CAST(coalesce(sum(price * quantity) FILTER (WHERE event_type = 'purchase'), 0) AS DOUBLE)
+    AS total_spent,
+  count(*) FILTER (WHERE event_type = 'purchase') > 0 AS is_converted,
+  coalesce(array_to_string(list_sort(list(DISTINCT category) FILTER (
+    WHERE event_type <> 'purchase' AND category IS NOT NULL)), ','), '') AS categories_viewed
+FROM categorised c JOIN placed p ON c.user_id = p.user_id AND CAST(c.ts AS DATE) = p.day
+WHERE event_type IN ('click', 'view', 'purchase') GROUP BY 1, 2"""
+
 SLO_BODY = """, stamped AS (
   SELECT *, epoch_us(ts) AS k0, epoch_us(ts) + eid % 700 * 1000 AS k,
          epoch_us(ts) + (eid % 700 + eid % 1100) * 1000 AS s,
@@ -565,10 +589,12 @@ WHERE x.category IS NOT NULL GROUP BY 1, 2""",
     ),
     "session_funnel": _sql("SELECT * FROM funnel", "funnel"),
     "session_summary": _sql(SUMMARY_FLAGS, "categorised"),
+    "session_days": _sql(SESSION_DAYS, "categorised"),
     "detect_high_frequency": _sql("SELECT * FROM high", "high"),
     "detect_bot_like": _sql("SELECT * FROM bot", "bot"),
     "stream_high_frequency": _sql("SELECT * FROM high", "high"),
     "stream_bot_like": _sql("SELECT * FROM bot", "bot"),
+    "stream_detection_job": _sql("SELECT * FROM anomalies", "anomalies"),
     "stream_dedup": _sql(
         """SELECT CAST(eid AS VARCHAR) AS event_id, user_id AS session_id, event_type AS item_id,
   ts AS event_ts, ts + to_microseconds(eid % 700 * 1000) AS kafka_ingest_ts FROM ev""",

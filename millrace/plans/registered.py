@@ -30,7 +30,7 @@ from millrace.operators import (
     sessions,
     slo,
 )
-from millrace.plans import serving
+from millrace.plans import daily_jobs, serving
 from millrace.session import (
     BASE_CONF,
     session_conf,
@@ -50,7 +50,7 @@ from millrace.sources import event_table as et
 from millrace.sources import lake
 from millrace.sources import tables as result_tables
 from millrace.sources.progress_log import parse_progress_lines, progress_rows
-from millrace.streaming import jobs
+from millrace.streaming import detection, jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -230,6 +230,30 @@ def session_summary(spark, d):
     return sessions.session_summary(et.read_activity(spark, d), odd)
 
 
+@query
+def session_days(spark, d):
+    """Sessions over midnight, from two runs, the later days first."""
+    out = work_path(spark, "session_days")
+    # All events of a user; a day without any ends a session.
+    events = et.with_category(et.read_events(spark, d)).withColumn("session_id", F.col("user_id"))
+    lake_sink.write_lake(_lake_clicks(et.clicks_of(events)), f"{out}/lake", "click", "all")
+    bought = et.purchases_of(events).select(
+        "session_id",
+        "event_ts",
+        "item_id",
+        "price",
+        "quantity",
+        F.lit("purchase").alias("event_type"),
+        F.col("eid").cast("string").alias("event_id"),
+        F.col("event_ts").alias("ingest_ts"),
+        F.lit("lake").alias("source"),
+    )
+    lake_sink.write_lake(bought, f"{out}/lake", "purchase", "all")
+    for start, end in (("2024-01-16", "2024-02-10"), ("2024-01-01", "2024-01-15")):
+        daily_jobs.run_sessions(spark, f"{out}/lake", f"{out}/tables", start, end)
+    return result_tables.read_table(spark, f"{out}/tables", "session_summary").drop("is_anomaly")
+
+
 # --- detection ------------------------------------------------------------------
 
 
@@ -323,6 +347,22 @@ def stream_anomaly_table(spark, d):
     return serving.recent_anomalies(table, 100, "BOT_LIKE", 0.5)
 
 
+@query
+def stream_detection_job(spark, d):
+    """The whole job as one query: three micro-batches, every event twice."""
+    out = work_path(spark, "detection_job")
+    et.read_raw(spark, d).repartitionByRange(3, "ts").write.parquet(f"{out}/events")
+    raw = spark.readStream.schema(et.RAW_COLUMNS).option("maxFilesPerTrigger", 1).parquet(f"{out}/events")
+    events = et.detection_events(et.as_events(raw)).withColumn("event_type", F.col("item_id"))
+    # Files may come in any order, and no event is late.
+    s = replace(STREAM_SETTINGS, now="2024-01-01", watermark_minutes=60 * 24 * 60)
+    with session_conf(spark, _stream_conf(spark)):
+        detection.start_detection_query(
+            events.unionByName(events), out, f"{out}/checkpoint", s
+        ).awaitTermination()
+    return _stable(read_anomaly_table(spark, out)).drop(WINDOW_DATE, "db_write_ts")
+
+
 @query
 def routed_events(spark, d):
     """Rows by where the job sends them; together they are all rows."""
@@ -612,7 +652,7 @@ def lake_day(spark, d):
         )
         jobs.run_available({"lake": started})
     odd = et.read_clicks(spark, d).filter(F.col("eid") % 2 == 1)
-    lake_sink.write_lake(_lake_clicks(odd), f"{out}/lake", "click")
+    lake_sink.write_lake(_lake_clicks(odd), f"{out}/lake", "click", "odd")
     return lake.read_events(spark, f"{out}/lake", "click", DAY).drop("ingest_ts")
 
 

@@ -40,15 +40,6 @@ def write_table(
     df.write.format("jdbc").options(**options).option("dbtable", table).mode(mode).save()
 
 
-def append_batch(options: dict[str, str], table: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that appends."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        write_table(batch, options, table)
-
-    return write
-
-
 def staging_name(table: str, tag: str) -> str:
     """A table beside ``table``, in its schema, for one writer: ``tag`` tells
     queries and batches apart."""
@@ -73,6 +64,62 @@ def replace_date_statements(
     ]
 
 
+#: Table of the batches that are in: one row for each query and batch.
+LEDGER = "stream_batches"
+#: Older batches than so many before the newest are forgotten.
+LEDGER_DEPTH = 1000
+
+
+def ledger_statement(ledger: str = LEDGER) -> str:
+    """The key makes the second of two writers of one batch fail."""
+    return (
+        f"CREATE TABLE IF NOT EXISTS {ledger} (query_name VARCHAR(200) NOT NULL, "
+        "batch_id BIGINT NOT NULL, PRIMARY KEY (query_name, batch_id))"
+    )
+
+
+def append_statements(
+    table: str,
+    staging: str,
+    columns: Sequence[str],
+    query: str,
+    batch_id: int,
+    ledger: str = LEDGER,
+) -> list[str]:
+    """Append staging and enter the batch in the ledger, or neither if it is there."""
+    if not re.fullmatch(r"[\w.-]{1,200}", query):
+        raise ValueError(f"not a name of a query: {query!r}")
+    names, batch = ", ".join(columns), int(batch_id)
+    same = f"query_name = '{query}' AND batch_id"
+    unseen = f"NOT EXISTS (SELECT 1 FROM {ledger} WHERE {same} = {batch})"
+    return [
+        f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging} WHERE {unseen}",
+        f"INSERT INTO {ledger} (query_name, batch_id) SELECT '{query}', {batch} WHERE {unseen}",
+        f"DELETE FROM {ledger} WHERE {same} < {batch - LEDGER_DEPTH}",
+    ]
+
+
+def append_batch(
+    options: dict[str, str], table: str, query: str, ledger: str = LEDGER
+) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function that appends each micro-batch of ``query`` once.
+
+    Rows go to a staging table of the batch first; one transaction then moves
+    them and enters the batch in the ledger. A batch that is repeated is found
+    there and adds nothing.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        staging = staging_name(table, f"{query}_{batch_id}")
+        write_table(batch, options, staging, "overwrite")
+        steps = append_statements(table, staging, batch.columns, query, batch_id, ledger)
+        run_transaction(
+            batch.sparkSession, options, [ledger_statement(ledger), *steps, f"DROP TABLE {staging}"]
+        )
+
+    return write
+
+
 def upsert_statement(
     table: str,
     staging: str,

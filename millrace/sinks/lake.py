@@ -14,10 +14,10 @@ def with_partitions(df: DataFrame, ts: str = "event_ts") -> DataFrame:
     return df.withColumn("dt", F.to_date(moment)).withColumn("hour", F.hour(moment))
 
 
-def write_lake(df: DataFrame, root: str, kind: str, batch: str = "load") -> None:
+def write_lake(df: DataFrame, root: str, kind: str, batch: str) -> None:
     """Write one kind of event below ``root``, in folders (dt, hour, batch).
 
-    Loads and streams share this layout. The dynamic overwrite replaces what an
+    Loads and streams share this layout. ``batch`` names the load: the dynamic overwrite replaces what an
     earlier attempt of the same ``batch`` wrote, and nothing else.
 
     The rebalance hint gathers each hour into few files, and lets adaptive

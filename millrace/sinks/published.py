@@ -230,7 +230,7 @@ def read(
     if schema is None:
         return spark.read.option("basePath", _data(path)).parquet(*paths).drop("run")
     layout = T.StructType([*schema.fields, T.StructField("run", T.StringType())])
-    return spark.read.schema(layout).option("basePath", _data(path)).parquet(*paths).drop("run")
+    return spark.read.schema(layout).option("basePath", _data(path)).parquet(*paths).select(*schema.names)
 
 
 def vacuum(

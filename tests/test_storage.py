@@ -32,7 +32,7 @@ def clicks(make):
 
 
 def test_lake_layout_and_pruned_read(spark, clicks, folder):
-    lake_sink.write_lake(clicks, folder, "click")
+    lake_sink.write_lake(clicks, folder, "click", "load")
     assert Path(f"{folder}/click/dt=2026-01-11/hour=5").is_dir()
     one = lake.read_events(spark, folder, "click", "2026-01-11")
     assert rows(one, "item_id", "hour") == [(10, 5), (11, 6), (12, 7)]
@@ -51,7 +51,7 @@ def test_a_crowded_hour_keeps_all_rows(spark, folder):
         F.col("id").cast("string").alias("event_id"), t.alias("ingest_ts"), F.lit("x").alias("source"))
     conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "262144"}
     with session_conf(spark, conf):
-        lake_sink.write_lake(df.repartition(8), folder, "click")
+        lake_sink.write_lake(df.repartition(8), folder, "click", "load")
     assert len(list(Path(folder).glob("click/dt=2026-01-11/hour=10/batch=load/*.parquet"))) > 1
     stored = lake.read_events(spark, folder, "click")
     assert (stored.count(), stored.select("event_id").distinct().count()) == (60_000, 60_000)
@@ -293,10 +293,10 @@ def test_retention_drops_old_folders(spark, make, folder):
 
 def test_daily_run_writes_all_tables(spark, make, folder, clicks):
     root, out = f"{folder}/lake", f"{folder}/tables"
-    lake_sink.write_lake(clicks, root, "click")
+    lake_sink.write_lake(clicks, root, "click", "load")
     t = at("2026-01-11T06:00:00")
     bought = make(schemas.PURCHASE, [(1, t, 10, Decimal("5.00"), 2, "purchase", "p", t, "x")])
-    lake_sink.write_lake(bought, root, "purchase")
+    lake_sink.write_lake(bought, root, "purchase", "load")
     for _ in range(2):
         written = daily_jobs.run_daily(spark, root, out, "2026-01-11")
     assert written == {"daily_metrics": 1, "popular_items": 3, "popular_categories": 1,
@@ -371,6 +371,37 @@ def test_database_statements_name_their_columns():
                     "updated_at = CURRENT_TIMESTAMP")
 
 
+def test_a_replayed_batch_appends_nothing():
+    """The statements of the transaction, run as SQL."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (k BIGINT, v BIGINT)")
+    con.execute(jdbc.ledger_statement())
+
+    def send(query, batch_id, values):
+        staging = jdbc.staging_name("t", f"{query}_{batch_id}")
+        con.execute(f"CREATE TABLE {staging} (k BIGINT, v BIGINT)")
+        con.executemany(f"INSERT INTO {staging} VALUES (?, ?)", values)
+        con.begin()
+        for text in jdbc.append_statements("t", staging, ["k", "v"], query, batch_id):
+            con.execute(text)
+        con.commit()
+        con.execute(f"DROP TABLE {staging}")
+
+    for _ in range(3):
+        send("q", 0, [(1, 1), (2, 1)])
+    send("other", 0, [(5, 5)])
+    send("q", 1, [(3, 1)])
+    send("q", 0, [(1, 1)])
+    assert sorted(con.execute("SELECT * FROM t").fetchall()) == [(1, 1), (2, 1), (3, 1), (5, 5)]
+    send("q", 1500, [(9, 9)])
+    assert con.execute("SELECT batch_id FROM stream_batches WHERE query_name = 'q'").fetchall() == [(1500,)]
+    for bad in ("a'b", "", "x y"):
+        with pytest.raises(ValueError):
+            jdbc.append_statements("t", "s", ["k"], bad, 0)
+
+
 def test_backoff_doubles_up_to_a_limit():
     waits, calls = [], []
 
