@@ -14,9 +14,10 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     Alternates two steps until nothing changes: every node hands its larger
     neighbours its smallest one, then every node hands its smaller neighbours
     their smallest one. Links never grow in number, each round roughly halves
-    the depth, and every round is written to files. Minima are pre-aggregated;
-    nodes with very many neighbours are split by adaptive joins. Roots have no
-    row of their own; an empty table gives none.
+    the depth, and every round is written to files. Minima are pre-aggregated and
+    written, so that both sides of their joins are shuffled for these, and a node
+    with very many neighbours can be split. Roots have no row of their own; an
+    empty table gives none.
     """
     now = kept_in_files(
         links.where("a <> b")
@@ -31,7 +32,7 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
         state = new
         both = now.union(now.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m"))
+        least = kept_in_files(both.groupBy("a").agg(F.min("b").alias("m")), name)
         large = (
             both.where("b > a")
             .join(least, "a")
@@ -40,7 +41,7 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         )
         # Nodes without a larger neighbour only occur on the left; all links stay.
         large = kept_in_files(large, name)
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = kept_in_files(large.groupBy("a").agg(F.min("b").alias("m")), name)
         small = large.join(least, "a").select("a", "b", "m")
         now = kept_in_files(
             small.select("b", "m").where("b <> m").union(least.select("a", "m")).toDF("a", "b").distinct(),

@@ -242,7 +242,11 @@ def links(fps: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) -> Dat
     found = None
     while True:
         entered = kept_in_files(entered, "simhash-entries")
-        sizes = entered.groupBy("path", "key").agg(F.count("*").alias("n")).where("n > 1")
+        # Written, so that a bucket of very many fingerprints can be split.
+        sizes = kept_in_files(
+            entered.groupBy("path", "key").agg(F.count("*").alias("n")).where("n > 1"),
+            "simhash-bucket-sizes",
+        )
         sized = kept_in_files(entered.join(sizes, ["path", "key"]), "simhash-buckets")
         stars = (
             sized.where(F.col("n") <= bucket)
@@ -293,11 +297,18 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, bucket: int = BUC
         found.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints"
     )
     stars = components(links(distinct.select("fp"), distance, bucket), "simhash-links")
-    rooted = distinct.join(stars, distinct["fp"] == stars["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
+    rooted = kept_in_files(
+        distinct.join(stars, distinct["fp"] == stars["node"], "left").select(
+            "fp", "least", F.coalesce("root", "fp").alias("root")
+        ),
+        "simhash-roots",
     )
-    classes = rooted.groupBy("root").agg(
-        F.min("least").alias("component_id"), (F.count("*") - 1).alias("n_links")
+    # Written, so that a component of very many fingerprints can be split.
+    classes = kept_in_files(
+        rooted.groupBy("root").agg(
+            F.min("least").alias("component_id"), (F.count("*") - 1).alias("n_links")
+        ),
+        "simhash-components",
     )
     by_fp = rooted.select("fp", "root").join(classes, "root")
     return found.join(by_fp, "fp").select(
