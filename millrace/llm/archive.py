@@ -20,6 +20,8 @@ VERSION = "WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LINE_END = "\r\n"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
+#: Header fields of our own: the page of a record, and that of the response.
+PAGE_ID, REFERS_TO = "Page-ID", "Refers-To-Page-ID"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
@@ -86,7 +88,8 @@ def write_archive(
         "address",
         F.when(F.col("least") == F.col("most"), F.col("top")).otherwise(same.cast("void").cast(first.schema["top"].dataType)).alias("top"),
     )
-    joined = base.join(first, "address")
+    # Written, so that a payload of very many pages can be split.
+    joined = base.join(kept_in_files(first, "archive-responses"), "address")
     response = small | (F.col("top.record_no") == F.col("record_no"))
     uri = _record_uri(F.col("record_no"))
     http = F.concat(
@@ -99,6 +102,10 @@ def write_archive(
         value = F.lit(value) if isinstance(value, str) else value
         return F.concat(F.lit(f"{name}: "), value, F.lit(LINE_END))
 
+    def optional(name: str, value: Column) -> list[Column]:
+        """No line for a null id."""
+        return [F.when(value.isNotNull(), line(name, _safe(value.cast("string")))).otherwise(F.lit(""))]
+
     def head(kind: str, more: list[Column], block: Column) -> Column:
         return F.concat(
             F.lit(VERSION + LINE_END),
@@ -106,6 +113,7 @@ def write_archive(
             line("WARC-Record-ID", uri),
             line("WARC-Target-URI", _safe(F.col("url"))),
             line("WARC-Date", date),
+            *optional(PAGE_ID, F.col("page_id")),
             line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
             *more,
             line("Content-Type", "application/http; msgtype=response"),
@@ -123,15 +131,14 @@ def write_archive(
             [
                 line("WARC-Profile", REVISIT_PROFILE),
                 line("WARC-Refers-To", _record_uri(F.col("top.record_no"))),
+                *optional(REFERS_TO, F.col("top.page_id")),
             ],
             http_bytes,
         )
     )
     joined.select(
         "record_no",
-        "page_id",
         "address",
-        F.when(response, F.lit(None)).otherwise(F.col("top.page_id")).alias("refers_to"),
         F.encode(headers, "UTF-8").alias("headers"),
     ).write.parquet(f"{path}/records")
     # Equal payloads meet in the scanning task already, before any shuffle.
@@ -142,13 +149,14 @@ def write_archive(
     ).write.parquet(f"{path}/payloads")
 
 
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
+def read_archive(spark: SparkSession, path: str, id_type: str = "long") -> DataFrame:
     """Every record of an archive with its payload, whatever its type.
 
     Columns: record_no, page_id, refers_to, headers and payload (bytes), record
     (the bytes in an archive file), record_type, url, payload_bytes and
-    payload_digest (of the payload read).
-    Raises an error where a payload is missing, or is not what its address and
+    payload_digest (of the payload read). All but the number and the payload
+    come from the headers. Raises an error where a payload is missing, or is not
+    what its address and its headers say, and where a record is not as long as
     its headers say.
     """
     records = spark.read.parquet(f"{path}/records")
@@ -159,13 +167,28 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     def header(name: str) -> Column:
         return F.regexp_extract(text, rf"\r\n{name}: ([^\r\n]*)\r\n", 1)
 
+    def page(name: str) -> Column:
+        found = header(name)
+        return F.when(found != "", found).cast(id_type)
+
+    kind = header("WARC-Type")
+    empty = F.encode(F.lit(""), "UTF-8")
+    end = F.encode(F.lit(LINE_END * 2), "UTF-8")
+    body = F.when(kind == "response", F.col("payload")).otherwise(empty)
+    # The block begins behind the first empty line.
+    http = F.octet_length(F.substring_index(text, LINE_END * 2, 1)) + 4
     read = both.select(
         "record_no",
-        "page_id",
-        "refers_to",
+        page(PAGE_ID).alias("page_id"),
+        page(REFERS_TO).alias("refers_to"),
         "headers",
         "payload",
-        header("WARC-Type").alias("record_type"),
+        F.concat(F.col("headers"), body, end).alias("record"),
+        (
+            header("Content-Length").cast("long")
+            == F.octet_length("headers") - http + F.octet_length(body)
+        ).alias("long_enough"),
+        kind.alias("record_type"),
         header("WARC-Target-URI").alias("url"),
         F.octet_length("payload").cast("long").alias("payload_bytes"),
         base32_of_hex(F.sha1("payload")).alias("payload_digest"),
@@ -174,22 +197,18 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     )
     wrong = F.concat(F.lit("payload lost or changed: record "), F.col("record_no").cast("string"))
     good = F.coalesce(
-        F.col("whole") & (F.col("told") == F.concat(F.lit("sha1:"), F.col("payload_digest"))),
+        F.col("whole")
+        & F.col("long_enough")
+        & (F.col("told") == F.concat(F.lit("sha1:"), F.col("payload_digest"))),
         F.lit(False),
     )
-    end = F.encode(F.lit(LINE_END * 2), "UTF-8")
-    empty = F.encode(F.lit(""), "UTF-8")
     return read.select(
         "record_no",
         "page_id",
         "refers_to",
         "headers",
         "payload",
-        F.concat(
-            F.col("headers"),
-            F.when(F.col("record_type") == "response", F.col("payload")).otherwise(empty),
-            end,
-        ).alias("record"),
+        "record",
         "record_type",
         "url",
         F.when(good, F.col("payload_bytes")).otherwise(F.raise_error(wrong).cast("long")).alias("payload_bytes"),
@@ -202,4 +221,4 @@ def archive(pages: DataFrame, *, least_bytes: int = 0) -> DataFrame:
     spark = pages.sparkSession
     path = work_path(spark, "archive")
     write_archive(pages, path, least_bytes=least_bytes)
-    return read_archive(spark, path)
+    return read_archive(spark, path, pages.schema["page_id"].dataType.simpleString())

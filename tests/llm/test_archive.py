@@ -58,5 +58,24 @@ def test_damage_is_seen(spark, folder):
         read_archive(spark, f"{folder}/z").collect()
 
 
+def test_a_record_of_another_length_is_seen(spark, folder):
+    write_archive(table(spark), f"{folder}/v")
+    records = spark.read.parquet(f"{folder}/v/records")
+    longer = "encode(replace(decode(headers, 'UTF-8'), 'Content-Type: text/html', 'Content-Type:  text/html'), 'UTF-8')"
+    records.selectExpr("record_no", "address", f"{longer} AS headers").write.parquet(f"{folder}/w/records")
+    spark.read.parquet(f"{folder}/v/payloads").write.parquet(f"{folder}/w/payloads")
+    with pytest.raises(Exception, match="payload lost or changed"):
+        read_archive(spark, f"{folder}/w").collect()
+
+
+def test_ids_come_from_the_headers(spark, folder):
+    write_archive(table(spark), f"{folder}/u")
+    records = spark.read.parquet(f"{folder}/u/records")
+    assert records.columns == ["record_no", "address", "headers"]
+    texts = spark.createDataFrame([("a-1", "u", "x"), ("a-2", "u", "x")], "page_id string, url string, html string")
+    got = sorted((r.page_id, r.record_type, r.refers_to) for r in archive(texts).collect())
+    assert got == [("a-1", "revisit", "a-2"), ("a-2", "response", None)]
+
+
 def test_no_pages(spark):
     assert archive(table(spark, [])).count() == 0
