@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,12 +57,15 @@ SCRIPT_NAMES = tuple(dict.fromkeys(name for name, _, _ in SCRIPTS)) + ("other",)
 _STARTS = np.array([a for _, a, _ in SCRIPTS], np.uint32)
 _ENDS = np.array([b for _, _, b in SCRIPTS], np.uint32)
 _NUMBERS = np.array([SCRIPT_NAMES.index(name) for name, _, _ in SCRIPTS])
-_WORD = re.compile(r"[^\W\d_]+")
+#: Letters with the marks that belong to them; other numerals are no letters.
+_WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+_ASCII_WORD = re.compile(r"[a-z]+")
 
 
 def words_of(text: str | None) -> list[str]:
     """Runs of letters, in lower case."""
-    return _WORD.findall((text or "").lower())
+    text = (text or "").lower()
+    return (_ASCII_WORD if text.isascii() else _WORD).findall(text)
 
 
 def scripts_of(codes: np.ndarray) -> np.ndarray:

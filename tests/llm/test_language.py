@@ -88,3 +88,13 @@ def test_more_labels_than_a_byte_holds():
     scores[:3, 7], scores[3:, 299] = 100, 100
     assert viterbi(scores, np.array([6])).tolist() == [7] * 3 + [299] * 3
     assert viterbi(np.repeat(scores, 64, axis=0), np.full(64, 6)).shape == (384,)
+
+
+def test_letters_and_their_marks():
+    from millrace.llm.language import words_of
+
+    assert words_of("½ ② Ⅷ ² 12 _") == []
+    assert words_of("Ab3c dé") == ["ab", "c", "dé"]
+    assert words_of("हिन्दी भाषा") == ["हिन्दी", "भाषा"]
+    assert words_of("été") == ["été"]
+    assert words_of("plain ASCII x2") == ["plain", "ascii", "x"]
