@@ -19,7 +19,8 @@ else. Three steps find those strings:
    ``length`` bytes.
 
 A part that is still large after the division holds windows that differ in a
-few bytes at the ends; its windows go to buckets of one string each.
+few bytes at the ends; its windows go to buckets of one string each, by a strong
+digest, and the strings of a bucket are then compared by their bytes.
 
 Exact copies of whole texts are one text with a count.
 """
@@ -315,8 +316,10 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
         pieces.groupBy("key")
         .agg(F.count("*").alias("different"), F.sum("times").alias("all"))
         .where("all > 1")
+        .select("key", "different")
     )
-    sized = pieces.join(sizes.select("key", "different"), "key")
+    # Written, so that a bucket of very many pieces can be split.
+    sized = pieces.join(kept_in_files(sizes, "bucket-sizes"), "key")
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block: list[tuple[int, int, bytes, int]] = []
@@ -370,9 +373,32 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
         .select("key", "same", "piece", "times")
         .mapInArrow(split, "key long, same long, times long, s int, window binary")
     )
+    single = kept_in_files(single, "single-windows")
     twice = single.groupBy("window").agg(F.sum("times").alias("all")).where("all > 1")
+    likely = single.join(kept_in_files(twice.select("window"), "likely-windows"), "window")
+    # What a digest stands for: equal bytes everywhere, or each string by itself.
+    read = likely.join(pieces.select("key", "same", "piece"), ["key", "same"]).select(
+        "key",
+        "same",
+        "s",
+        "times",
+        "window",
+        F.col("piece").substr(F.col("s") + 1, F.lit(length)).alias("bytes"),
+    )
+    strings = read.groupBy("window").agg(F.min("bytes").alias("low"), F.max("bytes").alias("high"))
+    unequal = kept_in_files(strings.where("low <> high").select("window"), "unequal-windows")
+    again = (
+        read.join(unequal, "window", "left_semi")
+        .groupBy("window", "bytes")
+        .agg(F.sum("times").alias("all"), F.collect_set(F.struct("key", "same", "s")).alias("at"))
+        .where("all > 1")
+        .select(F.explode("at").alias("at"))
+        .select("at.*")
+    )
     large = (
-        single.join(twice.select("window"), "window")
+        likely.join(unequal, "window", "left_anti")
+        .select("key", "same", "s")
+        .union(again)
         .groupBy("key", "same")
         .agg(F.sort_array(F.collect_set(F.struct(F.col("s").alias("first"), (F.col("s") + 1).alias("end")))).alias("starts"))
     )
