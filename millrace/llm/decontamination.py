@@ -12,15 +12,15 @@ bytes of each matter to the tables:
 * the shift table says for a block of bytes how far the search may move when
   the text has this block at the end of its ``m`` bytes: never past a place
   where some string could end;
-* where the shift is zero, the block is the end of some ``m`` bytes, and its
-  bucket holds these strings by their first bytes;
+* where the shift is zero, the block may be the end of some ``m`` bytes, and its
+  bucket holds these strings in the order of their first bytes;
 * strings found there are compared with the text.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections import defaultdict
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,9 +32,11 @@ from millrace.llm.common import fresh
 
 WINDOW = 13
 
-#: Bytes of benchmark text searched for in one pass. A larger benchmark takes
-#: more passes over the documents, each with a broadcast of this size at most.
-PASS_BYTES = 8_000_000
+#: Bytes of benchmark text searched for in one pass; a larger benchmark takes more
+#: passes over the documents. The tables of a pass are built on the driver. They
+#: have no more than the text for each class of lengths, 50 bytes for each window
+#: (a window begins at every word) and 20 MB for each class.
+PASS_BYTES = 4_000_000
 
 #: Bytes of a block for strings of at least so many bytes.
 BLOCKS = ((40, 8), (16, 5), (6, 3), (3, 2))
@@ -60,70 +62,119 @@ def windows(text: str | None, size: int = WINDOW) -> list[bytes]:
     ]
 
 
+#: Most bits of the index of the shift table (a byte for each entry) and of the
+#: buckets (a number for each). Smaller benchmarks have smaller tables.
+SHIFT_BITS, BUCKET_BITS = 24, 20
+_ODD, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
+
+
 class Search:
-    """Tables for one class of strings of similar length."""
+    """Tables for one class of strings of similar length.
+
+    Strings are places in one buffer. The shift table is indexed by a hash of a
+    block; blocks with one hash share the smaller shift, so nothing is passed by.
+    """
 
-    def __init__(self, strings: list[bytes]):
-        self.m = m = min(map(len, strings))
+    def __init__(self, text: bytes, starts: np.ndarray, ends: np.ndarray, numbers: np.ndarray):
+        self.text, lengths = text, ends - starts
+        self.m = m = int(lengths.min())
         self.block = block = next(b for least, b in BLOCKS if m >= least)
-        self.free = m - block + 1
-        self.shift: dict[bytes, int] = {}
-        self.bucket: dict[bytes, dict[bytes, list[bytes]]] = defaultdict(
-            lambda: defaultdict(list)
-        )
-        for s in strings:
-            for end in range(block, m + 1):
-                key = s[end - block : end]
-                far = m - end
-                if far < self.shift.get(key, self.free):
-                    self.shift[key] = far
-            self.bucket[s[m - block : m]][s[:block]].append(s)
-
-    def occurrences(self, text: bytes) -> Iterator[tuple[int, bytes]]:
-        """Start and string of every occurrence."""
-        end, n, block, m, free = self.m, len(text), self.block, self.m, self.free
-        shift, bucket = self.shift.get, self.bucket
+        self.free = min(m - block + 1, 255)
+        # A quarter of the entries at most is in use, unless the limit is reached.
+        bits = min(SHIFT_BITS, max(10, (4 * len(text)).bit_length()))
+        self.down, self.narrow = 64 - bits, bits - min(bits, BUCKET_BITS)
+        data = np.frombuffer(text, np.uint8).astype(np.uint64)
+        keys = np.zeros(len(data) - block + 1, np.uint64)
+        for k in range(block):
+            keys |= data[k : k + len(keys)] << np.uint64(8 * k)
+        hashes = ((keys * np.uint64(_ODD)) >> np.uint64(self.down)).astype(np.int64)
+        shift = np.full(1 << bits, self.free, np.uint8)
+        for far in range(m - block, -1, -1):
+            at = hashes[starts + m - block - far]
+            shift[at] = np.minimum(shift[at], min(far, 255))
+        last, prefix = hashes[starts + m - block] >> self.narrow, keys[starts]
+        order = np.lexsort((prefix, last))
+        self.shift = shift.tobytes()
+        buckets = np.arange((1 << bits - self.narrow) + 1)
+        self.first = array("I", np.searchsorted(last[order], buckets).astype(np.uint32).tobytes())
+        self.prefix = array("Q", prefix[order].tobytes())
+        self.starts = array("q", starts[order].astype(np.int64).tobytes())
+        self.ends = array("q", ends[order].astype(np.int64).tobytes())
+        self.numbers = array("q", numbers[order].astype(np.int64).tobytes())
+
+    def occurrences(self, text: bytes) -> Iterator[tuple[int, int]]:
+        """Start and number of the string of every occurrence."""
+        end, n, block, m = self.m, len(text), self.block, self.m
+        shift, first, strings = self.shift, self.first, self.text
+        down, narrow = self.down, self.narrow
         while end <= n:
-            key = text[end - block : end]
-            move = shift(key, free)
+            at = (int.from_bytes(text[end - block : end], "little") * _ODD & _MASK) >> down
+            move = shift[at]
             if move:
                 end += move
                 continue
             start = end - m
-            for s in bucket[key].get(text[start : start + block], ()):
-                if text.startswith(s, start):
-                    yield start, s
+            own = int.from_bytes(text[start : start + block], "little")
+            bucket = at >> narrow
+            stop = first[bucket + 1]
+            k = bisect_left(self.prefix, own, first[bucket], stop)
+            while k < stop and self.prefix[k] == own:
+                if text.startswith(strings[self.starts[k] : self.ends[k]], start):
+                    yield start, self.numbers[k]
+                k += 1
             end += 1
 
 
-def searches(strings: set[bytes]) -> list[Search]:
-    """A search for each class; lengths of a class differ by a factor of two."""
-    classes: dict[int, list[bytes]] = defaultdict(list)
-    for s in sorted(strings):
-        classes[len(s).bit_length()].append(s)
-    return [Search(found) for _, found in sorted(classes.items())]
-
-
 class Benchmark:
-    """The windows of some items, ready for search."""
+    """The windows of some items, ready for search: a buffer with the words of the
+    items, and for each different window its place there and its items."""
 
     def __init__(self, items: list[tuple[object, str | None]], size: int):
-        self.items: dict[bytes, set[str]] = defaultdict(set)
-        for item, text in items:
-            for window in windows(text, size):
-                self.items[window].add("" if item is None else str(item))
-        self.searches = searches(set(self.items))
+        self.names = ["" if item is None else str(item) for item, _ in items]
+        buffer, at = bytearray(), 0
+        known: dict[bytes, int] = {}
+        starts, ends, words, owners = [], [], [], []
+        for item, (_, text) in enumerate(items):
+            plain = normal_form(text)
+            spaces = [i for i, c in enumerate(plain) if c == 32]
+            count = min(size, len(spaces) - 1)
+            for i in range(max(0, len(spaces) - count) if count > 0 else 0):
+                first, end = spaces[i], spaces[i + count] + 1
+                number = known.setdefault(plain[first:end], len(starts))
+                if number == len(starts):
+                    starts.append(at + first)
+                    ends.append(at + end)
+                    words.append(count)
+                owners.append((number, item))
+            buffer += plain
+            at += len(plain)
+        del known
+        self.words = array("q", words)
+        pairs = np.array(sorted(set(owners)), np.int64).reshape(-1, 2)
+        self.first = array("q", np.searchsorted(pairs[:, 0], np.arange(len(starts) + 1)).tobytes())
+        self.items = array("q", pairs[:, 1].tobytes())
+        begin, stop = np.array(starts, np.int64), np.array(ends, np.int64)
+        # Lengths of a class differ by a factor of two.
+        kinds = np.frompyfunc(int.bit_length, 1, 1)((stop - begin).astype(object)) if len(begin) else begin
+        whole = bytes(buffer)
+        self.searches = [
+            Search(whole, begin[kinds == kind], stop[kinds == kind], np.flatnonzero(kinds == kind))
+            for kind in sorted(set(kinds))
+        ]
 
     def hits(self, text: bytes) -> tuple[list[tuple[int, int]], set[str]]:
         """Ranges of words inside occurrences, and the items that occur."""
         places: list[tuple[int, int]] = []
-        found: set[str] = set()
+        strings: set[int] = set()
         for search in self.searches:
-            for start, s in search.occurrences(text):
-                places.append((start, s.count(b" ") - 1))
-                found |= self.items[s]
+            for start, number in search.occurrences(text):
+                places.append((start, self.words[number]))
+                strings.add(number)
         if not places:
-            return [], found
+            return [], set()
+        found = {
+            self.names[item] for s in strings for item in self.items[self.first[s] : self.first[s + 1]]
+        }
         spaces = np.flatnonzero(np.frombuffer(text, np.uint8) == 32)
         firsts = np.searchsorted(spaces, [start for start, _ in places])
         ranges = sorted(
@@ -208,11 +259,11 @@ def mark(
     hit_type = "struct<n_words: long, spans: array<struct<first: int, end: int>>, items: array<string>>"
     current = docs.select(F.struct("*").alias(row), F.lit(None).cast(hit_type).alias(place))
     for part in benchmark_passes(items, pass_bytes):
-        shared, name = spark.sparkContext.broadcast(part), uuid.uuid4().hex
+        shared = spark.sparkContext.broadcast(Benchmark(part, size))
 
         @F.pandas_udf(hit_type)
-        def search(texts, before, shared=shared, name=name):
-            bench = _tables(shared, name, size)
+        def search(texts, before, shared=shared):
+            bench = shared.value
             found = [
                 _add(bench, text, spans, names)
                 for text, spans, names in zip(texts, before["spans"], before["items"])
@@ -238,16 +289,6 @@ def mark(
     )
 
 
-_LAST: list = [None, None]
-
-
-def _tables(shared, name: str, size: int) -> Benchmark:
-    """The tables of a broadcast part, built once in a worker."""
-    if _LAST[0] != name:
-        _LAST[:] = [name, Benchmark(shared.value, size)]
-    return _LAST[1]
-
-
 def _add(bench: Benchmark, text, spans, names) -> tuple[int, list[dict], list[str]]:
     """Words of a text, and what was found before with what occurs of ``bench``."""
     plain = normal_form(text)

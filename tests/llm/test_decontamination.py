@@ -1,12 +1,16 @@
 from __future__ import annotations
 
 import hashlib
+import pickle
 import random
 import re
 
+import numpy as np
 import pytest
 
-from millrace.llm.decontamination import Search, find_contamination, remove_contaminated
+from millrace.llm.decontamination import (
+    Benchmark, Search, find_contamination, merged, normal_form, remove_contaminated,
+)
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -70,4 +74,21 @@ def test_search_skips_nothing():
         text = bytes(random.choices(b"ab ", k=random.randint(0, 80)))
         strings = [b" " + bytes(random.choices(b"ab ", k=random.randint(2, 9))) + b" " for _ in range(4)]
         wanted = sorted((k, s) for s in set(strings) for k in range(len(text)) if text.startswith(s, k))
-        assert sorted(Search(sorted(set(strings))).occurrences(text)) == wanted
+        distinct = sorted(set(strings))
+        ends = np.cumsum([len(s) for s in distinct])
+        search = Search(b"".join(distinct), ends - [len(s) for s in distinct], ends, np.arange(len(distinct)))
+        assert sorted((k, distinct[number]) for k, number in search.occurrences(text)) == wanted
+
+
+def test_tables_of_a_large_pass_are_small():
+    """They grow with the windows, by less than what a worker can hold."""
+    random.seed(3)
+    vocabulary = ["".join(random.choices("abcdefghij", k=random.randint(2, 9))) for _ in range(5000)]
+    items = [(k, " ".join(random.choices(vocabulary, k=400))) for k in range(400)]
+    size = sum(len(text) for _, text in items)
+    assert size > 1_000_000
+    bench = Benchmark(items, 13)
+    assert len(pickle.dumps(bench)) < 20 * size + 21_000_000 * len(bench.searches)
+    text = normal_form("before " + items[7][1][:300] + " after")
+    ranges, names = bench.hits(text)
+    assert names == {"7"} and merged(ranges)
