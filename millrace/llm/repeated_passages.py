@@ -19,8 +19,8 @@ else. Three steps find those strings:
    ``length`` bytes.
 
 A part that is still large after the division holds windows that differ in a
-few bytes at the ends; its windows go to buckets of one string each, by a strong
-digest, and the strings of a bucket are then compared by their bytes.
+few bytes at the ends; its windows go to buckets of one string each. Such a
+string is told by a cryptographic digest, so that equal digests are equal bytes.
 
 Exact copies of whole texts are one text with a count.
 """
@@ -361,7 +361,8 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
             out = []
             for key, same, piece, times in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 for s in range(len(piece) - length + 1):
-                    out.append((key, same, times, s, xxhash.xxh3_128_digest(piece[s : s + length])))
+                    digest = hashlib.blake2b(piece[s : s + length], digest_size=20).digest()
+                    out.append((key, same, times, s, digest))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [pa.array([o[k] for o in out], kind) for k, kind in enumerate(kinds)],
@@ -373,32 +374,9 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
         .select("key", "same", "piece", "times")
         .mapInArrow(split, "key long, same long, times long, s int, window binary")
     )
-    single = kept_in_files(single, "single-windows")
     twice = single.groupBy("window").agg(F.sum("times").alias("all")).where("all > 1")
-    likely = single.join(kept_in_files(twice.select("window"), "likely-windows"), "window")
-    # What a digest stands for: equal bytes everywhere, or each string by itself.
-    read = likely.join(pieces.select("key", "same", "piece"), ["key", "same"]).select(
-        "key",
-        "same",
-        "s",
-        "times",
-        "window",
-        F.col("piece").substr(F.col("s") + 1, F.lit(length)).alias("bytes"),
-    )
-    strings = read.groupBy("window").agg(F.min("bytes").alias("low"), F.max("bytes").alias("high"))
-    unequal = kept_in_files(strings.where("low <> high").select("window"), "unequal-windows")
-    again = (
-        read.join(unequal, "window", "left_semi")
-        .groupBy("window", "bytes")
-        .agg(F.sum("times").alias("all"), F.collect_set(F.struct("key", "same", "s")).alias("at"))
-        .where("all > 1")
-        .select(F.explode("at").alias("at"))
-        .select("at.*")
-    )
     large = (
-        likely.join(unequal, "window", "left_anti")
-        .select("key", "same", "s")
-        .union(again)
+        single.join(kept_in_files(twice.select("window"), "repeated-strings"), "window")
         .groupBy("key", "same")
         .agg(F.sort_array(F.collect_set(F.struct(F.col("s").alias("first"), (F.col("s") + 1).alias("end")))).alias("starts"))
     )
