@@ -60,17 +60,37 @@ def clicks_columns(kind: str, category: Column) -> list[Column | str]:
     ]
 
 
-def session_sums() -> list[Column]:
-    """What a group of clicks and purchases amounts to."""
+# The reports take activity rows or hourly sums of them (partials.py).
+
+
+def clicks_in(rows: DataFrame) -> Column:
+    """Clicks of a group."""
+    return F.sum("clicks") if "clicks" in rows.columns else F.count_if(is_click())
+
+
+def purchases_in(rows: DataFrame) -> Column:
+    """Purchases of a group."""
+    return F.sum("purchases") if "purchases" in rows.columns else F.count_if(is_purchase())
+
+
+def click_span_in(rows: DataFrame) -> Column:
+    """Milliseconds between the first and the last click of a group."""
+    if "first_click_ms" in rows.columns:
+        return F.max("last_click_ms") - F.min("first_click_ms")
     click_ms = F.when(is_click(), F.col("event_ms"))
+    return F.max(click_ms) - F.min(click_ms)
+
+
+def session_sums(rows: DataFrame) -> list[Column]:
+    """What a group of clicks and purchases amounts to."""
     return [
-        F.count_if(is_click()).alias("click_count"),
-        (F.max(click_ms) - F.min(click_ms)).alias("click_span_ms"),
-        F.count_if(is_purchase()).alias("purchase_count"),
+        clicks_in(rows).alias("click_count"),
+        click_span_in(rows).alias("click_span_ms"),
+        purchases_in(rows).alias("purchase_count"),
         F.sum("revenue").alias("revenue"),
     ]
 
 
 def session_facts(act: DataFrame) -> DataFrame:
     """One row per (date, session): clicks, click span in ms, purchases, revenue."""
-    return act.groupBy("metric_date", "session_id").agg(*session_sums())
+    return act.groupBy("metric_date", "session_id").agg(*session_sums(act))

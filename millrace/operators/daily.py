@@ -86,7 +86,7 @@ def daily_metrics(act: DataFrame) -> DataFrame:
         return F.sum(F.when(~of_items, F.col(column)))
 
     per_date = (
-        by_session_and_item(act, *session_sums())
+        by_session_and_item(act, *session_sums(act))
         .groupBy("metric_date")
         .agg(
             session_sum("click_count").alias("total_clicks"),

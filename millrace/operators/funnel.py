@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.values import ratio
-from millrace.operators.activity import is_click, is_purchase, session_facts
+from millrace.operators.activity import clicks_in, purchases_in, session_facts
 
 
 def funnel_sessions(act: DataFrame) -> DataFrame:
     """Per (date, session with clicks): clicks, distinct items, purchases, has_purchase."""
     per_item = act.groupBy("metric_date", "session_id", "item_id").agg(
-        F.count_if(is_click()).alias("clicks"), F.count_if(is_purchase()).alias("purchases")
+        clicks_in(act).alias("clicks"), purchases_in(act).alias("purchases")
     )
     viewed = (F.col("clicks") > 0) & F.col("item_id").isNotNull()
     return (

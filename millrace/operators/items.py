@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.values import line_revenue, ratio
-from millrace.operators.activity import is_click, is_purchase
+from millrace.operators.activity import clicks_in, purchases_in
 
 MONEY_TOTAL = "decimal(23,2)"
 
@@ -66,8 +66,8 @@ def top_n(df: DataFrame, by: list[str], order: list[Column], n: int) -> DataFram
 def item_stats(act: DataFrame) -> DataFrame:
     """Per (date, clicked item): primary category, clicks, purchases, revenue."""
     per_category = act.groupBy("metric_date", "item_id", "category").agg(
-        F.count_if(is_click()).alias("clicks"),
-        F.count_if(is_purchase()).alias("purchases"),
+        clicks_in(act).alias("clicks"),
+        purchases_in(act).alias("purchases"),
         F.sum("revenue").alias("revenue"),
     )
     clicked = F.col("clicks") > 0
@@ -182,8 +182,8 @@ def activity_category_stats(act: DataFrame) -> DataFrame:
     category it was clicked in.
     """
     digest = act.groupBy("metric_date", "item_id", "category").agg(
-        F.count_if(is_click()).alias("n"),
-        F.count_if(is_purchase()).alias("bought"),
+        clicks_in(act).alias("n"),
+        purchases_in(act).alias("bought"),
         F.sum("revenue").alias("paid"),
     )
     item = Window.partitionBy("metric_date", "item_id")

@@ -31,7 +31,13 @@ def daily_reports(
     act = activity.activity(clicks, purchases)
     path = work_path(spark, "activity")
     act.write.parquet(path)
-    act = spark.read.schema(act.schema).parquet(path)
+    return reports_of(spark.read.schema(act.schema).parquet(path), top_items, top_categories)
+
+
+def reports_of(
+    act: DataFrame, top_items: int = 100, top_categories: int = 20
+) -> dict[str, DataFrame]:
+    """The result tables from activity rows, or from hourly sums of them."""
     return {
         "daily_metrics": ingest.stamp(daily.daily_metrics(act), "created_at", "updated_at"),
         "popular_items": ingest.stamp(items.popular_items(act, top_items)),

@@ -440,6 +440,15 @@ SUMMARY_FLAGS = """SELECT session_id, CAST(min(ts) AS DATE) AS metric_date,
     WHERE event_type <> 'purchase' AND category IS NOT NULL)), ','), '') AS categories_viewed
 FROM categorised WHERE event_type IN ('click', 'view', 'purchase') GROUP BY session_id"""
 
+RANGE_DISTINCT = """SELECT c.week, c.clicks, c.sessions, c.items, b.total_purchases, b.total_revenue,
+  true AS sessions_near, true AS items_near
+FROM (SELECT CAST(date_trunc('week', metric_date) AS DATE) AS week, count(*) AS clicks,
+             count(DISTINCT session_id) AS sessions, count(DISTINCT item_id) AS items
+      FROM clicks GROUP BY GROUPING SETS ((1), ())) c
+JOIN (SELECT CAST(date_trunc('week', metric_date) AS DATE) AS week, count(*) AS total_purchases,
+             CAST(sum(price * quantity) AS DOUBLE) AS total_revenue
+      FROM purchases GROUP BY GROUPING SETS ((1), ())) b ON c.week IS NOT DISTINCT FROM b.week"""
+
 SESSION_DAYS = """, days AS (
   SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM categorised
   WHERE event_type IN ('click', 'view', 'purchase')),
@@ -590,6 +599,15 @@ WHERE x.category IS NOT NULL GROUP BY 1, 2""",
     "session_funnel": _sql("SELECT * FROM funnel", "funnel"),
     "session_summary": _sql(SUMMARY_FLAGS, "categorised"),
     "session_days": _sql(SESSION_DAYS, "categorised"),
+    "incremental_daily": _sql(
+        """SELECT * EXCLUDE (avg_session_duration_sec)
+  REPLACE (CAST(total_revenue AS DOUBLE) AS total_revenue) FROM daily""",
+        "daily",
+    ),
+    "incremental_items": _sql(
+        "SELECT * REPLACE (CAST(revenue AS DOUBLE) AS revenue) FROM items", "items"
+    ),
+    "range_distinct": _sql(RANGE_DISTINCT, "clicks", "purchases"),
     "detect_high_frequency": _sql("SELECT * FROM high", "high"),
     "detect_bot_like": _sql("SELECT * FROM bot", "bot"),
     "stream_high_frequency": _sql("SELECT * FROM high", "high"),

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from millrace import schemas as S
 from millrace.functions import ids, times
+from millrace.functions.joins import null_safe_join
 from millrace.functions.values import computed_once, normal_category
 from millrace.operators import (
     daily,
@@ -25,12 +26,13 @@ from millrace.operators import (
     ingest,
     items,
     ops,
+    partials,
     progress,
     quality,
     sessions,
     slo,
 )
-from millrace.plans import daily_jobs, serving
+from millrace.plans import daily_jobs, incremental, serving
 from millrace.session import (
     BASE_CONF,
     session_conf,
@@ -230,30 +232,95 @@ def session_summary(spark, d):
     return sessions.session_summary(et.read_activity(spark, d), odd)
 
 
+def _load(events: DataFrame, root: str, batch: str) -> None:
+    """Clicks and purchases of events with a category to a lake."""
+    clicked = events.filter(F.col("event_type").isin("click", "view"))
+    lake_sink.write_lake(_lake_clicks(clicked), root, "click", batch)
+    lake_sink.write_lake(_lake_purchases(et.purchases_of(events)), root, "purchase", batch)
+
+
 @query
 def session_days(spark, d):
     """Sessions over midnight, from two runs, the later days first."""
     out = work_path(spark, "session_days")
     # All events of a user; a day without any ends a session.
     events = et.with_category(et.read_events(spark, d)).withColumn("session_id", F.col("user_id"))
-    lake_sink.write_lake(_lake_clicks(et.clicks_of(events)), f"{out}/lake", "click", "all")
-    bought = et.purchases_of(events).select(
-        "session_id",
-        "event_ts",
-        "item_id",
-        "price",
-        "quantity",
-        F.lit("purchase").alias("event_type"),
-        F.col("eid").cast("string").alias("event_id"),
-        F.col("event_ts").alias("ingest_ts"),
-        F.lit("lake").alias("source"),
-    )
-    lake_sink.write_lake(bought, f"{out}/lake", "purchase", "all")
+    _load(events, f"{out}/lake", "all")
     for start, end in (("2024-01-16", "2024-02-10"), ("2024-01-01", "2024-01-15")):
         daily_jobs.run_sessions(spark, f"{out}/lake", f"{out}/tables", start, end)
     return result_tables.read_table(spark, f"{out}/tables", "session_summary").drop("is_anomaly")
 
 
+# --- daily reports by changed hours -----------------------------------------------
+
+
+def _refreshed(spark: SparkSession, d: str) -> str:
+    """Tables of a lake that is loaded and refreshed, then gets a wrong half day, a
+    refresh, the right half day in its place and a refresh.
+
+    The events of half a day move into its first hour: days stay as they are.
+    """
+    out = work_path(spark, "incremental")
+    hours = F.make_dt_interval(hours=F.hour("event_ts") % 12)
+    events = et.with_category(et.read_events(spark, d))
+    events = events.withColumn("event_ts", F.col("event_ts") - hours)
+    events = events.withColumn("event_ms", F.unix_millis("event_ts"))
+    half_day = times.on_day(F.col("event_ts"), DAY) & (F.hour("event_ts") < 12)
+    wrong = events.withColumn("price", F.lit(1).cast("decimal(12,2)")).filter(F.col("eid") % 3 > 0)
+    for batch, rows in (
+        ("rest", events.filter(~half_day)),
+        ("late", wrong.filter(half_day)),
+        ("late", events.filter(half_day)),
+    ):
+        _load(rows, f"{out}/lake", batch)
+        incremental.refresh_daily(spark, f"{out}/lake", f"{out}/tables", "2024-01-01", "2024-12-31")
+    return f"{out}/tables"
+
+
+@query
+def incremental_daily(spark, d):
+    return result_tables.read_table(spark, _refreshed(spark, d), "daily_metrics").drop(
+        "created_at", "updated_at", "avg_session_duration_sec"
+    )
+
+
+@query
+def incremental_items(spark, d):
+    return result_tables.read_table(spark, _refreshed(spark, d), "popular_items").drop("created_at")
+
+
+@query
+def range_distinct(spark, d):
+    """Distinct sessions and items of each week, and of all time, from hourly sketches:
+    exact counts beside whether the estimates are within their bound."""
+    sums = partials.partials(et.read_activity(spark, d))
+    hours = partials.hour_sketches(sums).withColumn("week", F.date_trunc("week", "metric_date"))
+    estimates = partials.over_range(hours, "week").unionByName(
+        partials.over_range(hours).withColumn("week", F.lit(None).cast("timestamp"))
+    )
+    clicks = et.read_clicks(spark, d).withColumn("week", F.date_trunc("week", "metric_date"))
+    exact = clicks.groupingSets([[F.col("week")], []], F.col("week")).agg(
+        F.count("*").alias("clicks"),
+        F.countDistinct("session_id").alias("sessions"),
+        F.countDistinct("item_id").alias("items"),
+    )
+
+    def near(estimate: str, count: str) -> Column:
+        bound = F.col(count) * partials.SKETCH_ERROR
+        return F.abs(F.col(estimate) - F.col(count)) <= bound
+
+    return null_safe_join(exact, estimates, ["week"], "inner").select(
+        F.to_date("week").alias("week"),
+        "clicks",
+        "sessions",
+        "items",
+        "total_purchases",
+        "total_revenue",
+        near("unique_sessions", "sessions").alias("sessions_near"),
+        near("unique_items", "items").alias("items_near"),
+    )
+
+
 # --- detection ------------------------------------------------------------------
 
 
@@ -628,6 +695,20 @@ def _lake_clicks(clicks: DataFrame) -> DataFrame:
     )
 
 
+def _lake_purchases(purchases: DataFrame) -> DataFrame:
+    return purchases.select(
+        "session_id",
+        "event_ts",
+        "item_id",
+        "price",
+        "quantity",
+        F.lit("purchase").alias("event_type"),
+        F.col("eid").cast("string").alias("event_id"),
+        F.col("event_ts").alias("ingest_ts"),
+        F.lit("lake").alias("source"),
+    )
+
+
 @query
 def lake_roundtrip(spark, d):
     root = work_path(spark, "lake")

@@ -14,7 +14,9 @@ the other published. The rename is atomic and exclusive on HDFS and local disks;
 a store without such a rename needs one writer at a time for each table.
 
 Version files also keep the last batch of each writer, published in the same
-step as its rows: a batch that is repeated publishes nothing.
+step as its rows: a batch that is repeated publishes nothing. They can also keep
+a mark for each partition that says what its rows were computed from; a writer
+that gives none takes the mark of what it changes away.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ import json
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
+from dataclasses import replace as replaced
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -41,11 +44,12 @@ class Changed(RuntimeError):
 
 @dataclass(frozen=True)
 class Version:
-    """Runs of each partition folder, and the last batch of each writer."""
+    """Runs and mark of each partition folder, and the last batch of each writer."""
 
     number: int = 0
     folders: dict[str, list[str]] = field(default_factory=dict)
     batches: dict[str, int] = field(default_factory=dict)
+    marks: dict[str, str] = field(default_factory=dict)
 
     def runs(self) -> set[str]:
         return {run for runs in self.folders.values() for run in runs}
@@ -88,7 +92,7 @@ def version(spark: SparkSession, path: str, number: int | None = None) -> Versio
     if not number:
         return Version()
     found = json.loads(files.read_text(spark, f"{_versions(path)}/{number:08d}.json"))
-    return Version(number, found["folders"], found["batches"])
+    return Version(number, found["folders"], found["batches"], found.get("marks", {}))
 
 
 def stage(df: DataFrame, path: str, partition: str, coalesce: int | None = None) -> Staged:
@@ -117,8 +121,9 @@ def commit(spark: SparkSession, path: str, change: Callable[[Version], Version |
         new = change(now)
         if new is None:
             return now
-        new = Version(now.number + 1, new.folders, new.batches)
-        text = json.dumps({"folders": new.folders, "batches": new.batches}, indent=1)
+        new = replaced(new, number=now.number + 1)
+        parts = {"folders": new.folders, "batches": new.batches, "marks": new.marks}
+        text = json.dumps(parts, indent=1)
         if files.put_new(spark, f"{_versions(path)}/{new.number:08d}.json", text):
             return new
     raise Changed(f"{path}: other writers were first {ATTEMPTS} times")
@@ -128,6 +133,11 @@ def _with_batch(now: Version, writer: str | None, batch: int | None) -> dict[str
     return now.batches if writer is None else {**now.batches, writer: batch}
 
 
+def _unmarked(now: Version, folders: Iterable[str]) -> dict[str, str]:
+    changed = set(folders)
+    return {f: mark for f, mark in now.marks.items() if f not in changed}
+
+
 def replace(
     df: DataFrame,
     path: str,
@@ -137,12 +147,14 @@ def replace(
     base: Version | None = None,
     writer: str | None = None,
     batch: int | None = None,
+    marks: dict[str, str] | None = None,
 ) -> int:
     """Rows written. The partitions of ``df`` replace those of the table; of
     ``folders``, those without rows become empty.
 
     If ``df`` was computed from the version ``base`` of the table, its partitions
-    must not have changed since then.
+    must not have changed since then. ``marks`` are kept by folder, also of
+    folders that become empty.
     """
     spark = df.sparkSession
     if version(spark, path).done(writer, batch):
@@ -156,7 +168,11 @@ def replace(
         if base and any(now.folders.get(f) != base.folders.get(f) for f in gone):
             raise Changed(path)
         kept = {f: runs for f, runs in now.folders.items() if f not in gone}
-        return Version(0, kept | {f: [new.run] for f in new.folders}, _with_batch(now, writer, batch))
+        return Version(
+            folders=kept | {f: [new.run] for f in new.folders},
+            batches=_with_batch(now, writer, batch),
+            marks=_unmarked(now, gone) | (marks or {}),
+        )
 
     commit(spark, path, change)
     return new.rows
@@ -175,7 +191,11 @@ def append(
         if now.done(writer, batch):
             return None
         added = {f: [*now.folders.get(f, ()), new.run] for f in new.folders}
-        return Version(0, now.folders | added, _with_batch(now, writer, batch))
+        return Version(
+            folders=now.folders | added,
+            batches=_with_batch(now, writer, batch),
+            marks=_unmarked(now, new.folders),
+        )
 
     commit(spark, path, change)
     return new.rows
@@ -198,7 +218,11 @@ def drop(spark: SparkSession, path: str, expired: Callable[[str], bool]) -> list
         gone[:] = sorted(f for f in now.folders if expired(f))
         if not gone:
             return None
-        return Version(0, {f: r for f, r in now.folders.items() if f not in gone}, now.batches)
+        return Version(
+            folders={f: r for f, r in now.folders.items() if f not in gone},
+            batches=now.batches,
+            marks=_unmarked(now, gone),
+        )
 
     commit(spark, path, change)
     return gone

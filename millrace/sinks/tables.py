@@ -32,18 +32,20 @@ def replace_dates(
     partition: str = "metric_date",
     days: Iterable[str | dt.date] | None = None,
     coalesce: int | None = None,
+    marks: dict[str, str] | None = None,
 ) -> int:
     """Replace whole dates of a published table; returns the rows written.
 
     With ``days``, exactly these are replaced: rows of other dates are left out,
     and a day without rows ends up empty. Without, every date that ``df`` has
-    rows for. Rows are written once; all dates change in one step.
+    rows for. Rows are written once; all dates change in one step. ``marks`` say
+    what a folder was computed from.
     """
     wanted = None if days is None else sorted({parse_date(day) for day in days})
     if wanted is not None:
         df = df.filter(F.col(partition).isin(wanted))
     folders = [f"{partition}={day.isoformat()}" for day in wanted or ()]
-    return published.replace(df, path, partition, folders, coalesce)
+    return published.replace(df, path, partition, folders, coalesce, marks=marks)
 
 
 def replace_date(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -78,6 +79,42 @@ def read_events(
     return reader.parquet(*[f"{base}/{day}" for day in days]).filter(wanted).drop("batch")
 
 
+def hour_marks(
+    spark: SparkSession, root: str, kind: str, first: dt.date, last: dt.date
+) -> dict[str, str]:
+    """A digest of the files of each hour of a range of days, by ``2024-01-15T07``.
+
+    Spark lists the folders and reads no file. An hour that gains, loses or
+    rewrites a file has another digest; one row for each hour reaches the driver.
+    """
+    base = f"{root.rstrip('/')}/{kind}"
+    days = [
+        f"{base}/{day}"
+        for day in files.folders(spark, base)
+        if f"dt={first.isoformat()}" <= day <= f"dt={last.isoformat()}"
+    ]
+    if not days:
+        return {}
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    listed = reader.option("pathGlobFilter", "*.parquet").load(days)
+    part = r"/dt=([0-9-]+)/hour=([0-9]+)/(.*)$"
+    name = [F.regexp_extract("path", part, n) for n in (1, 2, 3)]
+    line = F.concat_ws(" ", name[2], "length", F.unix_micros("modificationTime"))
+    found = listed.groupBy(F.concat_ws("T", name[0], F.lpad(name[1], 2, "0")).alias("slot")).agg(
+        F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("mark")
+    )
+    return {row["slot"]: row["mark"] for row in found.collect()}
+
+
+def read_hours(spark: SparkSession, root: str, kind: str, slots: Iterable[str]) -> DataFrame:
+    """One kind of event of some hours that :func:`hour_marks` found; reads no other."""
+    base, schema = f"{root.rstrip('/')}/{kind}", lake_schema(kind)
+    paths = [f"{base}/dt={s[:10]}/hour={int(s[11:])}" for s in sorted(slots)]
+    if not paths:
+        return spark.createDataFrame([], schema).drop("batch")
+    return spark.read.schema(schema).option("basePath", base).parquet(*paths).drop("batch")
+
+
 def for_reports(events: DataFrame) -> DataFrame:
     """Add the columns the daily reports group by."""
     return events.withColumn("metric_date", F.col("dt")).withColumn(
