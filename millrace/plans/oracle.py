@@ -870,3 +870,22 @@ FROM recovery""",
     ),
     "capacity_checks": _sql(CAPACITY, "summ"),
 }
+
+# The same rows another way.
+ORACLE |= {
+    "csv_clicks": ORACLE["valid_events"],
+    "csv_purchases": ORACLE["valid_purchases"],
+    "stream_resume": ORACLE["stream_dedup"],
+    "stream_append": ORACLE["stream_dedup"],
+    "stream_state": _sql(
+        """SELECT CAST(0 AS BIGINT) AS operator_id, 'dedupeWithinWatermark' AS operator_name,
+  8 AS partitions, count(*) AS keys, true AS has_bytes
+FROM ev WHERE ts > (SELECT max(ts) FROM ev) - INTERVAL 2 DAY""",
+        "ev",
+    ),
+    "slo_report": _sql(SLO_BODY.replace("SELECT count(*) AS samples", "SELECT 744 AS window_hours, count(*) AS samples"), "ev"),
+    "sql_recent_anomalies": ORACLE["view_recent_anomalies"],
+    "sql_daily_summary": ORACLE["view_daily_summary"],
+    "sql_top_items": ORACLE["view_top_items"],
+    "sql_latest_funnel": ORACLE["view_latest_funnel"],
+}

@@ -32,7 +32,7 @@ from millrace.operators import (
     sessions,
     slo,
 )
-from millrace.plans import daily_jobs, incremental, serving
+from millrace.plans import daily_jobs, incremental, serving, sql_functions
 from millrace.session import (
     BASE_CONF,
     session_conf,
@@ -48,11 +48,11 @@ from millrace.sinks.anomalies import (
     compact_anomalies,
     read_anomaly_table,
 )
+from millrace.sources import csv_files, lake
 from millrace.sources import event_table as et
-from millrace.sources import lake
 from millrace.sources import tables as result_tables
 from millrace.sources.progress_log import parse_progress_lines, progress_rows
-from millrace.streaming import detection, jobs
+from millrace.streaming import detection, jobs, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -474,6 +474,86 @@ def stream_dedup(spark, d):
     return spark.read.schema(unique.schema).parquet(f"{out}/rows")
 
 
+def _stream_file(spark: SparkSession, path: str) -> DataFrame:
+    """Detection events of a folder of raw events, a file in each micro-batch."""
+    reader = spark.readStream.schema(et.RAW_COLUMNS).option("maxFilesPerTrigger", 1)
+    return et.detection_events(et.as_events(reader.parquet(path)))
+
+
+@query
+def stream_resume(spark, d):
+    """Dedup under a processing-time trigger, stopped and resumed from its checkpoint;
+    all events of the first run come again in the second."""
+    out = work_path(spark, "stream_resume")
+    raw = et.read_raw(spark, d)
+    with session_conf(spark, _stream_conf(spark)):
+        for batch in (raw.filter("event_id % 2 = 0"), raw):
+            batch.coalesce(2).write.mode("append").parquet(f"{out}/events")
+            events = _stream_file(spark, f"{out}/events")
+            unique = ingest.drop_duplicate_events(events, f"{60 * 24 * 60} minutes")
+            running = (
+                unique.writeStream.queryName("resume")
+                .outputMode("append")
+                .format("parquet")
+                .option("path", f"{out}/rows")
+                .option("checkpointLocation", f"{out}/checkpoint")
+                .trigger(processingTime="1 second")
+                .start()
+            )
+            try:
+                running.processAllAvailable()
+            finally:
+                running.stop()
+    return spark.read.schema(unique.schema).parquet(f"{out}/rows")
+
+
+@query
+def stream_state(spark, d):
+    """Keys the dedup state holds after the last event: those within the watermark."""
+    out = work_path(spark, "stream_state")
+    raw = et.read_raw(spark, d)
+    halves = [raw.filter(F.col("ts") < F.lit(DAY)), raw.filter(F.col("ts") >= F.lit(DAY))]
+    with session_conf(spark, _stream_conf(spark)):
+        for half in halves:
+            half.coalesce(1).write.mode("append").parquet(f"{out}/events")
+            events = _stream_file(spark, f"{out}/events")
+            unique = ingest.drop_duplicate_events(events, "1 day")
+            started = (
+                unique.writeStream.queryName("state")
+                .outputMode("append")
+                .format("noop")
+                .option("checkpointLocation", f"{out}/checkpoint")
+                .trigger(**jobs.AVAILABLE_NOW)
+                .start()
+            )
+            jobs.run_available({"state": started})
+    return state.state_sizes(spark, f"{out}/checkpoint").select(
+        "operator_id", "operator_name", "partitions", "keys", (F.col("bytes") > 0).alias("has_bytes")
+    )
+
+
+@query
+def stream_append(spark, d):
+    """Events appended batch by batch, each batch delivered twice."""
+    out = work_path(spark, "stream_append")
+    et.read_raw(spark, d).repartition(3, "event_id").write.parquet(f"{out}/events")
+    events = _stream_file(spark, f"{out}/events").withColumn("event_date", F.to_date("event_ts"))
+    append = published.append_once(f"{out}/table", "event_date", "stream_append")
+
+    def twice(batch: DataFrame, batch_id: int) -> None:
+        append(batch, batch_id)
+        append(batch, batch_id)
+
+    started = (
+        events.writeStream.foreachBatch(twice)
+        .option("checkpointLocation", f"{out}/checkpoint")
+        .trigger(**jobs.AVAILABLE_NOW)
+        .start()
+    )
+    jobs.run_available({"append": started})
+    return published.read(spark, f"{out}/table").drop("event_date")
+
+
 @query
 def stream_late_events(spark, d):
     """The late side output of the running job, with the data's last time as the clock."""
@@ -613,6 +693,21 @@ def dead_letters(spark, d):
     return ingest.dead_letters(rejects, "click-loader", "clicks", now=_last_event(spark, d))
 
 
+@query
+def csv_clicks(spark, d):
+    """The damaged rows through files with a header; the sources are looked at first."""
+    path = f"{work_path(spark, 'csv')}/clicks"
+    _raw_clicks(spark, d).write.option("header", True).csv(path)
+    return ingest.split_valid(csv_files.read_click_csv(spark, path))[0].drop("ingest_ts")
+
+
+@query
+def csv_purchases(spark, d):
+    path = f"{work_path(spark, 'csv')}/purchases"
+    _raw_purchases(spark, d).write.option("header", True).csv(path)
+    return ingest.split_valid(csv_files.read_purchase_csv(spark, path))[0].drop("ingest_ts")
+
+
 def _raw_purchases(spark: SparkSession, d: str) -> DataFrame:
     events = et.read_purchases(spark, d)
     return computed_once(
@@ -852,6 +947,33 @@ def view_latest_funnel(spark, d):
     return serving.view_latest_funnel(_funnel(spark, d))
 
 
+def _by_function(spark: SparkSession, call: str, **tables: DataFrame) -> DataFrame:
+    sql_functions.register(spark, tables)
+    return spark.sql(f"SELECT * FROM {call}")
+
+
+@query
+def sql_recent_anomalies(spark, d):
+    call = "recent_anomaly_sessions(TIMESTAMP'2024-01-30 23:00:00')"
+    return _by_function(spark, call, anomaly_sessions=_anomalies(spark, d))
+
+
+@query
+def sql_daily_summary(spark, d):
+    call = f"daily_summary(DATE'{AS_OF}', days => 30)"
+    return _by_function(spark, call, daily_metrics=_daily(spark, d))
+
+
+@query
+def sql_top_items(spark, d):
+    return _by_function(spark, f"top_items(DATE'{AS_OF}')", popular_items=_items(spark, d))
+
+
+@query
+def sql_latest_funnel(spark, d):
+    return _by_function(spark, "latest_funnel()", session_funnel=_funnel(spark, d))
+
+
 @query
 def system_stats(spark, d):
     return serving.system_stats(_anomalies(spark, d), _daily(spark, d), _items(spark, d))
@@ -1004,8 +1126,8 @@ def quality_checks(spark, d):
     return out
 
 
-@query
-def slo_latency(spark, d):
+def _stamped(spark: SparkSession, d: str) -> DataFrame:
+    """Events with the times of all stages, as stored anomalies have them."""
     events = et.read_events(spark, d)
 
     def later(column: Column, modulus: int) -> Column:
@@ -1013,7 +1135,7 @@ def slo_latency(spark, d):
             F.unix_micros(column) + F.col("eid") % modulus * 1000
         )
 
-    stamped = (
+    return (
         events.withColumn("kafka_ingest_ts", later(F.col("event_ts"), 700))
         .withColumn("spark_process_ts", later(F.col("kafka_ingest_ts"), 1100))
         .withColumn("db_write_ts", later(F.col("spark_process_ts"), 300))
@@ -1025,7 +1147,23 @@ def slo_latency(spark, d):
             "db_write_ts",
         )
     )
-    return slo.slo_latency(stamped, AS_OF, 24 * 31)
+
+
+@query
+def slo_latency(spark, d):
+    return slo.slo_latency(_stamped(spark, d), AS_OF, 24 * 31)
+
+
+@query
+def slo_report(spark, d):
+    """The JSON document, its figures read back."""
+    found = slo.slo_report(_stamped(spark, d), AS_OF, 24 * 31)
+    figures = slo.slo_latency(_stamped(spark, d), AS_OF, 24 * 31).schema
+    layout = T.StructType(
+        [T.StructField("window_hours", T.IntegerType()), T.StructField("report", figures)]
+    )
+    read = found.select(F.from_json("report", layout).alias("r"))
+    return read.select("r.window_hours", "r.report.*")
 
 
 def _progress(spark: SparkSession, d: str) -> DataFrame:
