@@ -891,6 +891,21 @@ FROM ev WHERE ts > (SELECT max(ts) FROM ev) - INTERVAL 2 DAY""",
         for p in (50, 95, 99)
     )
     + " FROM events",
+    "stream_trending": _sql(
+        """SELECT *, CAST(0 AS BIGINT) AS most_error FROM (
+  SELECT metric_date AS bucket_date, item_id, count(*) AS clicks,
+         row_number() OVER (PARTITION BY metric_date ORDER BY count(*) DESC, item_id) AS rank,
+         CAST(sum(count(*)) OVER (PARTITION BY metric_date) AS BIGINT) AS group_clicks
+  FROM clicks WHERE item_id IS NOT NULL GROUP BY 1, 2) WHERE rank <= 10""",
+        "clicks",
+    ),
+    "stream_trending_range": _sql(
+        """SELECT item_id, count(*) AS clicks, row_number() OVER (ORDER BY count(*) DESC, item_id) AS rank,
+  CAST(sum(count(*)) OVER () AS BIGINT) AS group_clicks, CAST(0 AS BIGINT) AS most_error
+FROM clicks WHERE item_id IS NOT NULL AND ts >= TIMESTAMP '2024-01-24'
+GROUP BY 1 ORDER BY rank LIMIT 20""",
+        "clicks",
+    ),
     "sql_recent_anomalies": ORACLE["view_recent_anomalies"],
     "sql_daily_summary": ORACLE["view_daily_summary"],
     "sql_top_items": ORACLE["view_top_items"],

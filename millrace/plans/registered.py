@@ -31,6 +31,7 @@ from millrace.operators import (
     quality,
     sessions,
     slo,
+    trending,
 )
 from millrace.plans import daily_jobs, incremental, serving, sql_functions
 from millrace.session import (
@@ -1194,6 +1195,32 @@ def stream_latency(spark, d):
     )
 
 
+def _trending_sketches(spark: SparkSession, d: str) -> DataFrame:
+    """Hourly item sketches of the clicks, from three micro-batches."""
+    out = work_path(spark, "stream_trending")
+    et.read_raw(spark, d).repartition(3, "event_id").write.parquet(f"{out}/events")
+    reader = spark.readStream.schema(et.RAW_COLUMNS).option("maxFilesPerTrigger", 1)
+    clicks = et.clicks_of(et.as_events(reader.parquet(f"{out}/events")))
+    started = jobs.start_trending_sketches(
+        clicks, f"{out}/table", f"{out}/checkpoint", trigger=jobs.AVAILABLE_NOW
+    )
+    jobs.run_available({"trending": started})
+    return published.read(spark, f"{out}/table")
+
+
+@query
+def stream_trending(spark, d):
+    """The ten most clicked items of each day, from merged hourly sketches."""
+    return trending.trending(_trending_sketches(spark, d), "bucket_date", limit=10)
+
+
+@query
+def stream_trending_range(spark, d):
+    """The twenty most clicked items of the last week, by the same sketches."""
+    hours = _trending_sketches(spark, d).filter("bucket >= timestamp'2024-01-24'")
+    return trending.trending(hours)
+
+
 def _progress(spark: SparkSession, d: str) -> DataFrame:
     """Events as the progress log of five queries: a micro-batch per type and day.
 

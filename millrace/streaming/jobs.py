@@ -5,12 +5,13 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators import detect, ingest, slo
+from millrace.operators import detect, ingest, slo, trending
 from millrace.sinks import lake, published, tables
 from millrace.sinks.anomalies import WINDOW_DATE, batches_path
 from millrace.streaming.listener import JsonLines
@@ -167,31 +168,57 @@ def start_ingest(
     )
 
 
-def start_latency_sketches(
-    anomalies: DataFrame,
+def _start_sketches(
+    rows: DataFrame,
+    name: str,
+    sketch: Callable[[DataFrame], DataFrame],
     path: str,
     checkpoint: str,
-    width: str = "1 minute",
-    trigger: dict | None = None,
+    trigger: dict | None,
 ) -> StreamingQuery:
-    """Latency sketches of each micro-batch to a published table, each batch once.
+    """Sketches of each micro-batch to a published table, each batch once.
 
-    The query keeps no state; late rows add a sketch to their own minute.
+    The query keeps no state; late rows add a sketch to their own ``bucket``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = slo.latency_sketches(batch, width).withColumn("bucket_date", F.to_date("bucket"))
-        published.append(rows, path, "bucket_date", "latency_sketches", batch_id)
+        dated = sketch(batch).withColumn("bucket_date", F.to_date("bucket"))
+        published.append(dated, path, "bucket_date", name, batch_id)
 
     return (
-        anomalies.writeStream.queryName("latency_sketches")
+        rows.writeStream.queryName(name)
         .foreachBatch(write)
-        .option("checkpointLocation", f"{checkpoint}/latency_sketches")
+        .option("checkpointLocation", f"{checkpoint}/{name}")
         .trigger(**(trigger or {"processingTime": "1 minute"}))
         .start()
     )
 
 
+def start_latency_sketches(
+    anomalies: DataFrame,
+    path: str,
+    checkpoint: str,
+    width: str = "1 minute",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Latency sketches (:func:`millrace.operators.slo.latency_sketches`) of a stream."""
+    sketch = partial(slo.latency_sketches, width=width)
+    return _start_sketches(anomalies, "latency_sketches", sketch, path, checkpoint, trigger)
+
+
+def start_trending_sketches(
+    clicks: DataFrame,
+    path: str,
+    checkpoint: str,
+    width: str = "1 hour",
+    capacity: int = trending.CAPACITY,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Item sketches (:func:`millrace.operators.trending.item_sketches`) of a stream."""
+    sketch = partial(trending.item_sketches, width=width, capacity=capacity)
+    return _start_sketches(clicks, "trending_sketches", sketch, path, checkpoint, trigger)
+
+
 def write_console(
     df: DataFrame, name: str, mode: str = "append", rows: int = 50, trigger: dict | None = None
 ) -> StreamingQuery:
