@@ -1,20 +1,27 @@
 """Line dedup by a suffix array over sequences of line ids.
 
-Every document is a sequence of its lines that hold a word. The suffixes that
-start with a repeated line are sorted by distributed prefix doubling: the rank
-of a suffix by its first ``2k`` lines comes from the ranks, by ``k`` lines, of
-itself and of the suffix ``k`` lines on. Runs shorter than ``min_lines`` stay, so
-the suffixes are sorted to that depth: an interval of the suffix array with a
-longest common prefix of at least ``d`` lines is the set of suffixes of equal
-rank at depth ``d``. In each interval the earliest suffix is the copy that stays,
-and the first ``d`` lines of the others are removed; these windows, taken
-together, are the maximal runs with an earlier copy.
+Every text is a sequence of its lines that hold a word. The suffixes that start
+with a repeated line are sorted by distributed prefix doubling: the rank of a
+suffix by its first ``2k`` lines comes from the ranks, by ``k`` lines, of itself
+and of the suffix ``k`` lines on. It goes on until no rank repeats.
+
+The suffixes of a rank that part before the next depth are then divided into
+intervals of their longest common prefix, adding half the depth, a quarter and
+so on by the ranks of those depths. In every interval the suffixes but the
+earliest have an earlier copy of as many lines as the interval has in common,
+which is the longest that they have. Runs that do not go on from the line before
+are maximal; they are what is removed.
+
+Equal texts are one sequence: the earliest stands for them, and the others are
+whole copies of it.
 """
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import WHITE, kept_in_files, numbered
@@ -24,103 +31,282 @@ from millrace.llm.common import WHITE, kept_in_files, numbered
 MIN_LINES = 2
 MIN_WORDS = 5
 
+_WORD = r"[^\x20\x09-\x0D]"
+
+#: An interval: the step that formed it, its number there, the lines in common.
+_INTERVAL = ["origin", "class", "depth"]
+
 
 def _ordered(keys: DataFrame, *by: str) -> DataFrame:
-    """``keys`` with a ``rank`` that rises in the order of ``by``.
+    """``keys`` with a number ``place`` that rises in the order of ``by``.
 
-    Range partitions are sorted by themselves, so no task gets all rows; ranks
+    Range partitions are sorted by themselves, so no task gets all rows; numbers
     leave gaps between partitions.
     """
     ranked = keys.repartitionByRange(*by).sortWithinPartitions(*by)
     return kept_in_files(
-        ranked.withColumn("rank", F.monotonically_increasing_id()), "suffix-ranks"
+        ranked.withColumn("place", F.monotonically_increasing_id()), "suffix-ranks"
+    )
+
+
+def _repeated(rows: DataFrame, *by: str) -> DataFrame:
+    return _ordered(rows.groupBy(*by).agg(F.count("*").alias("n")).where("n > 1").drop("n"), *by)
+
+
+def sorted_suffixes(lines: DataFrame) -> list[DataFrame]:
+    """Suffixes of ``lines(position, weight, id, check)`` that repeat at depth 1, 2, 4 ...
+
+    Each table holds (position, weight, rank, child): equal ranks mean that so
+    many lines are equal, and ``child`` is the rank at the next depth, null where
+    the sequence ends or nothing repeats.
+    """
+    repeated = _repeated(lines, "id", "check").withColumnRenamed("place", "rank")
+    suffixes = kept_in_files(
+        lines.join(repeated, ["id", "check"]).select("position", "weight", "rank"),
+        "repeated-suffixes",
     )
+    levels: list[DataFrame] = []
+    while True:
+        depth = 2 ** len(levels)
+        here = suffixes.select("*", "position.row_no", "position.seq")
+        later = suffixes.select(
+            "position.row_no",
+            (F.col("position.seq") - depth).alias("seq"),
+            F.col("rank").alias("second"),
+        )
+        paired = here.join(later, ["row_no", "seq"], "left")
+        pairs = _repeated(paired.where("second is not null"), "rank", "second")
+        level = kept_in_files(
+            paired.join(pairs.withColumnRenamed("place", "child"), ["rank", "second"], "left").select(
+                "position", "weight", "rank", "child"
+            ),
+            "suffix-array",
+        )
+        levels.append(level)
+        suffixes = level.where("child is not null").select(
+            "position", "weight", F.col("child").alias("rank")
+        )
+        if suffixes.isEmpty():
+            return levels
 
 
-def _next_depth(suffixes: DataFrame, rank: str, shift: int, new: str) -> DataFrame:
-    """``suffixes`` with the rank ``new`` of the pair of ``rank`` here and
-    ``shift`` lines on; null where the document ends, or the pair occurs once."""
-    later = Window.partitionBy("row_no").orderBy("seq").rangeBetween(shift, shift)
-    paired = kept_in_files(suffixes.withColumn("second", F.first(rank).over(later)), "suffix-pairs")
-    repeated = (
-        paired.where(F.col(rank).isNotNull() & F.col("second").isNotNull())
-        .groupBy(rank, "second")
-        .agg(F.count("*").alias("n"))
+def _parting(level: DataFrame, number: int) -> DataFrame:
+    """Intervals of one depth with the suffixes that part before the next depth, and
+    the earliest of those that stay together."""
+    together = (
+        level.where("child is not null")
+        .groupBy("rank", "child")
+        .agg(F.min("position").alias("position"), F.sum("weight").alias("weight"))
+    )
+    members = level.where("child is null").select("rank", "position", "weight").unionByName(
+        together.drop("child")
+    )
+    return members.select(
+        F.lit(number).alias("origin"),
+        F.col("rank").alias("class"),
+        F.lit(2**number).cast("long").alias("depth"),
+        "position",
+        "weight",
+    )
+
+
+def _divided(members: DataFrame, level: DataFrame, number: int) -> DataFrame:
+    """``members`` of intervals, after those that go on alike for the lines of
+    ``level`` went to an interval of their own and left their earliest behind."""
+    later = level.select(
+        "position.row_no", F.col("position.seq").alias("from"), F.col("rank").alias("next")
+    )
+    at = members.select(
+        "*", "position.row_no", (F.col("position.seq") + F.col("depth")).alias("from")
+    )
+    looked = kept_in_files(
+        at.join(later, ["row_no", "from"], "left").drop("row_no", "from"), "suffix-steps"
+    )
+    alike = (
+        looked.where("next is not null")
+        .groupBy(*_INTERVAL, "next")
+        .agg(
+            F.min("position").alias("position"),
+            F.sum("weight").alias("weight"),
+            F.count("*").alias("n"),
+        )
         .where("n > 1")
-        .select(F.col(rank).alias("a"), F.col("second").alias("b"))
+        .drop("n")
+    )
+    # Written, so that an interval with very many suffixes can be split in the join.
+    alike = kept_in_files(alike.withColumn("new", F.monotonically_increasing_id()), "suffix-splits")
+    tagged = looked.join(alike.select(*_INTERVAL, "next", "new"), [*_INTERVAL, "next"], "left")
+    moved = F.col("new").isNotNull()
+    went = tagged.select(
+        F.when(moved, F.lit(-1 - number)).otherwise(F.col("origin")).alias("origin"),
+        F.coalesce("new", "class").alias("class"),
+        F.when(moved, F.col("depth") + 2**number).otherwise(F.col("depth")).alias("depth"),
+        "position",
+        "weight",
+    )
+    return kept_in_files(
+        went.unionByName(alike.select(*_INTERVAL, "position", "weight")), "suffix-intervals"
+    )
+
+
+def earlier_copies(lines: DataFrame) -> DataFrame:
+    """(position, lines, copies, first) for each suffix with an earlier copy: the most
+    lines that it has in common with an earlier one, how often these lines occur,
+    and where they occur first."""
+    levels = sorted_suffixes(lines)
+    members: DataFrame | None = None
+    for number in range(len(levels) - 1, -1, -1):
+        parting = _parting(levels[number], number)
+        members = parting if members is None else members.unionByName(parting)
+        if number:
+            members = _divided(members, levels[number - 1], number - 1)
+    intervals = kept_in_files(
+        members.groupBy(*_INTERVAL)
+        .agg(
+            F.min("position").alias("first"),
+            F.sum("weight").alias("copies"),
+            F.count("*").alias("n"),
+        )
+        .where("n > 1")
+        .drop("n"),
+        "common-prefixes",
+    )
+    return (
+        members.join(intervals, _INTERVAL)
+        .where("position.row_no <> first.row_no or position.seq <> first.seq")
+        .select("position", F.col("depth").alias("lines"), "copies", "first")
+    )
+
+
+def _worded(text: Column | str) -> Column:
+    """The lines of a text that hold a word."""
+    return F.filter(F.split(text, "\n"), lambda line: line.rlike(_WORD))
+
+
+def _is_long(line: Column, min_words: int) -> Column:
+    return F.size(F.filter(F.split(line, WHITE), lambda w: w != "")) >= min_words
+
+
+def _firsts(base: DataFrame) -> DataFrame:
+    """(h, check, first, weight): every different text, its earliest row and its rows."""
+    return kept_in_files(
+        base.where("text is not null")
+        .groupBy("h", "check")
+        .agg(F.min(F.struct("doc_id", "row_no")).alias("first"), F.count("*").alias("weight")),
+        "different-texts",
+    )
+
+
+def _line_ids(base: DataFrame, firsts: DataFrame, min_words: int) -> DataFrame:
+    lines = base.select("row_no", "doc_id", F.posexplode(_worded("text")).alias("seq", "line")).select(
+        F.struct(
+            "doc_id",
+            "row_no",
+            F.col("seq").cast("long").alias("seq"),
+            _is_long(F.col("line"), min_words).alias("long"),
+        ).alias("position"),
+        "row_no",
+        F.xxhash64("line").alias("id"),
+        # The constant comes first: a hash is the seed of the next column's.
+        F.xxhash64(F.lit(1), "line").alias("check"),
+    )
+    kept = firsts.select("first.row_no", "weight")
+    return kept_in_files(lines.join(kept, "row_no").drop("row_no"), "document-lines")
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    """(row_no, doc_id, text, h, check) of ``docs(row_no, doc_id, text)``."""
+    return docs.select(
+        "row_no",
+        "doc_id",
+        "text",
+        F.xxhash64("text").alias("h"),
+        F.xxhash64(F.lit(1), "text").alias("check"),
     )
-    ranked = _ordered(repeated, "a", "b").withColumnRenamed("rank", new)
-    on = (paired[rank] == ranked["a"]) & (paired["second"] == ranked["b"])
-    return paired.join(ranked, on, "left").drop("a", "b", "second")
 
 
-def suffix_ranks(lines: DataFrame, depth: int) -> tuple[DataFrame, dict[int, str]]:
-    """Ranks of suffixes of ``lines(row_no, seq, id, check)`` at depth 1 and ``depth``.
+def _later_rows(base: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Rows of ``base`` whose text has an earlier row."""
+    rows = base.where("text is not null").select("row_no", "doc_id", "h", "check")
+    return rows.join(firsts, ["h", "check"]).where("row_no <> first.row_no")
 
-    Only suffixes whose first line is repeated are returned. Equal ranks mean
-    equal lines, and ranks rise in the order of the suffixes.
+
+def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+    """The maximal runs of lines of ``docs`` that have an earlier copy:
+    ``(doc_id, start, lines, copies, first_doc_id, first_start)``.
+
+    ``start`` counts the lines of the document that hold a word from 0, ``copies``
+    all places where the run occurs, itself included. A run is listed at each
+    place but the first, and not again from its second line on; runs of one
+    document may overlap. Only the first of equal texts has its runs listed; the
+    others are one run, the whole text, whose copies are the equal texts.
     """
-    repeated = (
-        lines.groupBy("id", "check").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    )
-    first = _ordered(repeated, "id", "check").withColumnRenamed("rank", "rank_1")
-    suffixes = lines.join(first, ["id", "check"]).drop("id", "check")
-    reached, at = 1, "rank_1"
-    names = {1: at}
-    while reached < depth:
-        shift = min(reached, depth - reached)
-        name = f"rank_{reached + shift}"
-        suffixes = _next_depth(suffixes, at, shift, name)
-        reached, at = reached + shift, name
-        names[reached] = at
-    return kept_in_files(suffixes, "suffix-array"), {1: "rank_1", depth: at}
-
-
-def repeated_lines(
-    docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS
-) -> DataFrame:
-    """``(row_no, removed)``: the numbers of the lines to remove, of the rows of
-    ``docs(row_no, doc_id, text)`` that lose any."""
-    words = F.size(F.filter(F.split("line", WHITE), lambda w: w != ""))
-    lines = (
-        docs.select("row_no", "doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-        .where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+    base = _rows(numbered(docs.select("doc_id", "text"), "line-runs-rows", "doc_id", "text"))
+    firsts = _firsts(base)
+    found = earlier_copies(_line_ids(base, firsts, MIN_WORDS))
+    before = Window.partitionBy("position.row_no").orderBy("position.seq")
+    last = F.max(F.col("position.seq") + F.col("lines")).over(before.rowsBetween(Window.unboundedPreceding, -1))
+    runs = (
+        found.withColumn("reached", last)
+        .where(F.col("reached").isNull() | (F.col("position.seq") + F.col("lines") > F.col("reached")))
+        .where(F.col("lines") >= min_lines)
         .select(
-            "row_no",
-            "doc_id",
-            "line_no",
-            (words >= min_words).alias("long"),
-            F.xxhash64("line").alias("id"),
-            # The constant comes first: a hash is the seed of the next column's.
-            F.xxhash64(F.lit(1), "line").alias("check"),
+            "position.doc_id",
+            F.col("position.seq").alias("start"),
+            "lines",
+            "copies",
+            F.col("first.doc_id").alias("first_doc_id"),
+            F.col("first.seq").alias("first_start"),
         )
     )
-    # Lines without words are no part of the sequence.
-    at = Window.partitionBy("row_no").orderBy("line_no")
-    lines = kept_in_files(
-        lines.withColumn("seq", F.row_number().over(at).cast("long")), "document-lines"
-    )
-    suffixes, ranks = suffix_ranks(lines, min_lines)
-    position = F.struct("doc_id", "row_no", "seq")
-    removed = None
-    for depth, rank in ranks.items():
-        members = suffixes.where(F.col(rank).isNotNull())
-        if depth < min_lines:
-            members = members.where("long")
-        # Written, so that both sides of the join are shuffled for it and a rank
-        # with very many suffixes can be split.
-        earliest = kept_in_files(
-            members.groupBy(rank).agg(F.min(position).alias("first")), "earliest-suffixes"
-        )
-        later = members.join(earliest, rank).where(
-            (F.col("first.row_no") != F.col("row_no")) | (F.col("first.seq") != F.col("seq"))
-        )
-        found = later.select(
-            "row_no", F.explode(F.sequence(F.col("seq"), F.col("seq") + depth - 1)).alias("seq")
+    sizes = base.select("row_no", F.size(_worded("text")).cast("long").alias("lines"))
+    whole = (
+        _later_rows(base, firsts)
+        .join(sizes.where(F.col("lines") >= min_lines), "row_no")
+        .select(
+            "doc_id",
+            F.lit(0).cast("long").alias("start"),
+            "lines",
+            F.col("weight").alias("copies"),
+            F.col("first.doc_id").alias("first_doc_id"),
+            F.lit(0).cast("long").alias("first_start"),
         )
-        removed = found if removed is None else removed.union(found)
-    numbers = lines.join(removed.distinct(), ["row_no", "seq"])
-    return numbers.groupBy("row_no").agg(F.collect_set("line_no").alias("removed"))
+    )
+    return runs.unionByName(whole)
+
+
+def removed_spans(
+    docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS
+) -> DataFrame:
+    """``(row_no, spans, whole)`` of the rows of ``docs(row_no, doc_id, text)`` that may
+    lose lines: start and number of the lines with a word that go, or ``whole`` for
+    a text that has an earlier row."""
+    base = _rows(docs)
+    firsts = _firsts(base)
+    found = earlier_copies(_line_ids(base, firsts, min_words)).select(
+        "position.row_no",
+        "position.seq",
+        F.when(F.col("lines") >= min_lines, F.col("lines"))
+        .when(F.col("position.long"), 1)
+        .alias("lines"),
+    )
+    before = (
+        Window.partitionBy("row_no").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    start = F.greatest(F.col("seq"), F.max(F.col("seq") + F.col("lines")).over(before))
+    spans = (
+        found.where("lines is not null")
+        .withColumn("start", start)
+        .withColumn("n", F.col("seq") + F.col("lines") - F.col("start"))
+        .where("n > 0")
+        .groupBy("row_no")
+        .agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+        .withColumn("whole", F.lit(False))
+    )
+    copies = _later_rows(base, firsts).select(
+        "row_no", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"), F.lit(True).alias("whole")
+    )
+    return spans.unionByName(copies)
 
 
 def dedup_lines(
@@ -137,31 +323,58 @@ def dedup_lines(
     rows are copies of the first. A document all of whose lines are copies has
     an empty text. Other columns pass through.
     """
+    has_word = re.compile(_WORD)
 
     @F.pandas_udf("string")
-    def without(text: pd.Series, removed: pd.Series) -> pd.Series:
+    def without(text: pd.Series, spans: pd.Series) -> pd.Series:
         out = []
-        for own, numbers in zip(text, removed):
-            if numbers is not None:
-                gone = set(numbers)
-                own = "\n".join(x for k, x in enumerate(own.split("\n")) if k not in gone)
+        for own, gone in zip(text, spans):
+            if gone is not None and len(gone):
+                numbers = {s["start"] + k for s in gone for k in range(s["n"])}
+                kept, seq = [], 0
+                for line in own.split("\n"):
+                    if has_word.search(line):
+                        if seq not in numbers:
+                            kept.append(line)
+                        seq += 1
+                    else:
+                        kept.append(line)
+                own = "\n".join(kept)
             out.append(own)
         return pd.Series(out, dtype=object)
 
     base = numbered(docs, "line-dedup-rows", F.struct("*").alias("doc"))
-    removed = repeated_lines(
+    removed = removed_spans(
         base.select("row_no", "doc.doc_id", "doc.text"), min_lines, min_words
     )
-    joined = base.join(removed, "row_no", "left")
-    text = F.when(F.col("removed").isNull(), F.col("doc.text")).otherwise(
-        without(F.col("doc.text"), F.col("removed"))
+    # A whole copy loses all its lines if they are a run, else the long ones.
+    worded = _worded("doc.text")
+    each = F.filter(
+        F.transform(
+            worded,
+            lambda line, k: F.struct(
+                k.cast("long").alias("start"),
+                F.when(_is_long(line, min_words), 1).otherwise(0).cast("long").alias("n"),
+            ),
+        ),
+        lambda s: s["n"] > 0,
+    )
+    all_lines = F.array(
+        F.struct(F.lit(0).cast("long").alias("start"), F.size(worded).cast("long").alias("n"))
+    )
+    spans = F.when(
+        F.col("whole"), F.when(F.size(worded) >= min_lines, all_lines).otherwise(each)
+    ).otherwise(F.col("spans"))
+    joined = base.join(removed, "row_no", "left").withColumn("spans", spans)
+    gone = F.coalesce(
+        F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["n"]), F.lit(0).cast("long")
     )
+    text = F.when(gone == 0, F.col("doc.text")).otherwise(without(F.col("doc.text"), F.col("spans")))
     lines = F.when(F.col("doc.text").isNull(), 0).otherwise(F.size(F.split("doc.text", "\n")))
-    gone = F.when(F.col("removed").isNull(), 0).otherwise(F.size("removed"))
     return joined.select(
         *[text.alias("text") if c == "text" else F.col("doc")[c].alias(c) for c in docs.columns],
         lines.cast("long").alias("n_lines"),
-        gone.cast("long").alias("n_removed"),
+        gone.alias("n_removed"),
     )
 
 
