@@ -12,7 +12,7 @@ DATA = "/root/testdata/sf0.001"
 
 
 def test_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
     assert len(corpus_pipeline.STAGES) == 5
 
