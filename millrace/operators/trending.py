@@ -44,7 +44,8 @@ def trending(
     too high, and items that cannot be told from the rest are left out. Equal
     counts are ordered by item.
     """
-    merged = sketches.groupBy(*by).agg(
+    # Without a key, Spark cannot write the empty sketch of a task that had no rows.
+    merged = sketches.groupBy(*(by or [F.lit(0).alias("all")])).agg(
         F.expr(f"approx_top_k_combine(items, {int(capacity)})").alias("items"),
         F.sum("clicks").alias("group_clicks"),
     )

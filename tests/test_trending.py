@@ -28,6 +28,16 @@ def test_empty_input_has_no_items(make):
     assert rows(trending.trending(sketches, "bucket")) == []
 
 
+def test_tasks_without_sketches(spark, make):
+    """A filter leaves no rows to some tasks, or to all, of a ranking without groups."""
+    data = [(1, NOON), (1, NOON), (2, at("2026-01-12T12:00:00"))]
+    sketches = trending.item_sketches(make(CLICK, data)).repartitionByRange(2, "bucket")
+    assert sketches.rdd.getNumPartitions() == 2
+    last = sketches.localCheckpoint().filter(F.col("bucket") >= F.lit("2026-01-12").cast("timestamp"))
+    assert rows(trending.trending(last)) == [(2, 1, 1, 1, 0)]
+    assert rows(trending.trending(last.filter(F.col("clicks") > 5))) == []
+
+
 def test_recall_and_error_of_many_items(spark):
     """200,000 clicks on some 30,000 items, of which a sketch tracks 1,000."""
     skewed = spark.range(200_000).select(
