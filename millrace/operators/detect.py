@@ -107,15 +107,25 @@ def bot_like(
     threshold: int = BOT_CLICKS,
     diversity: float = BOT_DIVERSITY,
     source: str = "spark_streaming",
+    retract: bool = False,
 ) -> DataFrame:
     """Many clicks on few items: distinct / clicks under ``diversity``.
 
-    Score = clicks / threshold x (1 - distinct / clicks).
+    Score = clicks / threshold x (1 - distinct / clicks). More events can lift the
+    diversity of a window that was a hit, so with ``retract`` the other windows of
+    many clicks come out too, without a score (:func:`standing`).
     """
     spread = F.col("unique_items").cast("double") / F.col("click_count").cast("double")
-    hits = windows.filter((F.col("click_count") > threshold) & (spread < diversity))
+    busy = windows.filter(F.col("click_count") > threshold)
     score = F.col("click_count") / F.lit(float(threshold)) * (1 - spread)
-    return _as_anomaly(hits, "BOT_LIKE", score, source)
+    if retract:
+        return _as_anomaly(busy, "BOT_LIKE", F.when(spread < diversity, score), source)
+    return _as_anomaly(busy.filter(spread < diversity), "BOT_LIKE", score, source)
+
+
+def standing(anomalies: DataFrame) -> DataFrame:
+    """Without the rows that take back an earlier anomaly of their key."""
+    return anomalies.filter(F.col("anomaly_score").isNotNull())
 
 
 def detect_high_frequency(
@@ -137,6 +147,10 @@ def detect_bot_like(
     diversity: float = BOT_DIVERSITY,
     exact: bool | None = None,
 ) -> DataFrame:
-    """Sliding windows. ``exact`` defaults to yes on static frames."""
+    """Sliding windows. ``exact`` defaults to yes on static frames.
+
+    A stream also takes back windows that are hits no longer.
+    """
     exact = not events.isStreaming if exact is None else exact
-    return bot_like(session_windows(events, size, slide, exact), threshold, diversity)
+    windows = session_windows(events, size, slide, exact)
+    return bot_like(windows, threshold, diversity, retract=events.isStreaming)

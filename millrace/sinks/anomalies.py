@@ -2,7 +2,8 @@
 
 Every query of the detection job writes its batches below
 ``anomaly_batches/<query>``; compaction folds them into ``anomaly_sessions``.
-Readers see the compacted rows with the batches since then on top.
+Readers see the compacted rows with the batches since then on top. A row without
+a score takes back the anomaly of its key; readers do not see it.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from millrace import files
+from millrace.operators.detect import standing
 from millrace.schemas import ANOMALY
 from millrace.sinks import published, tables
 
@@ -50,7 +52,7 @@ def read_anomaly_table(spark: SparkSession, root: str) -> DataFrame:
             spark, batches_path(root, query), ANOMALY_KEYS, schema, WINDOW_DATE
         )
         current = tables.merge(current, newest.select(*schema.fieldNames()), ANOMALY_KEYS)
-    return current
+    return standing(current)
 
 
 def compact_anomalies(spark: SparkSession, root: str) -> None:

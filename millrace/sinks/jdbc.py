@@ -126,6 +126,7 @@ def upsert_statement(
     columns: Sequence[str],
     keys: Sequence[str],
     stamps: Sequence[str] = (),
+    where: str = "TRUE",
 ) -> str:
     """Insert from staging; on a known key update the other columns.
 
@@ -136,11 +137,17 @@ def upsert_statement(
     updates = [f"{c} = EXCLUDED.{c}" for c in columns if c not in keys]
     updates += [f"{c} = CURRENT_TIMESTAMP" for c in stamps]
     return (
-        f"INSERT INTO {table} ({names}) SELECT {values} FROM {staging} WHERE TRUE "
+        f"INSERT INTO {table} ({names}) SELECT {values} FROM {staging} WHERE {where} "
         f"ON CONFLICT ({', '.join(keys)}) DO UPDATE SET {', '.join(updates)}"
     )
 
 
+def retract_statement(table: str, staging: str, keys: Sequence[str], where: str) -> str:
+    """Delete the keys of the staging rows that ``where`` holds for."""
+    same = " AND ".join(f"{staging}.{k} = {table}.{k}" for k in keys)
+    return f"DELETE FROM {table} WHERE EXISTS (SELECT 1 FROM {staging} WHERE {same} AND {staging}.{where})"
+
+
 def run_transaction(
     spark: SparkSession, options: dict[str, str], statements: Sequence[str]
 ) -> None:
@@ -219,9 +226,11 @@ def upsert_batch(
     query: str = "batch",
     attempts: int = 6,
     retry_on: tuple[type[BaseException], ...] | None = None,
+    score: str = "anomaly_score",
 ) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that upserts through a staging table.
 
+    Rows whose ``score`` is null delete their key, if there is such a column.
     ``query`` names the stream: queries that write one table have staging
     tables of their own. A batch is computed once, however often it is retried.
     """
@@ -236,10 +245,20 @@ def upsert_batch(
 
         def once() -> None:
             write_table(rows, options, staging, "overwrite")
-            step = upsert_statement(
-                table, staging, rows.columns, keys, stamps=("db_write_ts", "updated_at")
-            )
-            run_transaction(batch.sparkSession, options, [step, f"DROP TABLE {staging}"])
+            scored = score in rows.columns
+            steps = [
+                upsert_statement(
+                    table,
+                    staging,
+                    rows.columns,
+                    keys,
+                    stamps=("db_write_ts", "updated_at"),
+                    where=f"{score} IS NOT NULL" if scored else "TRUE",
+                )
+            ]
+            if scored:
+                steps.append(retract_statement(table, staging, keys, f"{score} IS NULL"))
+            run_transaction(batch.sparkSession, options, [*steps, f"DROP TABLE {staging}"])
 
         try:
             with_backoff(once, attempts, retry_on=retry_on)

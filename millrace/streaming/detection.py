@@ -116,10 +116,12 @@ class Detector:
             published.replace(merged, self.path, "bucket", base=base, writer=NAME, batch=batch_id)
         near = {b + step for b in touched for step in (-1, 0, 1)}
         live = published.read(spark, self.path, schema, lambda f: self.number(f) in near)
-        self.sink(self.anomalies(live, batch_id), batch_id)
+        # Without panes from before there is no anomaly to take back.
+        self.sink(self.anomalies(live, batch_id, retract=base.number > 0), batch_id)
 
-    def anomalies(self, live: DataFrame, batch_id: int) -> DataFrame:
-        """Anomalies of the windows that this batch changed."""
+    def anomalies(self, live: DataFrame, batch_id: int, retract: bool = True) -> DataFrame:
+        """Anomalies of the windows that this batch changed, and with ``retract`` rows
+        without a score for windows that may have been anomalies before."""
         s = self.s
         changed = F.col("changed_in") == batch_id
         return detect.high_frequency(
@@ -129,6 +131,7 @@ class Detector:
                 panes.windows(live, s.bot_window, s.bot_slide).filter(changed),
                 s.bot_clicks,
                 s.bot_diversity,
+                retract=retract,
             )
         )
 
@@ -159,7 +162,8 @@ def start_detection_query(
     ``late_kafka`` (servers, topic) takes the late events instead of files; a
     batch that is repeated sends them again, with the same keys.
     ``sink`` replaces the anomaly batches, which ``read_anomaly_table`` reads; it
-    gets a window again whenever the window changes, so it has to replace by key.
+    gets a window again whenever the window changes, so it has to replace by key;
+    a row without a score takes the anomaly of its key back.
     """
     s = settings or DetectionSettings()
     detector = Detector(out, s, sink, late_kafka)

@@ -74,7 +74,8 @@ def start_anomalies(
     """One named query with its own checkpoint, in update mode.
 
     Update mode emits a window again whenever it changes, so ``sink`` has to
-    replace by key. A path stands for the versioned Parquet table.
+    replace by key; a row without a score takes the anomaly of its key back. A
+    path stands for the versioned Parquet table.
     """
     if isinstance(sink, str):
         path = sink

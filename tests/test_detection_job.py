@@ -91,6 +91,22 @@ def test_distinct_items_are_exact(spark, make, arriving, folder):
     assert rows(read_anomaly_table(spark, folder).select(COLUMNS)) == expected(make, data, s)
 
 
+def test_a_window_that_is_a_hit_no_longer_goes(spark, make, arriving, folder):
+    """Six clicks on three items are a hit; later events lift the diversity."""
+    first = [click(i, item=i % 3, seconds=i) for i in range(6)]
+    more = [click(i, item=i, seconds=i) for i in range(6, 9)]
+    again = [click(i, item=0, seconds=9 + i / 9) for i in range(9, 13)]
+    s = settings(high_frequency_clicks=50)
+    for part, hits in ((first, 2), (more, 0), (again, 2)):
+        query = detection.start_detection_query(arriving(part), folder, f"{folder}/cp", s)
+        query.awaitTermination()
+        assert read_anomaly_table(spark, folder).count() == hits
+        # The first window is compacted as a hit, then as taken back.
+        compact_anomalies(spark, folder)
+        assert read_anomaly_table(spark, folder).count() == hits
+    assert rows(read_anomaly_table(spark, folder).select(COLUMNS)) == expected(make, first + more + again, s)
+
+
 def test_side_outputs(spark, arriving, folder):
     lost = ("7", None, 1, "click", NOON, NOON)
     stream = arriving([click(1), click(2, seconds=-1200), lost], [click(3, seconds=-1300)])

@@ -402,6 +402,21 @@ def test_a_replayed_batch_appends_nothing():
             jdbc.append_statements("t", "s", ["k"], bad, 0)
 
 
+def test_a_row_without_a_score_deletes_its_key():
+    """The statements of the transaction, run as SQL."""
+    import duckdb
+
+    con = duckdb.connect()
+    for name in ("t", "s"):
+        con.execute(f"CREATE TABLE {name} (k BIGINT PRIMARY KEY, anomaly_score DOUBLE)")
+    con.execute("INSERT INTO t VALUES (1, 1), (2, 1), (3, 1)")
+    con.execute("INSERT INTO s VALUES (1, 2), (2, NULL), (4, NULL), (5, 1)")
+    con.execute(jdbc.upsert_statement(
+        "t", "s", ["k", "anomaly_score"], ["k"], where="anomaly_score IS NOT NULL"))
+    con.execute(jdbc.retract_statement("t", "s", ["k"], "anomaly_score IS NULL"))
+    assert sorted(con.execute("SELECT * FROM t").fetchall()) == [(1, 2.0), (3, 1.0), (5, 1.0)]
+
+
 def test_backoff_doubles_up_to_a_limit():
     waits, calls = [], []
 

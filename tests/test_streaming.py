@@ -254,3 +254,18 @@ def test_a_table_of_part_files_is_streamed_whole(spark, tmp_path):
         parts = QUERIES[name](spark, str(tmp_path))
         assert parts.count() > 0
         assert rows(parts) == rows(whole.select(*parts.columns))
+
+
+def test_a_window_that_is_a_hit_no_longer_goes(spark, source, folder):
+    source.add([click(i, item=i % 3, seconds=i) for i in range(6)])
+    source.add([click(i, item=i, seconds=i) for i in range(6, 9)])
+    found = detect.detect_bot_like(
+        ingest.drop_duplicate_events(source.stream()), threshold=5, diversity=0.6)
+    query = jobs.start_anomalies(
+        found, "bot", batches_path(folder, "bot"), f"{folder}/cp", jobs.AVAILABLE_NOW)
+    query.awaitTermination()
+    batches = spark.read.parquet(batches_path(folder, "bot"))
+    assert batches.filter("batch_id = 0 AND anomaly_score IS NOT NULL").count() == 2
+    assert rows(read_anomaly_table(spark, folder)) == []
+    compact_anomalies(spark, folder)
+    assert rows(read_anomaly_table(spark, folder)) == []
