@@ -402,15 +402,18 @@ def stream_anomaly_table(spark, d):
     # The clock stands at the first day, so that no event is late.
     s = replace(STREAM_SETTINGS, now="2024-01-01")
     events = _stream_detection(spark, d).withColumn("event_type", F.col("item_id"))
-    parts = jobs.detections(events, s)
-    with session_conf(spark, _stream_conf(spark)):
+
+    def sink(anomalies: DataFrame, batch_id: int) -> None:
+        stamped = ingest.stamp(jobs.with_window_date(anomalies), "db_write_ts")
         for name in ("high_frequency", "bot_like"):
-            started = jobs.start_anomalies(
-                parts[name], name, batches_path(out, name), f"{out}/checkpoint", s.trigger
-            )
-            jobs.run_available({name: started})
+            one = stamped.filter(F.col("anomaly_type") == name.upper())
+            tables.append_version(one, batches_path(out, name), batch_id, WINDOW_DATE)
             if name == "high_frequency":
                 compact_anomalies(spark, out)
+
+    # Events are deduplicated once; windows come from panes, not from a state store.
+    with session_conf(spark, _stream_conf(spark)):
+        detection.start_detection_query(events, out, f"{out}/checkpoint", s, sink).awaitTermination()
     table = _stable(result_tables.read_table(spark, out, "anomaly_sessions"))
     return serving.recent_anomalies(table, 100, "BOT_LIKE", 0.5)
 

@@ -2,12 +2,14 @@
 
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 from support import at, rows
 
 from millrace.operators import detect, panes
+from millrace.plans import registered
 from millrace.sinks import published
 from millrace.sinks.anomalies import compact_anomalies, read_anomaly_table
 from millrace.streaming import detection, jobs
@@ -147,3 +149,17 @@ def test_old_panes_go(spark, make, arriving, folder):
     assert 0 < left.count() < before
     assert left.agg(F.min("pane_start")).first()[0] >= dt.datetime(2026, 1, 11, 13)
     assert rows(read_anomaly_table(spark, folder).select(COLUMNS)) == expected(make, early + late, s)
+
+
+def test_the_anomaly_table_keeps_one_state(spark, folder, monkeypatch):
+    """Both detectors read the events once; only the deduplication has a state store."""
+    monkeypatch.setattr(registered, "work_path", lambda spark, name: f"{folder}/{name}")
+    found = registered.QUERIES["stream_anomaly_table"](spark, "/root/testdata/sf0.001")
+    assert found.count() > 0
+    state = Path(f"{folder}/stream_anomalies/checkpoint")
+    assert [p.name for p in state.iterdir()] == [detection.NAME]
+    assert [p.name for p in (state / detection.NAME / "state").iterdir() if p.is_dir()] == ["0"]
+    batches = Path(f"{folder}/stream_anomalies/anomaly_batches")
+    # The first detector's batch is compacted before the second's is written.
+    assert not list((batches / "high_frequency").glob("batch_id=*"))
+    assert list((batches / "bot_like").glob("batch_id=*"))
