@@ -21,14 +21,17 @@ from __future__ import annotations
 
 from array import array
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fresh
+from millrace.llm.common import fresh, numbered
+from millrace.session import work_path
 
 WINDOW = 13
 
@@ -245,6 +248,11 @@ def find_contamination(
     return marked.drop("text")
 
 
+_SPAN = "array<struct<first: int, end: int>>"
+_SPAN_ARROW = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
+_HITS = f"struct<n_words: long, spans: {_SPAN}, items: array<string>>"
+
+
 def mark(
     docs: DataFrame,
     items: DataFrame,
@@ -254,23 +262,39 @@ def mark(
     pass_bytes: int = PASS_BYTES,
 ) -> DataFrame:
     """``docs`` and the columns of :func:`find_contamination`."""
-    spark = docs.sparkSession
     row, place = fresh("row"), fresh("hits")
-    hit_type = "struct<n_words: long, spans: array<struct<first: int, end: int>>, items: array<string>>"
-    current = docs.select(F.struct("*").alias(row), F.lit(None).cast(hit_type).alias(place))
-    for part in benchmark_passes(items, pass_bytes):
-        shared = spark.sparkContext.broadcast(Benchmark(part, size))
+    rows = docs.select(F.struct("*").alias(row))
+    text = F.col(f"{row}.text")
+    parts = benchmark_passes(items, pass_bytes)
+    first, second = next(parts), next(parts, None)
+    if second is None:
+        shared = docs.sparkSession.sparkContext.broadcast(Benchmark(first, size))
+
+        @F.pandas_udf(_HITS)
+        def search(texts):
+            found = [_hits(plain, *shared.value.hits(plain)) for plain in map(normal_form, texts)]
+            return pd.DataFrame(found, columns=["n_words", "spans", "items"])
 
-        @F.pandas_udf(hit_type)
-        def search(texts, before, shared=shared):
-            bench = shared.value
+        current = rows.select(row, search(text).alias(place))
+    else:
+        rows = numbered(rows, "documents", row)
+        found = search_in_passes(rows.select("row_no", text), chain((first, second), parts), size)
+
+        @F.pandas_udf(_HITS)
+        def unite(texts, spans, names):
             found = [
-                _add(bench, text, spans, names)
-                for text, spans, names in zip(texts, before["spans"], before["items"])
+                _hits(
+                    normal_form(text),
+                    [] if own is None else [(s["first"], s["end"]) for s in own],
+                    () if items is None else items,
+                )
+                for text, own, items in zip(texts, spans, names)
             ]
             return pd.DataFrame(found, columns=["n_words", "spans", "items"])
 
-        current = current.select(row, search(F.col(f"{row}.text"), place).alias(place))
+        current = rows.join(found, "row_no", "left").select(
+            row, unite(text, "spans", "items").alias(place)
+        )
     n_hit = F.aggregate(
         f"{place}.spans",
         F.lit(0).cast("long"),
@@ -289,15 +313,57 @@ def mark(
     )
 
 
-def _add(bench: Benchmark, text, spans, names) -> tuple[int, list[dict], list[str]]:
-    """Words of a text, and what was found before with what occurs of ``bench``."""
-    plain = normal_form(text)
-    ranges, found = bench.hits(plain)
-    if spans is not None:
-        ranges += [(s["first"], s["end"]) for s in spans]
-        found = found.union(names)
+def search_in_passes(
+    texts: DataFrame, parts: Iterable[list[tuple[object, str | None]]], size: int
+) -> DataFrame:
+    """``(row_no, spans, items)`` of the rows of ``texts(row_no, text)`` in which
+    something of one of ``parts`` occurs.
+
+    Each pass is a job of its own that writes what it finds, so neither the plan
+    nor the tables in a worker grow with the number of passes.
+    """
+    spark = texts.sparkSession
+    path = work_path(spark, "benchmark-hits")
+    schema = f"row_no long, spans {_SPAN}, items array<string>"
+    for part in parts:
+        if not part:
+            continue
+        shared = spark.sparkContext.broadcast(Benchmark(part, size))
+
+        def search(batches, shared=shared):
+            bench = shared.value
+            for batch in batches:
+                found = []
+                for number, text in zip(*(batch.column(k).to_pylist() for k in range(2))):
+                    ranges, names = bench.hits(normal_form(text))
+                    if names:
+                        spans = [{"first": a, "end": b} for a, b in merged(ranges)]
+                        found.append((number, spans, sorted(names)))
+                kinds = (pa.int64(), _SPAN_ARROW, pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f[k] for f in found], kind) for k, kind in enumerate(kinds)],
+                    names=["row_no", "spans", "items"],
+                )
+
+        texts.mapInArrow(search, schema).write.mode("append").parquet(path)
+        shared.destroy()
+    return (
+        spark.read.schema(schema)
+        .parquet(path)
+        .groupBy("row_no")
+        .agg(
+            F.flatten(F.collect_list("spans")).alias("spans"),
+            F.flatten(F.collect_list("items")).alias("items"),
+        )
+    )
+
+
+def _hits(
+    plain: bytes, ranges: list[tuple[int, int]], names: Iterable[str]
+) -> tuple[int, list[dict], list[str]]:
+    """Words of a text, and what occurs in it."""
     pairs = [{"first": first, "end": end} for first, end in merged(ranges)]
-    return max(0, plain.count(b" ") - 1), pairs, sorted(found)
+    return max(0, plain.count(b" ") - 1), pairs, sorted(set(names))
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:

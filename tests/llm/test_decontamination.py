@@ -61,6 +61,22 @@ def test_equals_brute_force(spark, docs, pass_bytes):
     assert kept.count() == sum(not r.contaminated for r in got)
 
 
+def test_passes_are_jobs_of_their_own(spark, docs):
+    """Rows equal those of one pass, and the plan does not grow with the passes."""
+    items = [(k, f"item{k} " + " ".join(f"w{k}x{i}" for i in range(14))) for k in range(8)]
+    items.append((8, items[7][1] + " tail"))
+    texts = [f"before {items[k][1]} and {items[(3 * k + 1) % 8][1].upper()}" for k in range(8)]
+    table = docs([*enumerate([*texts, texts[0], None, "none of them"]), (None, items[7][1]), (3, "again")])
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    one = find_contamination(table, bench)
+    many = find_contamination(table, bench, pass_bytes=300)
+    assert many.schema == one.schema
+    assert many._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") <= 1
+    rows = sorted(map(repr, many.collect()))
+    assert rows == sorted(map(repr, one.collect()))
+    assert sum("n_items=0" not in r for r in rows) == 10
+
+
 def test_empty_tables(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     got = find_contamination(docs([(1, "a b"), (2, None)]), none).collect()
